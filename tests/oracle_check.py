@@ -1,0 +1,54 @@
+"""Compare a registered query with its SQL in DuckDB, value by value."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        path = os.path.join(sf_dir, f"{table}.parquet")
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    out = [tuple(_cell(row[i]) for i in order) for row in rows]
+    return sorted(out, key=lambda row: tuple((v is None, str(type(v)), str(v)) for v in row))
+
+
+def compare(frame, con, sql: str) -> list[str]:
+    """Differences between a Spark frame and the SQL result; empty when they are equal."""
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    expected = _rows(names, cursor.fetchall())
+    if sorted(frame.columns) != sorted(names):
+        return [f"columns {sorted(frame.columns)} != {sorted(names)}"]
+    got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    if len(got) != len(expected):
+        return [f"rows {len(got)} != {len(expected)}"]
+    problems = []
+    for mine, theirs in zip(got, expected):
+        if mine != theirs or [type(a) for a in mine] != [type(b) for b in theirs]:
+            problems.append(f"{sorted(names)}\n  spark {mine}\n  sql   {theirs}")
+            if len(problems) == 3:
+                break
+    return problems
