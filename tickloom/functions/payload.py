@@ -1,10 +1,4 @@
-"""Reading a JSON tick: presence, types and the number texts that are accepted.
-
-A payload is parsed once into a struct with one VARIANT per tick field. In it a
-missing key is SQL NULL, a JSON null is a VARIANT of type VOID, the last of
-duplicate keys wins and NaN tokens survive, so every rule below is a cheap test
-on an already parsed field.
-"""
+"""Reading a JSON tick: presence, types and the number texts that are accepted."""
 
 from __future__ import annotations
 
@@ -13,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickloom.schemas import TICK_FIELDS
+from tickloom.schemas import TICK_DDL, TICK_FIELDS
 
-_ELEMENT = "ARRAY<STRUCT<tick: STRUCT<" + ", ".join(f"{name}: VARIANT" for name in TICK_FIELDS) + ">>>"
+_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "broken"}
 
 # Texts a float or int conversion accepts: blanks around, single underscores between digits.
 _DIGITS = r"[0-9](_?[0-9])*"
@@ -31,77 +25,94 @@ BIGINT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 BLANK_TEXT = r"(?U)^\s*$"
 
 
-def one_tick(payload: Column | str) -> Column:
-    """Array of at most one struct ``tick``; explode it with ``explode_outer``.
+def _read(payload: Column, tick_ddl: str) -> Column:
+    """Parse the payload as the value of a key with another key behind it.
 
-    The payload is wrapped as the value of a key inside an array. Anything after
-    the object then breaks the array, so text with trailing parts is refused, and
-    arrays, scalars and JSON null leave ``tick`` NULL.
+    Text after the payload's object then either breaks the outer object or hides the
+    ``end`` key, so a payload with trailing parts is never taken for a tick.
     """
-    payload = F.col(payload) if isinstance(payload, str) else payload
-    wrapped = F.concat(F.lit('[{"tick":'), payload, F.lit("}]"))
-    return F.slice(F.from_json(wrapped, _ELEMENT, {"allowSingleQuotes": "false"}), 1, 1)
-
-
-def kind(field: Column) -> Column:
-    """Type name of a VARIANT: STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, ARRAY<..>, OBJECT<..>."""
-    return F.schema_of_variant(field)
-
-
-def text_of(field: Column) -> Column:
-    return F.try_variant_get(field, "$", "string")
-
-
-def is_number(field: Column) -> Column:
-    return (kind(field) == "BIGINT") | (kind(field) == "DOUBLE") | kind(field).startswith("DECIMAL")
+    wrapped = F.concat(F.lit('{"tick":'), payload, F.lit(',"end":true}'))
+    return F.from_json(wrapped, f"tick STRUCT<{tick_ddl}>, end BOOLEAN, broken STRING", _STRICT)
 
 
-def is_text(field: Column) -> Column:
-    return kind(field) == "STRING"
+def typed_tick(payload: Column) -> Column:
+    """Struct of the fields in their column types; NULL unless every present field has its type."""
+    read = _read(payload, TICK_DDL)
+    return F.when(read.end & read.broken.isNull(), read.tick)
 
 
-def is_boolean(field: Column) -> Column:
-    return kind(field) == "BOOLEAN"
+def loose_tick(payload: Column) -> Column:
+    """Struct with one VARIANT per field; NULL unless the payload is one JSON object.
 
-
-def is_json_null(field: Column) -> Column:
-    return kind(field) == "VOID"
-
-
-def float_ok(field: Column) -> Column:
-    """Would a float conversion take the value? Numbers, booleans and float texts do."""
-    return is_number(field) | is_boolean(field) | (is_text(field) & text_of(field).rlike(FLOAT_TEXT))
-
-
-def int_ok(field: Column) -> Column:
-    """Would an int conversion take the value? NaN and infinity do not, nor do texts with a fraction."""
-    finite = ~F.coalesce(
-        F.isnan(F.try_variant_get(field, "$", "double"))
-        | (F.abs(F.try_variant_get(field, "$", "double")) == float("inf")),
-        F.lit(False),
-    )
-    return (
-        (is_number(field) & ((kind(field) != "DOUBLE") | finite))
-        | is_boolean(field)
-        | (is_text(field) & text_of(field).rlike(INT_TEXT))
-    )
+    A missing key is SQL NULL, a JSON null is a VARIANT of type VOID, the last of
+    duplicate keys wins and NaN tokens survive.
+    """
+    read = _read(payload, ", ".join(f"{name} VARIANT" for name in TICK_FIELDS))
+    return F.when(read.end, read.tick)
 
 
-def price_of(field: Column) -> Column:
-    """Value as stored in a price column, NULL where the column refuses it."""
-    trimmed = F.regexp_replace(text_of(field), r"^\s+|\s+$", "")
-    return F.when(is_number(field), F.try_variant_get(field, "$", "double")).when(
-        is_text(field) & text_of(field).rlike(NUMERIC_TEXT), trimmed.try_cast("double")
-    )
+class Loose:
+    """Rules on a VARIANT field, told apart by its type name.
 
+    The names are STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, ARRAY<..> and OBJECT<..>.
+    """
 
-def volume_of(field: Column) -> Column:
-    """Value as stored in a bigint column: fractions round half away from zero, NULL if out of range."""
-    number = F.round(F.try_variant_get(field, "$", "decimal(38,18)"), 0).try_cast("bigint")
-    trimmed = F.regexp_replace(text_of(field), r"^\s+|\s+$", "")
-    return F.when(is_number(field), number).when(
-        is_text(field) & text_of(field).rlike(BIGINT_TEXT), trimmed.try_cast("bigint")
-    )
+    def __init__(self, value: Column):
+        self.value = value
+        self.kind = F.schema_of_variant(value)
+
+    @property
+    def text(self) -> Column:
+        return F.try_variant_get(self.value, "$", "string")
+
+    @property
+    def is_number(self) -> Column:
+        return self.kind.isin("BIGINT", "DOUBLE") | self.kind.startswith("DECIMAL")
+
+    @property
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
+
+    @property
+    def is_boolean(self) -> Column:
+        return self.kind == "BOOLEAN"
+
+    @property
+    def is_null(self) -> Column:
+        return self.kind == "VOID"
+
+    @property
+    def float_ok(self) -> Column:
+        """Would a float conversion take the value? Numbers, booleans and float texts do."""
+        return self.is_number | self.is_boolean | (self.is_text & self.text.rlike(FLOAT_TEXT))
+
+    @property
+    def int_ok(self) -> Column:
+        """Would an int conversion take the value? NaN and infinity do not, nor do texts with a fraction."""
+        number = F.try_variant_get(self.value, "$", "double")
+        endless = (self.kind == "DOUBLE") & (F.isnan(number) | (F.abs(number) == float("inf")))
+        return (
+            (self.is_number & ~endless) | self.is_boolean | (self.is_text & self.text.rlike(INT_TEXT))
+        )
+
+    @property
+    def as_price(self) -> Column:
+        """Value as stored in a price column, NULL where the column refuses it."""
+        return F.when(self.is_number, F.try_variant_get(self.value, "$", "double")).when(
+            self.is_text & self.text.rlike(NUMERIC_TEXT), _trimmed(self.text).try_cast("double")
+        )
+
+    @property
+    def as_volume(self) -> Column:
+        """Value as stored in a bigint column: fractions round half away from zero, NULL if out of range."""
+        number = F.round(F.try_variant_get(self.value, "$", "decimal(38,18)"), 0).try_cast("bigint")
+        return F.when(self.is_number, number).when(
+            self.is_text & self.text.rlike(BIGINT_TEXT), _trimmed(self.text).try_cast("bigint")
+        )
+
+
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def missing_fields(tick: str, fields: Sequence[str]) -> Column:
