@@ -1,0 +1,82 @@
+import datetime as dt
+import random
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickloom.operators.cooldown import bin_steps, cooled_instants, fired_times
+from tickloom.operators.health import alerts
+
+T = dt.datetime(2026, 1, 1)
+
+
+def plain(times, gap, last=None):
+    fired = []
+    for t in sorted(times):
+        if last is None or t - last >= gap:
+            fired.append(t)
+            last = t
+    return fired
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(-60, 0))
+def test_steps_lead_where_a_walk_ends(times, gap, since):
+    ordered = np.array(sorted(times))
+    upto, exits = bin_steps(ordered, gap, 0)
+    last = since - 1  # the last fired time lies before the bin
+    fired = fired_times(ordered, last + gap, gap)
+    reach = np.searchsorted(upto, last + gap)
+    left = int(exits[reach]) if reach < len(upto) else last
+    assert left == (fired[-1] if fired else last)
+    assert fired == plain(times, gap, last)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, T + dt.timedelta(milliseconds=ms)) for k, ms in rows], "topic string, recorded_at timestamp")
+
+
+def check(spark, rows, gap_seconds, bin_seconds, last=None):
+    seeds = None
+    if last:
+        seeds = frame(spark, list(last.items())).withColumnRenamed("recorded_at", "raised_at")
+    got = cooled_instants(frame(spark, rows), "topic", "recorded_at", gap_seconds, seeds, bin_seconds).collect()
+    expected = []
+    for key in {k for k, _ in rows}:
+        times = {ms for k, ms in rows if k == key}
+        before = (last or {}).get(key)
+        expected += [(key, T + dt.timedelta(milliseconds=ms)) for ms in plain(times, gap_seconds * 1000, before)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_many_bins(spark):
+    draw = random.Random(1)
+    rows = [(draw.choice("aab"), draw.randrange(3_600_000)) for _ in range(3000)]
+    check(spark, rows, 120, 300)
+
+
+def test_bins_narrower_than_the_gap(spark):
+    draw = random.Random(2)
+    rows = [("a", draw.randrange(1_200_000)) for _ in range(500)]
+    check(spark, rows, 120, 30)
+
+
+def test_burst_at_one_instant_and_silence(spark):
+    rows = [("a", 0)] * 500 + [("a", 119_999), ("a", 120_000), ("a", 240_000), ("a", 50_000_000)]
+    check(spark, rows, 120, 3600)
+
+
+def test_seeded(spark):
+    draw = random.Random(3)
+    rows = [(draw.choice("ab"), 60_000 + draw.randrange(900_000)) for _ in range(400)]
+    check(spark, rows, 120, 60, last={"a": 59_000, "c": 1})
+
+
+def test_first_of_equal_times_is_raised(spark):
+    rows = [("t", T, n, 0.5, "r%d" % n, "s%d" % n) for n in (150, 50, 100)]
+    candidates = spark.createDataFrame(
+        rows, "topic string, recorded_at timestamp, processed bigint, metric_value double, reason string, extra_data string"
+    )
+    got = alerts(candidates, pipeline="p").collect()
+    assert [tuple(r) for r in got] == [("t", "p", "r50", "s50", T)]
