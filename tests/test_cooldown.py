@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickloom.operators.cooldown import bin_steps, cooled_instants, fired_times
-from tickloom.operators.health import alerts
+from tickloom.operators.health import alert_candidates, alerts
 
 T = dt.datetime(2026, 1, 1)
 
@@ -41,7 +41,7 @@ def check(spark, rows, gap_seconds, bin_seconds, last=None):
     seeds = None
     if last:
         seeds = frame(spark, list(last.items())).withColumnRenamed("recorded_at", "raised_at")
-    got = cooled_instants(frame(spark, rows), "topic", "recorded_at", gap_seconds, seeds, bin_seconds).collect()
+    got = cooled_instants(frame(spark, rows).distinct(), "topic", "recorded_at", gap_seconds, seeds, bin_seconds).collect()
     expected = []
     for key in {k for k, _ in rows}:
         times = {ms for k, ms in rows if k == key}
@@ -74,9 +74,10 @@ def test_seeded(spark):
 
 
 def test_first_of_equal_times_is_raised(spark):
-    rows = [("t", T, n, 0.5, "r%d" % n, "s%d" % n) for n in (150, 50, 100)]
-    candidates = spark.createDataFrame(
-        rows, "topic string, recorded_at timestamp, processed bigint, metric_value double, reason string, extra_data string"
+    rows = [("t", T, n, n - failed, failed, 0.5) for n, failed in ((150, 11), (50, 9), (100, 10))]
+    reports = spark.createDataFrame(
+        rows, "topic string, recorded_at timestamp, processed bigint, inserted bigint, failed bigint, metric_value double"
     )
-    got = alerts(candidates, pipeline="p").collect()
-    assert [tuple(r) for r in got] == [("t", "p", "r50", "s50", T)]
+    got = alerts(alert_candidates(reports), pipeline="p").collect()
+    summary = '{"processed":50,"inserted":41,"failed":9,"topic":"t","success_ratio":0.82}'
+    assert [tuple(r) for r in got] == [("t", "p", "success-ratio-below-threshold", summary, T)]

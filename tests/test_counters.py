@@ -56,6 +56,12 @@ def test_carry(spark):
     assert totals == {"a": (1500, 900 + good, 600 - good), "z": (5, 5, 0)}
 
 
+def test_a_row_without_a_key_is_kept(spark):
+    rows = [("a", T, 0, 0, "inserted"), (None, T, 0, 1, "inserted")]
+    got = {r.topic: r.processed for r in running_counters(spark.createDataFrame(rows, DDL)).collect()}
+    assert got == {"a": 1, None: None}
+
+
 def test_plan_has_no_single_partition_window(spark):
     frame = running_counters(spark.createDataFrame(outcomes(100, 5, 0.1), DDL))
     assert "SinglePartition" not in frame._jdf.queryExecution().executedPlan().toString()
@@ -73,7 +79,10 @@ def test_reports_skip_validation_failures_but_not_load_failures(spark):
 
 def test_candidate_reasons(spark):
     rows = [("t", 50, 40, 9, 0.8), ("t", 100, 95, 5, 0.95), ("t", 200, 190, 10, 0.95), ("t", 250, 240, 10, 0.9)]
-    reports = spark.createDataFrame(rows, "topic string, processed int, inserted int, failed int, metric_value double")
+    rows = [(*row, T + dt.timedelta(seconds=row[1])) for row in rows]
+    reports = spark.createDataFrame(
+        rows, "topic string, processed int, inserted int, failed int, metric_value double, recorded_at timestamp"
+    )
     got = {r.processed: r.reason for r in alert_candidates(reports).collect()}
     assert got == {
         50: "success-ratio-below-threshold",

@@ -9,9 +9,9 @@ Each decision depends on the one before, yet the work spreads over time bins:
 3. walk every bin from its own entry.
 
 Steps 1 and 3 run in parallel over (key, bin). Step 2 reads only the steps, in
-sorted order and with one value as its state. Equal times are reduced to one row
-beforehand (only the first of them can fire), so a bin is bounded by its width
-over the resolution of the clock, whatever the number of events.
+sorted order and with one value as its state. The times of a key are distinct (only
+the first of equal ones can fire), so a bin is bounded by its width over the
+resolution of the clock, whatever the number of events.
 """
 
 from __future__ import annotations
@@ -69,11 +69,14 @@ def cooled_instants(
     last: DataFrame | None = None,
     bin_seconds: int = BIN_SECONDS,
 ) -> DataFrame:
-    """(key, time) of the events that fire; ``last`` (key, raised_at) seeds the walk."""
+    """(key, time) of the events that fire; ``last`` (key, raised_at) seeds the walk.
+
+    ``events`` holds each (key, time) once.
+    """
     gap, width = gap_seconds * 1_000_000, bin_seconds * 1_000_000
     schema_key = f"{key} {events.schema[key].dataType.simpleString()}"
 
-    instants = events.select(key, micros(F.col(time)).alias("us")).distinct()
+    instants = events.select(key, micros(F.col(time)).alias("us"))
     instants = instants.withColumn("bin", F.floor(F.col("us") / F.lit(width)))
 
     def steps(pdf: pd.DataFrame) -> pd.DataFrame:

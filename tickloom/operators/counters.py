@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.ingest import INSERTED
-from tickloom.session import work_folder
+from tickloom.session import stored
 
 COUNTS = ("processed", "inserted", "failed")
 
@@ -27,12 +27,13 @@ def running_counters(
     which also fixes their numbers when an executor is lost. Running counts inside a
     slice plus the totals of the slices before it give the exact global counts.
     ``carry`` holds the counts per key to start from (an earlier micro-batch).
+
+    Range partitioning reads its input twice, once for the bounds: hand in stored or
+    persisted outcomes, not a plan that still has to parse messages. A row without a
+    key is kept and gets no counts.
     """
-    spark = outcomes.sparkSession
-    folder = work_folder(spark, "slices")
     ranged = outcomes.repartitionByRange(key, *order).withColumn("slice", F.spark_partition_id())
-    ranged.write.parquet(folder)
-    slices = spark.read.schema(ranged.schema).parquet(folder)
+    slices = stored(ranged, "slices")
 
     good = (F.col("status") == INSERTED).cast("bigint")
     totals = slices.groupBy(key, "slice").agg(F.count(F.lit(1)).alias("rows"), F.sum(good).alias("good"))
@@ -62,7 +63,7 @@ def running_counters(
         "*", F.count(F.lit(1)).over(inside).alias("local_rows"), F.sum(good).over(inside).alias("local_good")
     )
     # Same keys as the window: a broadcast when the totals are small enough, else no further shuffle of the rows.
-    joined = local.join(base, [key, "slice"])
+    joined = local.join(base, [key, "slice"], "left")
     processed = F.col("base_rows") + F.col("local_rows")
     inserted = F.col("base_good") + F.col("local_good")
     return joined.select(

@@ -26,6 +26,11 @@ def _ratio_4dp() -> Column:
     return F.when(F.col("processed") > 0, tenths.cast("double") / F.lit(10000.0)).otherwise(F.lit(0.0))
 
 
+def _summary() -> Column:
+    summary = F.struct("processed", "inserted", "failed", "topic", _ratio_4dp().alias("success_ratio"))
+    return F.to_json(summary, {"ignoreNullFields": "false"})
+
+
 def health_reports(counters: DataFrame, every: int = REPORT_EVERY, clock: str = "arrival") -> DataFrame:
     """One report per ``every`` processed messages.
 
@@ -33,16 +38,13 @@ def health_reports(counters: DataFrame, every: int = REPORT_EVERY, clock: str =
     at load does not.
     """
     due = counters.where((F.col("processed") % every == 0) & (F.col("status") != INVALID))
-    summary = F.struct(
-        F.col("processed"), F.col("inserted"), F.col("failed"), F.col("topic"), _ratio_4dp().alias("success_ratio")
-    )
     return due.select(
         "topic",
         F.lit(METRIC_NAME).alias("metric_name"),
         F.when(F.col("processed") > 0, F.col("inserted") / F.col("processed"))
         .otherwise(F.lit(0.0))
         .alias("metric_value"),
-        F.to_json(summary, {"ignoreNullFields": "false"}).alias("extra_data"),
+        _summary().alias("extra_data"),
         F.col(clock).alias("recorded_at"),
         "processed",
         "inserted",
@@ -53,11 +55,17 @@ def health_reports(counters: DataFrame, every: int = REPORT_EVERY, clock: str =
 def alert_candidates(
     reports: DataFrame, failures: int = FAILURE_THRESHOLD, ratio: float = SUCCESS_RATIO_MIN
 ) -> DataFrame:
-    """Reports that call for an alert, with the reason; the failure count is tested first."""
+    """Reports that call for an alert, one per topic and instant; the failure count is tested first.
+
+    Of reports at the same instant only the first can pass a cooldown, so the others
+    go here, before any shuffle: a burst at one instant becomes one row per task.
+    """
     reason = F.when(F.col("failed") >= failures, F.lit(TOO_MANY_FAILURES)).when(
         F.col("metric_value") < ratio, F.lit(LOW_RATIO)
     )
-    return reports.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    called = reports.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    first = F.min_by(F.struct("reason", "processed", "inserted", "failed"), "processed").alias("first")
+    return called.groupBy("topic", "recorded_at").agg(first).select("topic", "recorded_at", "first.*")
 
 
 def alerts(
@@ -68,15 +76,14 @@ def alerts(
 ) -> DataFrame:
     """Candidates that pass the cooldown, as rows of the alert table.
 
+    The candidates are read three times; hand in stored or persisted ones.
     ``last_alerts`` (topic, raised_at) holds the newest alert of earlier batches.
     """
-    instants = cooled_instants(candidates, "topic", "recorded_at", cooldown_seconds, last_alerts)
-    first = F.min_by(F.struct("reason", "extra_data"), "processed").alias("first")
-    fired = candidates.join(instants, ["topic", "recorded_at"]).groupBy("topic", "recorded_at").agg(first)
-    return fired.select(
+    fired = cooled_instants(candidates, "topic", "recorded_at", cooldown_seconds, last_alerts)
+    return candidates.join(fired, ["topic", "recorded_at"]).select(
         "topic",
         F.lit(pipeline).alias("pipeline"),
-        "first.reason",
-        F.col("first.extra_data").alias("summary"),
+        "reason",
+        _summary().alias("summary"),
         F.col("recorded_at").alias("raised_at"),
     )

@@ -18,10 +18,15 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The same table as a stream; a pattern, as the file source takes no path of a single file."""
-    schema = read_table(spark, sf_dir, table).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}[.]parquet")
+def stream_table(spark: SparkSession, sf_dir: str, table: str, max_bytes: int | None = None) -> DataFrame:
+    """The same table as a stream, in micro-batches of at most about ``max_bytes`` when given.
+
+    The path is a pattern, as the file source takes no path of a single file.
+    """
+    reader = spark.readStream.schema(read_table(spark, sf_dir, table).schema)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(f"{sf_dir}/{table}[.]parquet")
 
 
 def _prices(event: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def _envelope() -> list[Column]:
     return [
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"),
+        F.expr("event_id div 4").alias("offset"),
     ]
 
 

@@ -21,7 +21,7 @@ from tickloom.operators.symbols import split_symbols
 from tickloom.operators.synthetic import draw_ticks
 from tickloom.plans import adapters as A
 from tickloom.plans import views
-from tickloom.session import use_utc, work_folder
+from tickloom.session import stored, use_utc, work_folder
 from tickloom.sources.readers import file_messages
 from tickloom.sources.writers import read_batches, replayable, topic_rows
 from tickloom.streaming.ingest import (
@@ -42,6 +42,7 @@ LIMIT = 10
 REPLAY_PARTS = 4
 REVISION_PARTS = 3
 LATE_WINDOW = "1 hour"
+INGEST_BATCH_BYTES = 1 << 40
 
 _QUERIES: dict[str, Query] = {}
 
@@ -250,7 +251,9 @@ def ingest_split_counts(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir, **options) -> DataFrame:
-    return _classified(spark, sf_dir, **options).select("topic", "arrival", "partition", "offset", "status")
+    """Narrow and stored: the payloads are parsed once, however often the outcomes are read."""
+    classified = _classified(spark, sf_dir, **options)
+    return stored(classified.select("topic", "arrival", "partition", "offset", "status"), "outcomes")
 
 
 def _reports(spark, sf_dir) -> DataFrame:
@@ -269,7 +272,7 @@ def health_metrics(spark, sf_dir):
 
 @query("alerts")
 def alert_log(spark, sf_dir):
-    return alerts(alert_candidates(_reports(spark, sf_dir)))
+    return alerts(stored(alert_candidates(_reports(spark, sf_dir)), "candidates"))
 
 
 # Generators, counts and rates
@@ -331,8 +334,8 @@ def _drain_windows(spark, ticks: DataFrame, label: str, mode: str, width: str) -
     return read_batches(spark, f"{folder}/sink", _CURATED_DDL)
 
 
-def _stream_messages(spark, sf_dir) -> DataFrame:
-    return A.tick_messages(A.stream_table(spark, sf_dir, "events"))
+def _stream_messages(spark, sf_dir, **options) -> DataFrame:
+    return A.tick_messages(A.stream_table(spark, sf_dir, "events", **options))
 
 
 @query("stream_window_update")
@@ -371,10 +374,8 @@ def stream_ingest(spark, sf_dir):
     """One pass over the messages into two sinks, read back as one list of outcomes."""
     folder = work_folder(spark, "ingest")
     sinks = IngestSinks(f"{folder}/sinks")
-    writer = to_sink(
-        _stream_messages(spark, sf_dir), ingest_batch(sinks, health=False), f"{folder}/checkpoint", "append", True
-    )
-    run_to_end(writer)
+    messages = _stream_messages(spark, sf_dir, max_bytes=INGEST_BATCH_BYTES)
+    run_to_end(to_sink(messages, ingest_batch(sinks, health=False), f"{folder}/checkpoint", "append", drain=True))
     good = read_batches(spark, sinks.prices, PRICE_DDL).select(
         "partition", "offset", "symbol", "price", "volume", F.lit(None).cast("string").alias("error_message")
     )

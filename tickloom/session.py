@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -48,3 +48,15 @@ def work_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/tickloom/{label}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Write the rows once to the shared work folder and go on from there.
+
+    For frames that are dear to compute and read more than once. The table also cuts
+    the lineage: a lost executor costs re-reading, never recomputing.
+    """
+    spark = rows.sparkSession
+    folder = work_folder(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

@@ -35,15 +35,13 @@ def append_to_table(rows: DataFrame, table: str) -> None:
     rows.select(*columns).write.mode("append").insertInto(table)
 
 
+def batch_folder(folder: str, batch_id: int) -> str:
+    return f"{folder}/batch_id={batch_id}"
+
+
 def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    """Write the rows of one micro-batch; a replay of the batch replaces its own rows only."""
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(folder)
-    )
+    """Write the rows of one micro-batch as a partition; a replay of the batch replaces its own rows only."""
+    rows.write.mode("overwrite").parquet(batch_folder(folder, batch_id))
 
 
 def read_batches(spark: SparkSession, folder: str, ddl: str) -> DataFrame:

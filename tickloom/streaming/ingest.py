@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.counters import running_counters, total_counts
 from tickloom.operators.health import alert_candidates, alerts, health_reports
 from tickloom.operators.ingest import classify, dead_letters, price_rows
-from tickloom.sources.writers import read_batches, write_batch
+from tickloom.sources.writers import batch_folder, read_batches, write_batch
 
 PRICE_DDL = (
     "symbol string, price double, open_price double, high_price double, low_price double, volume bigint, "
@@ -54,13 +54,6 @@ class IngestSinks:
     def totals(self) -> str:
         return f"{self.root}/totals"
 
-    def read(self, spark: SparkSession, folder: str, ddl: str) -> DataFrame:
-        return read_batches(spark, folder, ddl)
-
-
-def _totals_of(sinks: IngestSinks, batch_id: int) -> str:
-    return f"{sinks.totals}/batch_id={batch_id}"
-
 
 def _carried(spark: SparkSession, sinks: IngestSinks, batch_id: int) -> DataFrame | None:
     """Totals and newest alert per topic at the end of the batch before; one row per topic.
@@ -69,7 +62,7 @@ def _carried(spark: SparkSession, sinks: IngestSinks, batch_id: int) -> DataFram
     """
     if batch_id == 0:
         return None
-    return spark.read.schema(TOTALS_DDL).parquet(_totals_of(sinks, batch_id - 1))
+    return spark.read.schema(TOTALS_DDL).parquet(batch_folder(sinks.totals, batch_id - 1))
 
 
 def ingest_batch(sinks: IngestSinks, health: bool = True):
@@ -99,7 +92,8 @@ def _write_health(spark: SparkSession, classified: DataFrame, sinks: IngestSinks
     last = None if carry is None else carry.where(F.col("raised_at").isNotNull())
     outcomes = classified.select("topic", "arrival", "partition", "offset", "status")
     reports = health_reports(running_counters(outcomes, carry=carry)).persist()
-    raised = alerts(alert_candidates(reports), last_alerts=last).persist()
+    candidates = alert_candidates(reports).persist()
+    raised = alerts(candidates, last_alerts=last).persist()
     try:
         write_batch(reports, sinks.reports, batch_id)
         write_batch(raised, sinks.alerts, batch_id)
@@ -107,8 +101,8 @@ def _write_health(spark: SparkSession, classified: DataFrame, sinks: IngestSinks
         if last is not None:
             marks = marks.unionByName(last.select("topic", "raised_at"))
         latest = marks.groupBy("topic").agg(F.max("raised_at").alias("raised_at"))
-        totals = total_counts(outcomes, carry=carry).join(latest, "topic", "left")
-        totals.write.mode("overwrite").parquet(_totals_of(sinks, batch_id))
+        write_batch(total_counts(outcomes, carry=carry).join(latest, "topic", "left"), sinks.totals, batch_id)
     finally:
         raised.unpersist()
+        candidates.unpersist()
         reports.unpersist()

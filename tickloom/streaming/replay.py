@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.stamps import micros
+from tickloom.functions.stamps import at_micros, micros
 
 
 def arrival_bounds(rows: DataFrame, clock: str, parts: int) -> list[tuple[int, int]]:
@@ -27,9 +27,9 @@ def feed_in_order(rows: DataFrame, clock: str, parts: int, folder: str, run: Cal
     ``run`` sees every stretch as a batch of its own, so its watermark moves as it
     would on a live topic.
     """
-    stamp = micros(F.col(clock))
     for number, (low, high) in enumerate(arrival_bounds(rows, clock, parts)):
-        rows.where((stamp >= low) & (stamp < high)).write.parquet(f"{folder}/part={number}")
+        within = (F.col(clock) >= at_micros(F.lit(low))) & (F.col(clock) < at_micros(F.lit(high)))
+        rows.where(within).write.parquet(f"{folder}/part={number}")
         run()
         yield number
 
