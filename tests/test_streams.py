@@ -97,7 +97,7 @@ def test_replayed_batch_leaves_sinks_unchanged(spark):
     write = ingest_batch(sinks)
     payloads = [tick("A", n, n) for n in range(160)] + ["junk"] * 40
     deliver(spark, f"{folder}/topic", payloads)
-    messages = spark.read.schema(DDL).parquet(f"{folder}/topic")
+    messages = classify(spark.read.schema(DDL).parquet(f"{folder}/topic"))
     folders = {"prices": (sinks.prices, PRICE_DDL), "dead": (sinks.dead, DEAD_DDL), "reports": (sinks.reports, REPORT_DDL), "alerts": (sinks.alerts, ALERT_DDL)}
 
     def contents():
@@ -124,7 +124,7 @@ def test_counts_and_cooldown_survive_batches(spark):
             ("t", 0, 100 * number + n, T + dt.timedelta(seconds=second, milliseconds=n), bytearray(bad if n < 20 else tick("A", 1, n), "utf-8"))
             for n in range(50)
         ]
-        write(spark.createDataFrame(rows, DDL), number)
+        write(classify(spark.createDataFrame(rows, DDL)), number)
     reports = read_batches(spark, sinks.reports, REPORT_DDL).orderBy("processed").collect()
     assert [(r.processed, r.inserted, r.failed) for r in reports] == [(50, 30, 20), (100, 60, 40), (150, 90, 60)]
     raised = read_batches(spark, sinks.alerts, ALERT_DDL).orderBy("raised_at").collect()
@@ -138,7 +138,7 @@ def test_batch_without_alerts_or_reports(spark):
     empty = spark.createDataFrame([], DDL)
     one = spark.createDataFrame([("t", 0, 1, T, bytearray(tick("A", 1, 1), "utf-8"))], DDL)
     for number, rows in enumerate((one, empty, one.withColumn("offset", F.lit(2).cast("bigint")))):
-        write(rows, number)
+        write(classify(rows), number)
     assert read_batches(spark, sinks.prices, PRICE_DDL).count() == 2
     totals = spark.read.parquet(f"{sinks.totals}/batch_id=2").first()
     assert (totals.processed, totals.inserted, totals.raised_at) == (2, 2, None)

@@ -374,8 +374,8 @@ def stream_ingest(spark, sf_dir):
     """One pass over the messages into two sinks, read back as one list of outcomes."""
     folder = work_folder(spark, "ingest")
     sinks = IngestSinks(f"{folder}/sinks")
-    messages = _stream_messages(spark, sf_dir, max_bytes=INGEST_BATCH_BYTES)
-    run_to_end(to_sink(messages, ingest_batch(sinks, health=False), f"{folder}/checkpoint", "append", drain=True))
+    classified = ingest.classify(_stream_messages(spark, sf_dir, max_bytes=INGEST_BATCH_BYTES))
+    run_to_end(to_sink(classified, ingest_batch(sinks, health=False), f"{folder}/checkpoint", "append", drain=True))
     good = read_batches(spark, sinks.prices, PRICE_DDL).select(
         "partition", "offset", "symbol", "price", "volume", F.lit(None).cast("string").alias("error_message")
     )
@@ -397,7 +397,7 @@ def _health_sinks(spark, sf_dir, label: str) -> IngestSinks:
     ddl = "topic string, partition int, offset bigint, arrival timestamp, value binary"
 
     def drain() -> None:
-        rows = file_messages(spark, f"{folder}/topic", ddl=ddl)
+        rows = ingest.classify(file_messages(spark, f"{folder}/topic", ddl=ddl))
         run_to_end(to_sink(rows, ingest_batch(sinks), f"{folder}/checkpoint", "append", drain=True))
 
     for _ in feed_in_order(messages, "arrival", REVISION_PARTS, f"{folder}/topic", drain):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.counters import running_counters, total_counts
 from tickloom.operators.health import alert_candidates, alerts, health_reports
-from tickloom.operators.ingest import classify, dead_letters, price_rows
+from tickloom.operators.ingest import dead_letters, price_rows
 from tickloom.sources.writers import batch_folder, read_batches, write_batch
 
 PRICE_DDL = (
@@ -66,16 +66,16 @@ def _carried(spark: SparkSession, sinks: IngestSinks, batch_id: int) -> DataFram
 
 
 def ingest_batch(sinks: IngestSinks, health: bool = True):
-    """``foreachBatch`` function: prices and dead letters, and with ``health`` also reports and alerts.
+    """``foreachBatch`` function for a classified stream: prices and dead letters, with ``health`` reports and alerts.
 
-    The batch is classified once and kept for all writes. Counts and the cooldown
+    The batch is kept for all its writes, so its messages are parsed once. Counts and the cooldown
     continue from the totals written by the batch before, so they survive restarts,
     and every sink replaces the rows of a batch that is run again.
     """
 
-    def write(messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        classified = classify(messages).persist()
+    def write(classified: DataFrame, batch_id: int) -> None:
+        spark = classified.sparkSession
+        classified.persist()
         try:
             write_batch(price_rows(classified, "topic", "partition", "offset", "arrival"), sinks.prices, batch_id)
             write_batch(dead_letters(classified, "arrival"), sinks.dead, batch_id)
