@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.stamps import iso_text
 
@@ -40,5 +41,9 @@ def latest_bar(
 
 
 def tick_json(ticks: DataFrame) -> Column:
-    """The tick as the JSON text that goes on the topic; absent values stay as null keys."""
-    return F.to_json(F.struct(*ticks.columns), {"ignoreNullFields": "false"})
+    """The tick as the JSON text that goes on the topic; absent values stay as null keys, times are ISO text."""
+    fields = [
+        iso_text(F.col(field.name)).alias(field.name) if isinstance(field.dataType, T.TimestampType) else field.name
+        for field in ticks.schema
+    ]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

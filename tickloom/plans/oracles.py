@@ -317,7 +317,8 @@ def _build() -> dict[str, str]:
     sql["publish_values"] = f"""WITH {_DRAWN}
         SELECT 'ticks' AS topic, symbol AS "key",
                '{{"symbol":"' || symbol || '","price":' || price || ',"open":' || open || ',"high":' || high
-               || ',"low":' || low || ',"volume":' || volume || '}}' AS "value"
+               || ',"low":' || low || ',"volume":' || volume || ',"event_time":"'
+               || replace(CAST(event_time AS VARCHAR), ' ', 'T') || '+00:00"}}' AS "value"
         FROM generated"""
     sql["symbol_normalise"] = f"WITH {_LISTS} SELECT event_id, position, symbol FROM cleaned WHERE symbol <> ''"
     sql["symbol_poll_list"] = f"WITH {_LISTS} SELECT event_id, position, symbol FROM cleaned"

@@ -288,7 +288,7 @@ def synthetic_ticks(spark, sf_dir):
 def publish_values(spark, sf_dir):
     """Generated ticks as rows of the topic."""
     ticks = draw_ticks(A.read_table(spark, sf_dir, "events").select("event_id"), "event_id", seed=7)
-    return topic_rows(ticks.drop("id", "event_time"), A.TOPIC)
+    return topic_rows(ticks.drop("id"), A.TOPIC)
 
 
 @query("symbol_normalise")

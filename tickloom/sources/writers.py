@@ -62,17 +62,24 @@ def replayable(folder: str) -> BatchWriter:
     return write
 
 
-def jdbc_append(table: str, connection: dict[str, str], batch_size: int = 10_000, writers: int | None = None) -> BatchWriter:
+def jdbc_append(
+    table: str,
+    connection: dict[str, str],
+    batch_size: int = 10_000,
+    writers: int | None = None,
+    batch_column: str | None = "batch_id",
+) -> BatchWriter:
     """``foreachBatch`` function: append a non-empty batch over JDBC, many rows per statement.
 
-    Rows carry ``batch_id`` so that a replayed batch can be told apart in the table.
+    ``batch_column`` tells a replayed batch apart in the table; None leaves it out,
+    for tables that do not have it. ``writers`` bounds the open connections.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.persist()
         try:
             if not rows.isEmpty():
-                out = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                out = rows.withColumn(batch_column, F.lit(batch_id).cast("bigint")) if batch_column else rows
                 writer = out.write.format("jdbc").options(**connection).option("dbtable", table)
                 writer = writer.option("batchsize", batch_size)
                 if writers:
