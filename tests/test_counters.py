@@ -3,8 +3,8 @@ import random
 
 import pytest
 
-from tickloom.operators.counters import running_counters, total_counts
-from tickloom.operators.health import alert_candidates, health_reports
+from tickloom.operators.counters import report_points, running_counters, total_counts
+from tickloom.operators.health import alert_candidates, due_rows, health_reports
 
 DDL = "topic string, arrival timestamp, partition int, offset bigint, status string"
 T = dt.datetime(2026, 1, 1)
@@ -36,12 +36,7 @@ def by_hand(rows, start=None):
 @pytest.mark.parametrize("topics", [("a",), ("a", "a", "a", "b", "c")])
 def test_equals_a_plain_loop(spark, burst, topics):
     rows = outcomes(3000, 3, burst, topics)
-    # Small target sizes, so that the rows really fall into several slices.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        got = running_counters(spark.createDataFrame(rows, DDL)).collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = running_counters(spark.createDataFrame(rows, DDL), slice_rows=250).collect()
     assert sorted(map(tuple, got)) == sorted(by_hand(rows))
 
 
@@ -56,6 +51,17 @@ def test_carry(spark):
     assert totals == {"a": (1500, 900 + good, 600 - good), "z": (5, 5, 0)}
 
 
+@pytest.mark.parametrize("every", [1, 7, 50])
+def test_report_points_are_the_due_rows(spark, every):
+    rows = outcomes(2000, 6, 0.4, ("a", "a", "b"))
+    carry = spark.createDataFrame([("a", 1013, 900)], "topic string, processed bigint, inserted bigint")
+    frame = spark.createDataFrame(rows, DDL)
+    columns = ["topic", "arrival", "processed", "inserted", "failed"]
+    got = report_points(frame, every, carry=carry, slice_rows=300).select(*columns).collect()
+    due = due_rows(running_counters(frame, carry=carry, slice_rows=300), every).select(*columns).collect()
+    assert sorted(got) == sorted(due) and got
+
+
 def test_a_row_without_a_key_is_kept(spark):
     rows = [("a", T, 0, 0, "inserted"), (None, T, 0, 1, "inserted")]
     got = {r.topic: r.processed for r in running_counters(spark.createDataFrame(rows, DDL)).collect()}
@@ -70,7 +76,7 @@ def test_plan_has_no_single_partition_window(spark):
 def test_reports_skip_validation_failures_but_not_load_failures(spark):
     rows = [("t", T, 0, n, status, n, n - 1, 1) for n, status in ((50, "invalid"), (100, "load_failed"), (150, "inserted"), (151, "inserted"))]
     counters = spark.createDataFrame(rows, DDL + ", processed bigint, inserted bigint, failed bigint")
-    reports = health_reports(counters).orderBy("processed").collect()
+    reports = health_reports(due_rows(counters)).orderBy("processed").collect()
     assert [r.processed for r in reports] == [100, 150]
     assert reports[0].extra_data == '{"processed":100,"inserted":99,"failed":1,"topic":"t","success_ratio":0.99}'
     assert reports[1].metric_value == 149 / 150

@@ -1,83 +1,169 @@
-"""Running counts over a whole topic, without a window over a whole topic."""
+"""Positions and running counts over a whole topic, without a window over a whole topic."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.ingest import INSERTED
+from tickloom.operators.ingest import INSERTED, INVALID
 from tickloom.session import stored
 
-COUNTS = ("processed", "inserted", "failed")
+ARRIVAL_ORDER = ("arrival", "partition", "offset")
 
+SLICE_ROWS = 1_000_000
+MAX_SLICES = 8192
 
-def running_counters(
-    outcomes: DataFrame,
-    order: Sequence[str] = ("arrival", "partition", "offset"),
+_ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
+
+
+def _good() -> Column:
+    return F.coalesce((F.col("status") == INSERTED).cast("bigint"), F.lit(0))
+
+
+def _before(key: str, order: str):
+    return Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sum_before(column: str, key: str, order: str) -> Column:
+    return F.coalesce(F.sum(column).over(_before(key, order)), F.lit(0))
+
+
+def _add_carry(base: DataFrame, key: str, column: str, carry: DataFrame | None, counted: str) -> DataFrame:
+    if carry is None:
+        return base
+    start = carry.select(key, F.col(counted).alias("carried"))
+    added = (F.col(column) + F.coalesce("carried", F.lit(0))).alias(column)
+    return base.join(start, key, "left").select(*[added if c == column else c for c in base.columns])
+
+
+def numbered(
+    rows: DataFrame,
+    order: Sequence[str] = ARRIVAL_ORDER,
     key: str = "topic",
     carry: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Cumulative processed, inserted and failed counts per ``key`` in ``order``.
+    """Add ``processed``, the position of each row in the ``order`` of its ``key``, from 1.
 
-    ``outcomes`` needs ``key``, the ``order`` columns (together unique per key) and
-    ``status``. The rows are range-partitioned on their whole order, so no key, time
-    or burst can make a slice larger than its fair share; the slices are written once,
-    which also fixes their numbers when an executor is lost. Running counts inside a
-    slice plus the totals of the slices before it give the exact global counts.
-    ``carry`` holds the counts per key to start from (an earlier micro-batch).
+    The ``order`` columns are unique per key. The rows are range-partitioned on their
+    whole order, so no key, time or burst can make a slice larger than its fair share.
+    That is the only shuffle: rows are numbered within their sorted slice as it is
+    written, and the rows of the slices before it are added on reading. Written slices
+    also keep their numbers when an executor is lost. ``carry`` (key, processed) tells
+    where to go on from; ``keep`` names the columns to write, if not all.
 
-    Range partitioning reads its input twice, once for the bounds: hand in stored or
-    persisted outcomes, not a plan that still has to parse messages. A row without a
-    key is kept and gets no counts.
+    The input is read three times, for its size, the bounds and the rows: hand in
+    stored or persisted rows, not a plan that still has to parse messages. A row
+    without a key is kept and gets no position.
     """
-    ranged = outcomes.repartitionByRange(key, *order).withColumn("slice", F.spark_partition_id())
-    slices = stored(ranged, "slices")
-
-    good = (F.col("status") == INSERTED).cast("bigint")
-    totals = slices.groupBy(key, "slice").agg(F.count(F.lit(1)).alias("rows"), F.sum(good).alias("good"))
-    # One row per slice, so at most as many rows per key as there are shuffle partitions.
-    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    columns = list(keep or rows.columns)
+    slices_wanted = min(MAX_SLICES, 1 + rows.count() // slice_rows)
+    in_order = rows.repartitionByRange(slices_wanted, key, *order).sortWithinPartitions(key, *order)
+    row_id = in_order.select("*", F.monotonically_increasing_id().alias("row_id"))
+    slices = stored(
+        row_id.select(
+            *columns,
+            F.shiftright("row_id", _ROW_BITS).cast("int").alias("slice"),
+            (F.col("row_id").bitwiseAND(F.lit(2**_ROW_BITS - 1)) + 1).alias("row"),
+        ),
+        "slices",
+    )
+    # The row number runs through a slice whatever the key; take off what lies before the key's first row.
+    totals = slices.groupBy(key, "slice").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first"))
     base = totals.select(
-        key,
-        "slice",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base_rows"),
-        F.coalesce(F.sum("good").over(before), F.lit(0)).alias("base_good"),
+        key, "slice", (_sum_before("rows", key, "slice") - F.col("first") + 1).alias("base")
     )
-    if carry is not None:
-        start = carry.select(key, F.col("processed").alias("carry_rows"), F.col("inserted").alias("carry_good"))
-        base = base.join(start, key, "left").select(
-            key,
-            "slice",
-            (F.col("base_rows") + F.coalesce("carry_rows", F.lit(0))).alias("base_rows"),
-            (F.col("base_good") + F.coalesce("carry_good", F.lit(0))).alias("base_good"),
-        )
+    # Stored, so that the planner knows its real size: a broadcast while it is small, a merge join beyond.
+    base = stored(_add_carry(base, key, "base", carry, "processed"), "slice_totals")
+    return slices.join(base, [key, "slice"], "left").select(
+        *columns, (F.col("base") + F.col("row")).alias("processed")
+    )
+
 
+def running_sum(
+    rows: DataFrame,
+    value: str,
+    position: str,
+    key: str = "topic",
+    carry: DataFrame | None = None,
+    carried: str = "inserted",
+    block: int = SLICE_ROWS,
+) -> DataFrame:
+    """Turn ``value`` into its running sum per ``key`` along whole-number, gap-free ``position``.
+
+    Blocks of equal length hold equally many rows, whatever the key; each is summed
+    along on its own and the sums of the blocks before it are added.
+    """
+    blocked = rows.withColumn("block", F.expr(f"{position} div {block}"))
+    totals = blocked.groupBy(key, "block").agg(F.sum(value).alias("total"))
+    base = totals.select(key, "block", _sum_before("total", key, "block").alias("base"))
+    base = _add_carry(base, key, "base", carry, carried)
     inside = (
-        Window.partitionBy(key, "slice")
-        .orderBy(*order)
+        Window.partitionBy(key, "block")
+        .orderBy(position)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = slices.select(
-        "*", F.count(F.lit(1)).over(inside).alias("local_rows"), F.sum(good).over(inside).alias("local_good")
+    summed = blocked.withColumn("inside", F.sum(value).over(inside))
+    # Partitioned by the join keys already, so even a merge join moves no row again.
+    total = (F.col("base") + F.col("inside")).alias(value)
+    return summed.join(base, [key, "block"], "left").select(*[total if c == value else c for c in rows.columns])
+
+
+def running_counters(
+    outcomes: DataFrame,
+    order: Sequence[str] = ARRIVAL_ORDER,
+    key: str = "topic",
+    carry: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Cumulative processed, inserted and failed counts per ``key``, at every row.
+
+    ``outcomes`` needs ``key``, the ``order`` columns and ``status``; see ``numbered``.
+    ``carry`` holds the counts per key to start from (an earlier micro-batch).
+    """
+    rows = numbered(outcomes, order, key, carry, slice_rows).withColumn("inserted", _good())
+    counted = running_sum(rows, "inserted", "processed", key, carry, block=slice_rows)
+    return counted.withColumn("failed", F.col("processed") - F.col("inserted"))
+
+
+def report_points(
+    outcomes: DataFrame,
+    every: int,
+    order: Sequence[str] = ARRIVAL_ORDER,
+    key: str = "topic",
+    carry: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """The counts at every ``every``-th row of a key, unless that row failed validation.
+
+    Same as keeping those rows of ``running_counters``, but only the positions are
+    worked out row by row: ``every`` rows are summed up before anything runs along.
+    """
+    rows = numbered(outcomes, order, key, carry, slice_rows, keep=(key, order[0], "status"))
+    last = F.col("processed") % every == 0
+    chunks = rows.groupBy(key, F.expr(f"(processed - 1) div {every}").alias("chunk")).agg(
+        F.sum(_good()).alias("inserted"),
+        F.max(F.when(last, F.col(order[0]))).alias(order[0]),
+        F.max(F.when(last, F.col("status") != INVALID)).alias("due"),
     )
-    # Same keys as the window: a broadcast when the totals are small enough, else no further shuffle of the rows.
-    joined = local.join(base, [key, "slice"], "left")
-    processed = F.col("base_rows") + F.col("local_rows")
-    inserted = F.col("base_good") + F.col("local_good")
-    return joined.select(
-        *outcomes.columns,
+    block = max(1, slice_rows // every)
+    counted = running_sum(stored(chunks, "chunks"), "inserted", "chunk", key, carry, block=block).where("due")
+    processed = (F.col("chunk") + 1) * every
+    return counted.select(
+        key,
+        order[0],
         processed.alias("processed"),
-        inserted.alias("inserted"),
-        (processed - inserted).alias("failed"),
+        "inserted",
+        (processed - F.col("inserted")).alias("failed"),
     )
 
 
 def total_counts(outcomes: DataFrame, key: str = "topic", carry: DataFrame | None = None) -> DataFrame:
     """Final counts per key, on top of ``carry``."""
-    good = (F.col("status") == INSERTED).cast("bigint")
-    counts = outcomes.groupBy(key).agg(F.count(F.lit(1)).alias("processed"), F.sum(good).alias("inserted"))
+    counts = outcomes.groupBy(key).agg(F.count(F.lit(1)).alias("processed"), F.sum(_good()).alias("inserted"))
     if carry is not None:
         both = counts.unionByName(carry.select(key, "processed", "inserted"))
         counts = both.groupBy(key).agg(F.sum("processed").alias("processed"), F.sum("inserted").alias("inserted"))

@@ -31,13 +31,17 @@ def _summary() -> Column:
     return F.to_json(summary, {"ignoreNullFields": "false"})
 
 
-def health_reports(counters: DataFrame, every: int = REPORT_EVERY, clock: str = "arrival") -> DataFrame:
-    """One report per ``every`` processed messages.
+def due_rows(counters: DataFrame, every: int = REPORT_EVERY) -> DataFrame:
+    """Rows of running counters at which a report is due.
 
     A message that fails validation skips the report at its position; one that fails
     at load does not.
     """
-    due = counters.where((F.col("processed") % every == 0) & (F.col("status") != INVALID))
+    return counters.where((F.col("processed") % every == 0) & (F.col("status") != INVALID))
+
+
+def health_reports(due: DataFrame, clock: str = "arrival") -> DataFrame:
+    """One metric row per due row (``due_rows`` or ``report_points``)."""
     return due.select(
         "topic",
         F.lit(METRIC_NAME).alias("metric_name"),

@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from tickloom.functions.stamps import micros
 from tickloom.operators import dashboard, ingest
 from tickloom.operators.bars import latest_bar
-from tickloom.operators.counters import running_counters
+from tickloom.operators.counters import report_points, running_counters
 from tickloom.operators.curate import CURATED, curate, current_revision, revisions
-from tickloom.operators.health import alert_candidates, alerts, health_reports
+from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.latest import newest_rows
 from tickloom.operators.parse import exact_prices, parse_ticks
 from tickloom.operators.reconcile import reconcile, row_count, throughput
@@ -257,7 +257,7 @@ def _outcomes(spark, sf_dir, **options) -> DataFrame:
 
 
 def _reports(spark, sf_dir) -> DataFrame:
-    return health_reports(running_counters(_outcomes(spark, sf_dir, fast_clock=True)))
+    return health_reports(report_points(_outcomes(spark, sf_dir, fast_clock=True), REPORT_EVERY))
 
 
 @query("running_counters")

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.counters import running_counters, total_counts
-from tickloom.operators.health import alert_candidates, alerts, health_reports
+from tickloom.operators.counters import report_points, total_counts
+from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.ingest import dead_letters, price_rows
-from tickloom.sources.writers import batch_folder, read_batches, write_batch
+from tickloom.sources.writers import batch_folder, write_batch
 
 PRICE_DDL = (
     "symbol string, price double, open_price double, high_price double, low_price double, volume bigint, "
@@ -91,7 +91,7 @@ def _write_health(spark: SparkSession, classified: DataFrame, sinks: IngestSinks
     carry = _carried(spark, sinks, batch_id)
     last = None if carry is None else carry.where(F.col("raised_at").isNotNull())
     outcomes = classified.select("topic", "arrival", "partition", "offset", "status")
-    reports = health_reports(running_counters(outcomes, carry=carry)).persist()
+    reports = health_reports(report_points(outcomes, REPORT_EVERY, carry=carry)).persist()
     candidates = alert_candidates(reports).persist()
     raised = alerts(candidates, last_alerts=last).persist()
     try:
