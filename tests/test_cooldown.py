@@ -2,10 +2,11 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickloom.operators.cooldown import bin_steps, cooled_instants, fired_times
+from tickloom.operators.cooldown import _Follower, bin_steps, cooled_instants, fired_times
 from tickloom.operators.health import alert_candidates, alerts
 
 T = dt.datetime(2026, 1, 1)
@@ -33,6 +34,26 @@ def test_steps_lead_where_a_walk_ends(times, gap, since):
     assert fired == plain(times, gap, last)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 199), min_size=1), min_size=1, max_size=4), st.integers(1, 90), st.integers(1, 5))
+def test_steps_may_arrive_in_small_frames(bins, gap, frame_rows):
+    rows, times = [], []
+    for number, offsets in enumerate(bins):
+        ordered = np.array(sorted(offsets)) + 200 * number
+        times += ordered.tolist()
+        rows += [("k", number, int(u), int(e)) for u, e in zip(*bin_steps(ordered, gap, 200 * number))]
+    steps = pd.DataFrame(rows, columns=["k", "bin", "upto", "exit"])
+    walker, entries = _Follower(gap), []
+    for begin in range(0, len(steps), frame_rows):
+        entries += walker.entries(steps.iloc[begin : begin + frame_rows], "k")
+    assert [b for _, b, _ in entries] == list(range(len(bins)))
+    fired = []
+    for _, number, last in entries:
+        own = np.array([t for t in times if t // 200 == number])
+        fired += fired_times(own, last + gap, gap)
+    assert fired == plain(times, gap)
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(k, T + dt.timedelta(milliseconds=ms)) for k, ms in rows], "topic string, recorded_at timestamp")
 

@@ -13,7 +13,8 @@ def test_kafka_options():
         "startingOffsets": "latest",
         "failOnDataLoss": "true",
     }
-    more = readers.kafka_options("h:1", "ticks", max_per_trigger=1000, group_prefix="g", fail_on_data_loss=False)
+    more = readers.kafka_options("h:1", "ticks", max_per_trigger=1000, group_prefix="g", fail_on_data_loss=False, min_partitions=64)
+    assert more["minPartitions"] == "64"
     assert (more["maxOffsetsPerTrigger"], more["groupIdPrefix"], more["failOnDataLoss"]) == ("1000", "g", "false")
 
 
@@ -68,9 +69,3 @@ def test_replayed_write_replaces_its_batch(spark):
         writers.write_batch(spark.range(size), folder, batch)
     counts = {r.batch_id: r["count"] for r in writers.read_batches(spark, folder, "id bigint").groupBy("batch_id").count().collect()}
     assert counts == {0: 3, 1: 4}
-
-
-def test_work_folder_lies_below_the_checkpoint_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    one, other = work_folder(spark, "x"), work_folder(spark, "x")
-    assert one != other and one.startswith(root)

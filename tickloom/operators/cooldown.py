@@ -61,6 +61,33 @@ def fired_times(times: np.ndarray, allowed_from: int, gap: int) -> list[int]:
     return fired
 
 
+class _Follower:
+    """Walks sorted steps bin by bin; a bin may go on in the following frame."""
+
+    def __init__(self, gap: int):
+        self.gap = gap
+        self.key = self.bin = None
+        self.last_fired, self.inside = _NEVER, False
+
+    def entries(self, steps: pd.DataFrame, key: str) -> list[tuple]:
+        """(key, bin, last fired time before it) of each bin that starts in ``steps``."""
+        out = []
+        keys, bins = steps[key].to_numpy(), steps["bin"].to_numpy()
+        upto, exits = steps["upto"].to_numpy(), steps["exit"].to_numpy()
+        starts = np.flatnonzero(np.append(True, (bins[1:] != bins[:-1]) | (keys[1:] != keys[:-1])))
+        for begin, end in zip(starts, np.append(starts[1:], len(bins))) if len(bins) else ():
+            if keys[begin] != self.key:
+                self.key, self.bin, self.last_fired = keys[begin], None, _NEVER
+            if bins[begin] != self.bin:
+                self.bin, self.inside = bins[begin], True
+                out.append((self.key, int(self.bin), self.last_fired))
+            if self.inside:
+                at = begin + int(np.searchsorted(upto[begin:end], self.last_fired + self.gap))
+                if at < end:
+                    self.last_fired, self.inside = int(exits[at]), False
+        return out
+
+
 def cooled_instants(
     events: DataFrame,
     key: str,
@@ -97,18 +124,9 @@ def cooled_instants(
         functions = functions.unionByName(seed)
 
     def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at_key, at_bin, last_fired, pending = None, None, _NEVER, False
+        walker = _Follower(gap)
         for pdf in batches:
-            out = []
-            for row_key, row_bin, upto, leave in pdf.itertuples(index=False, name=None):
-                if row_key != at_key:
-                    at_key, at_bin, last_fired = row_key, None, _NEVER
-                if row_bin != at_bin:
-                    at_bin, pending = row_bin, True
-                    out.append((row_key, row_bin, last_fired))
-                if pending and upto >= last_fired + gap:
-                    last_fired, pending = leave, False
-            yield pd.DataFrame(out, columns=[key, "bin", "last_fired"])
+            yield pd.DataFrame(walker.entries(pdf, key), columns=[key, "bin", "last_fired"])
 
     entries = (
         functions.repartition(key)

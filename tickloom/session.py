@@ -35,19 +35,25 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, or the one set on the context.
 
-    A cluster has to name that folder in ``spark.checkpoint.dir``. Only a local
-    session may go without it; it gets a temporary folder.
+    A cluster has to name one that every executor can reach. Only a local session may
+    go without; it gets a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/tickloom/{label}-{uuid.uuid4().hex}"
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the shared folder."""
+    return f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:

@@ -14,8 +14,12 @@ def kafka_options(
     max_per_trigger: int | None = None,
     group_prefix: str | None = None,
     fail_on_data_loss: bool = True,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source. Progress lives in the stream's checkpoint, not in a consumer group."""
+    """Options of the Kafka source. Progress lives in the stream's checkpoint, not in a consumer group.
+
+    ``min_partitions`` above the topic's own count splits its busiest partitions over several tasks.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -24,6 +28,8 @@ def kafka_options(
     }
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     if group_prefix:
         options["groupIdPrefix"] = group_prefix
     return options
