@@ -209,3 +209,29 @@ def test_payload_is_parsed_once_per_speed(messages):
     plan = ingest.price_rows(ingest.classify(messages))._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("from_json" in line for line in filters)
+
+
+HOSTILE = {
+    "bytes that are no text": b"\xff\xfe" + tick().encode(),
+    "one bad byte in a symbol": tick(symbol='"A@"').encode().replace(b"@", b"\xff"),
+    "deep nesting": tick(tail=', "x": ' + "[" * 3000 + "]" * 3000).encode(),
+    "deep nesting in a field": tick(price="[" * 3000 + "]" * 3000).encode(),
+    "number of 5000 digits": tick(volume="1" * 5000).encode(),
+    "byte order mark": b"\xef\xbb\xbf" + tick().encode(),
+    "other encoding": tick().encode("utf-16"),
+    "leading nul": b"\x00" + tick().encode(),
+}
+
+
+def test_hostile_bytes_end_in_the_dead_letter(spark):
+    rows = [(name, "ticks", 0, n, bytearray(value)) for n, (name, value) in enumerate(HOSTILE.items())]
+    frame = spark.createDataFrame(rows, "name string, topic string, partition int, offset bigint, value binary")
+    got = {r.name: r.error_message for r in ingest.classify(frame).select("name", "error_message").collect()}
+    assert got == dict.fromkeys(HOSTILE, NOT_OBJECT)
+    assert parse_ticks(frame).count() == len(HOSTILE)
+
+
+def test_a_long_payload_is_read_whole(spark):
+    value = bytearray(tick(tail=', "note": "' + "a" * 22_000_000 + '", "price": 77.5'), "utf-8")
+    frame = spark.createDataFrame([("t", 0, 0, value)], "topic string, partition int, offset bigint, value binary")
+    assert ingest.classify(frame).select("price").first().price == 77.5

@@ -94,12 +94,13 @@ def classify(messages: DataFrame, value: str = "value") -> DataFrame:
     twice.
     """
     envelope = [name for name in messages.columns if name != value]
+    text = F.try_validate_utf8("payload")
     typed = messages.select(*envelope, F.col(value).cast("string").alias("payload")).select(
-        *envelope, "payload", P.typed_tick(F.col("payload")).alias("typed")
+        *envelope, "payload", P.typed_tick(text).alias("typed")
     )
     timed = typed.select("*", iso_timestamp(F.col("typed.event_time")).alias("typed_time"))
     marked = timed.select("*", _plain().alias("plain"))
-    loose = marked.select("*", F.when(~F.col("plain"), P.loose_tick(F.col("payload"))).alias("loose"))
+    loose = marked.select("*", F.when(~F.col("plain"), P.loose_tick(text)).alias("loose"))
 
     stamp = _loose("event_time")
     values = F.struct(
