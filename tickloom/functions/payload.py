@@ -115,7 +115,6 @@ def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def missing_fields(tick: str, fields: Sequence[str]) -> Column:
+def missing_fields(tick: Column, fields: Sequence[str]) -> Column:
     """Names of absent keys, in the given order, joined with a comma and a blank."""
-    absent = [F.when(F.col(f"{tick}.{name}").isNull(), F.lit(name)) for name in fields]
-    return F.concat_ws(", ", *absent)
+    return F.concat_ws(", ", *[F.when(tick[name].isNull(), F.lit(name)) for name in fields])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,23 +28,20 @@ _PRICES = ("price", "open", "high", "low")
 _ORDINARY_SYMBOL = r"^[A-Za-z^][A-Za-z0-9._^=-]{0,19}\z"
 
 
-def _loose(name: str) -> P.Loose:
-    return P.Loose(F.col(f"loose.{name}"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, and only where the result is asked for."""
+    return F.transform(F.array(value), use)[0]
 
 
-def _loose_prices() -> Column:
-    return F.array(*[F.col(f"loose.{name}") for name in _PRICES])
-
-
-def _validation_error() -> Column:
+def _validation_error(tick: Column) -> Column:
     """First rule a tick breaks; NULL when it breaks none."""
-    numbers = F.forall(_loose_prices(), lambda field: P.Loose(field).float_ok) & _loose("volume").int_ok
-    symbol = _loose("symbol")
-    missing = P.missing_fields("loose", TICK_FIELDS)
+    prices = F.array(*[tick[name] for name in _PRICES])
+    symbol, volume = P.Loose(tick["symbol"]), P.Loose(tick["volume"])
+    missing = P.missing_fields(tick, TICK_FIELDS)
     return (
-        F.when(F.col("loose").isNull(), F.lit(NOT_AN_OBJECT))
+        F.when(tick.isNull(), F.lit(NOT_AN_OBJECT))
         .when(missing != "", F.concat(F.lit(MISSING), missing))
-        .when(~numbers, F.lit(BAD_NUMBER))
+        .when(~(F.forall(prices, lambda field: P.Loose(field).float_ok) & volume.int_ok), F.lit(BAD_NUMBER))
         .when(symbol.is_text & symbol.text.rlike(P.BLANK_TEXT), F.lit(BLANK_SYMBOL))
     )
 
@@ -53,9 +51,9 @@ def _too_long(symbol: Column) -> Column:
     return F.rtrim(F.substring(symbol, SYMBOL_LENGTH + 1, 2**31 - 1)) != ""
 
 
-def _load_error() -> Column:
+def _load_error(tick: Column, values: Column) -> Column:
     """First column that would refuse a tick that passed validation; NULL when none does."""
-    symbol, stamp = _loose("symbol"), _loose("event_time")
+    symbol, stamp = P.Loose(tick["symbol"]), P.Loose(tick["event_time"])
     scalar = symbol.is_text | symbol.is_number | symbol.is_boolean | symbol.is_null
     rule = (
         F.when(~scalar, F.lit("symbol is not a scalar"))
@@ -63,14 +61,35 @@ def _load_error() -> Column:
         .when(_too_long(symbol.text), F.lit("symbol is too long"))
     )
     for place, name in enumerate(_PRICES):
-        rule = rule.when(F.col("values.prices")[place].isNull(), F.lit(f"{name} is not numeric"))
-    rule = rule.when(F.col("values.volume").isNull(), F.lit("volume is not a bigint"))
-    rule = rule.when(
-        ~stamp.is_null & F.col("values.event_time").isNull(), F.lit("event_time is not a timestamp")
-    )
+        rule = rule.when(values["prices"][place].isNull(), F.lit(f"{name} is not numeric"))
+    rule = rule.when(values["volume"].isNull(), F.lit("volume is not a bigint"))
+    rule = rule.when(~stamp.is_null & values["event_time"].isNull(), F.lit("event_time is not a timestamp"))
     return F.concat(F.lit("Load error: "), rule)
 
 
+def _values(tick: Column) -> Column:
+    """What the columns of the price table would hold."""
+    symbol, stamp = P.Loose(tick["symbol"]), P.Loose(tick["event_time"])
+    return F.struct(
+        F.substring(symbol.text, 1, SYMBOL_LENGTH).alias("symbol"),
+        F.transform(F.array(*[tick[name] for name in _PRICES]), lambda field: P.Loose(field).as_price).alias("prices"),
+        P.Loose(tick["volume"]).as_volume.alias("volume"),
+        F.when(stamp.is_text, iso_timestamp(stamp.text)).alias("event_time"),
+    )
+
+
+def _ruled(tick: Column) -> Column:
+    """Values and first errors of a loosely read tick."""
+    return _let(
+        _values(tick),
+        lambda values: F.struct(
+            values.alias("values"),
+            _validation_error(tick).alias("invalid"),
+            _load_error(tick, values).alias("unloaded"),
+        ),
+    )
+
+
 def _plain() -> Column:
     """True for a tick whose fields all have their types and need no further rule."""
     symbol = F.col("typed.symbol")
@@ -89,9 +108,9 @@ def classify(messages: DataFrame, value: str = "value") -> DataFrame:
     Envelope columns are carried along unchanged; the payload text is added as
     ``payload``. A narrow job with two speeds: a payload whose fields parse in their
     own types, with an ordinary symbol, is accepted as it is; only the others are
-    parsed again field by field and put through the rules. The outcome leaves through
-    a one-row generator, so that a filter on it is not pushed below and evaluated
-    twice.
+    parsed again field by field and put through the rules. The verdict leaves through
+    a one-row generator, so that a filter on it is not pushed below the parse, which
+    would then run twice.
     """
     envelope = [name for name in messages.columns if name != value]
     text = F.try_validate_utf8("payload")
@@ -100,41 +119,30 @@ def classify(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     timed = typed.select("*", iso_timestamp(F.col("typed.event_time")).alias("typed_time"))
     marked = timed.select("*", _plain().alias("plain"))
-    loose = marked.select("*", F.when(~F.col("plain"), P.loose_tick(text)).alias("loose"))
-
-    stamp = _loose("event_time")
-    values = F.struct(
-        F.substring(_loose("symbol").text, 1, SYMBOL_LENGTH).alias("symbol"),
-        F.transform(_loose_prices(), lambda field: P.Loose(field).as_price).alias("prices"),
-        _loose("volume").as_volume.alias("volume"),
-        F.when(stamp.is_text, iso_timestamp(stamp.text)).alias("event_time"),
-    )
-    valued = loose.select("*", F.when(~F.col("plain"), values).alias("values"))
-    invalid = valued.select("*", F.when(~F.col("plain"), _validation_error()).alias("invalid"))
-    judged = invalid.select(
-        "*", F.when(~F.col("plain") & F.col("invalid").isNull(), _load_error()).alias("unloaded")
-    )
+    judged = marked.select("*", F.when(~F.col("plain"), _let(P.loose_tick(text), _ruled)).alias("ruled"))
 
     def either(plain: Column, slow: Column) -> Column:
         return F.when(F.col("plain"), plain).otherwise(slow)
 
-    price_columns = ("price", "open_price", "high_price", "low_price")
-    outcome = F.struct(
-        F.when(F.col("invalid").isNotNull(), INVALID)
-        .when(F.col("unloaded").isNotNull(), LOAD_FAILED)
+    verdict = F.struct(
+        F.when(F.col("ruled.invalid").isNotNull(), INVALID)
+        .when(F.col("ruled.unloaded").isNotNull(), LOAD_FAILED)
         .otherwise(INSERTED)
         .alias("status"),
-        F.coalesce("invalid", "unloaded").alias("error_message"),
-        either(F.col("typed.symbol"), F.col("values.symbol")).alias("symbol"),
+        F.coalesce("ruled.invalid", "ruled.unloaded").alias("error_message"),
+    )
+    price_columns = ("price", "open_price", "high_price", "low_price")
+    return judged.select("*", F.explode(F.array(verdict)).alias("verdict")).select(
+        *envelope,
+        "payload",
+        "verdict.*",
+        either(F.col("typed.symbol"), F.col("ruled.values.symbol")).alias("symbol"),
         *[
-            either(F.col(f"typed.{field}"), F.col("values.prices")[place]).alias(column)
+            either(F.col(f"typed.{field}"), F.col("ruled.values.prices")[place]).alias(column)
             for place, (field, column) in enumerate(zip(_PRICES, price_columns))
         ],
-        either(F.col("typed.volume"), F.col("values.volume")).alias("volume"),
-        either(F.col("typed_time"), F.col("values.event_time")).alias("event_time"),
-    )
-    return judged.select(*envelope, "payload", F.explode(F.array(outcome)).alias("out")).select(
-        *envelope, "payload", "out.*"
+        either(F.col("typed.volume"), F.col("ruled.values.volume")).alias("volume"),
+        either(F.col("typed_time"), F.col("ruled.values.event_time")).alias("event_time"),
     )
 
 
