@@ -21,12 +21,9 @@ def plain(times, gap, last=None):
     return fired
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(-60, 0))
-def test_steps_lead_where_a_walk_ends(times, gap, since):
+def check_steps(times, gap, last, seeded):
     ordered = np.array(sorted(times))
-    upto, exits = bin_steps(ordered, gap, 0)
-    last = since - 1  # the last fired time lies before the bin
+    upto, exits = bin_steps(ordered, gap, seeded)
     fired = fired_times(ordered, last + gap, gap)
     reach = np.searchsorted(upto, last + gap)
     left = int(exits[reach]) if reach < len(upto) else last
@@ -34,6 +31,18 @@ def test_steps_lead_where_a_walk_ends(times, gap, since):
     assert fired == plain(times, gap, last)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(1, 90))
+def test_steps_lead_where_a_walk_ends(times, gap, since):
+    check_steps(times, gap, min(times) - since, seeded=False)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(-90, 450))
+def test_seeded_steps_may_be_entered_anywhere(times, gap, last):
+    check_steps(times, gap, last, seeded=True)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 199), min_size=1), min_size=1, max_size=4), st.integers(1, 90), st.integers(1, 5))
 def test_steps_may_arrive_in_small_frames(bins, gap, frame_rows):
@@ -41,7 +50,7 @@ def test_steps_may_arrive_in_small_frames(bins, gap, frame_rows):
     for number, offsets in enumerate(bins):
         ordered = np.array(sorted(offsets)) + 200 * number
         times += ordered.tolist()
-        rows += [("k", number, int(u), int(e)) for u, e in zip(*bin_steps(ordered, gap, 200 * number))]
+        rows += [("k", number, int(u), int(e)) for u, e in zip(*bin_steps(ordered, gap))]
     steps = pd.DataFrame(rows, columns=["k", "bin", "upto", "exit"])
     walker, entries = _Follower(gap), []
     for begin in range(0, len(steps), frame_rows):
@@ -94,6 +103,14 @@ def test_seeded(spark):
     check(spark, rows, 120, 60, last={"a": 59_000, "c": 1})
 
 
+def test_seeded_inside_a_bin(spark):
+    """A batch that begins in the bin of the last alert, before and after that alert."""
+    draw = random.Random(4)
+    rows = [("a", 2_000_000 + draw.randrange(1_500_000)) for _ in range(300)]
+    check(spark, rows, 120, 3600, last={"a": 1_990_000})
+    check(spark, rows, 120, 3600, last={"a": 2_400_000})
+
+
 def test_first_of_equal_times_is_raised(spark):
     rows = [("t", T, n, n - failed, failed, 0.5) for n, failed in ((150, 11), (50, 9), (100, 10))]
     reports = spark.createDataFrame(

@@ -11,7 +11,7 @@ from tickloom.session import work_folder
 from tickloom.sources.readers import file_messages
 from tickloom.sources.writers import read_batches, replayable
 from tickloom.streaming.ingest import ALERT_DDL, DEAD_DDL, PRICE_DDL, REPORT_DDL, IngestSinks, ingest_batch
-from tickloom.streaming.windows import curated_stream, run_to_end, to_sink
+from tickloom.streaming.windows import STATE_STORE, curated_stream, run_to_end, to_sink, use_disk_state
 
 T = dt.datetime(2026, 1, 1)
 CURATED_DDL = (
@@ -68,6 +68,19 @@ def test_update_sequence(spark):
     assert {(r.symbol, r.total_volume) for r in current} == {("A", 31), (None, 7), ("A", 5), ("A", 9), ("A", 203)}
 
 
+def test_window_state_on_disk(spark):
+    folder = work_folder(spark, "disk")
+    use_disk_state(spark)
+    try:
+        for run in "ab":
+            deliver(spark, f"{folder}/topic", RUNS[run])
+            run_to_end(stream_of(spark, folder, f"{folder}/sink", "update"))
+    finally:
+        spark.conf.unset(STATE_STORE[0])
+    current = current_revision(read_batches(spark, f"{folder}/sink", CURATED_DDL)).collect()
+    assert {(r.symbol, r.total_volume) for r in current} == {("A", 31), (None, 7), ("A", 5), ("A", 9)}
+
+
 def test_append_writes_closed_windows_once(spark):
     folder = work_folder(spark, "append")
     for payloads in RUNS.values():

@@ -31,12 +31,13 @@ _NEVER = -(2**62)
 _ALWAYS = 2**62
 
 
-def bin_steps(times: np.ndarray, gap: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
-    """Steps of the entry-to-exit function of sorted distinct ``times`` of a bin from ``begin`` on.
+def bin_steps(times: np.ndarray, gap: int, seeded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Steps of the entry-to-exit function of the sorted distinct ``times`` of a bin.
 
     A walk whose first allowed time is at most ``upto[i]`` (and above ``upto[i-1]``)
-    fires last at ``exits[i]``. The allowed time is never after ``begin + gap``, so
-    later steps are left out.
+    fires last at ``exits[i]``. Whatever fired in an earlier bin lies before
+    ``times[0]``, so steps no such walk can enter at are left out; a ``seeded`` walk
+    comes from outside and may enter anywhere.
     """
     size = len(times)
     following = np.searchsorted(times, times + gap)
@@ -47,7 +48,7 @@ def bin_steps(times: np.ndarray, gap: int, begin: int) -> tuple[np.ndarray, np.n
     exits = times[end]
     last_of_step = np.append(exits[1:] != exits[:-1], True)
     upto, exits = times[last_of_step], exits[last_of_step]
-    reachable = int(np.searchsorted(upto, begin + gap)) + 1
+    reachable = len(upto) if seeded else int(np.searchsorted(upto, times[0] + gap)) + 1
     return upto[:reachable], exits[:reachable]
 
 
@@ -101,19 +102,19 @@ def cooled_instants(
     ``events`` holds each (key, time) once.
     """
     gap, width = gap_seconds * 1_000_000, bin_seconds * 1_000_000
+    seeded = last is not None
     schema_key = f"{key} {events.schema[key].dataType.simpleString()}"
 
     instants = events.select(key, micros(F.col(time)).alias("us"))
     instants = instants.withColumn("bin", F.floor(F.col("us") / F.lit(width)))
 
     def steps(pdf: pd.DataFrame) -> pd.DataFrame:
-        at_bin = int(pdf["bin"].iloc[0])
-        upto, exits = bin_steps(np.sort(pdf["us"].to_numpy()), gap, at_bin * width)
-        return pd.DataFrame({key: pdf[key].iloc[0], "bin": at_bin, "upto": upto, "exit": exits})
+        upto, exits = bin_steps(np.sort(pdf["us"].to_numpy()), gap, seeded)
+        return pd.DataFrame({key: pdf[key].iloc[0], "bin": pdf["bin"].iloc[0], "upto": upto, "exit": exits})
 
     step_ddl = f"{schema_key}, bin bigint, upto bigint, exit bigint"
     functions = instants.groupBy(key, "bin").applyInPandas(steps, step_ddl)
-    if last is not None:
+    if seeded:
         # A pseudo bin before all others that every walk leaves at the seeded time.
         seed = last.select(
             key,

@@ -13,7 +13,7 @@ from tickloom.session import stored
 ARRIVAL_ORDER = ("arrival", "partition", "offset")
 
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 8192
+MAX_SLICES = 16384
 
 _ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
 

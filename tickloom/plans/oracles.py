@@ -229,7 +229,7 @@ streamed AS (
 _LATE_DROP = f"""
 WITH {_TICKS},
 clock AS (SELECT min(epoch_us(late_at)) AS low, max(epoch_us(late_at)) + 1 - min(epoch_us(late_at)) AS span FROM ticks),
-edges AS (SELECT i, low + span * i // 4 AS edge FROM clock, range(5) t(i)),
+edges AS (SELECT i, low + span * i // 3 AS edge FROM clock, range(4) t(i)),
 fed AS (
     SELECT t.*, e.i AS part, time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS closes
     FROM ticks t JOIN edges e ON epoch_us(late_at) >= e.edge

@@ -39,8 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TIES = ("event_id",)
 LIMIT = 10
-REPLAY_PARTS = 4
-REVISION_PARTS = 3
+LATE_PARTS = 3
+HEALTH_PARTS = 2
 LATE_WINDOW = "1 hour"
 INGEST_BATCH_BYTES = 1 << 40
 
@@ -355,7 +355,7 @@ def stream_window_append(spark, sf_dir):
 
 @query("stream_late_drop")
 def stream_late_drop(spark, sf_dir):
-    """Ticks replayed by arrival in four batches; those of windows closed by an earlier batch are dropped."""
+    """Ticks replayed by arrival in three batches; those of windows closed by an earlier batch are dropped."""
     folder = work_folder(spark, "late")
     ticks = _ticks(spark, sf_dir, late_minutes=True).select("symbol", "price", "volume", "event_time", "inserted_at")
     ddl = f"symbol string, price {A.CENTS}, volume bigint, event_time timestamp, inserted_at timestamp"
@@ -364,7 +364,7 @@ def stream_late_drop(spark, sf_dir):
         rows = curated_stream(file_messages(spark, f"{folder}/topic", ddl=ddl), LATE_WINDOW)
         run_to_end(to_sink(rows, replayable(f"{folder}/sink"), f"{folder}/checkpoint", "update", drain=True))
 
-    for _ in feed_in_order(ticks, "inserted_at", REPLAY_PARTS, f"{folder}/topic", drain):
+    for _ in feed_in_order(ticks, "inserted_at", LATE_PARTS, f"{folder}/topic", drain):
         pass
     return current_revision(read_batches(spark, f"{folder}/sink", _CURATED_DDL))
 
@@ -400,14 +400,14 @@ def _health_sinks(spark, sf_dir, label: str) -> IngestSinks:
         rows = ingest.classify(file_messages(spark, f"{folder}/topic", ddl=ddl))
         run_to_end(to_sink(rows, ingest_batch(sinks), f"{folder}/checkpoint", "append", drain=True))
 
-    for _ in feed_in_order(messages, "arrival", REVISION_PARTS, f"{folder}/topic", drain):
+    for _ in feed_in_order(messages, "arrival", HEALTH_PARTS, f"{folder}/topic", drain):
         pass
     return sinks
 
 
 @query("stream_health")
 def stream_health(spark, sf_dir):
-    """Health reports of messages replayed in three batches; the counts carry over."""
+    """Health reports of messages replayed in two batches; the counts carry over."""
     sinks = _health_sinks(spark, sf_dir, "health")
     rows = read_batches(spark, sinks.reports, REPORT_DDL)
     return rows.select("metric_name", "metric_value", "extra_data", "recorded_at")
