@@ -4,9 +4,11 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_file
+from tickloom.plans.oracles import all_oracles
+from tickloom.plans.registry import all_queries
 
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_file
+from tickloom.plans.registry import all_queries
 
-QUERIES = entry_file.queries()
+QUERIES = all_queries()
 BATCH = sorted(name for name in QUERIES if not name.startswith("stream_"))
 PYTHON = {"alerts"}
 
