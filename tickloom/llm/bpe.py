@@ -4,7 +4,8 @@ Every byte prefix of a piece has exactly one last token in its encoding: the lon
 that ends there and may follow the last token of the prefix before it. A table of those last tokens
 encodes the piece by walking back from its end, takes further bytes without touching what it has, and
 after an edit is filled again only until it agrees with the old table over the length of the longest
-token. Two tokens may stand side by side when no merge across their border would come before the
+token. As the last tokens depend on the bytes of the prefix alone, the tables of short prefixes are
+shared: a word is worked out only from where it leaves the beginnings seen before. Two tokens may stand side by side when no merge across their border would come before the
 merges inside them; that is decided from the ranks alone and remembered.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -26,12 +27,16 @@ from tickloom.llm.tables import slices
 # A rank file beyond this is not sent to the tasks.
 RANKS_BYTES = 64 << 20
 
-# Pieces and token pairs that a worker remembers; when full, they are forgotten and learned anew.
+# Pieces, beginnings of pieces and token pairs that a worker remembers. Of the first two, what was not
+# used while as many others came is forgotten; pairs are forgotten all at once and learned anew.
 PIECES_KEPT = 1 << 18
-PAIRS_KEPT = 1 << 21
+BEGINNINGS_KEPT = 1 << 17
+PAIRS_KEPT = 1 << 20
 LONG_PIECE = 64
+SHARED_BYTES = 8
 
 _NEVER = 1 << 60
+TOKEN = -1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,9 +55,16 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
+        # Tokens read backwards, a branch per byte; the rank of a token stands under TOKEN.
+        self.backwards: dict = {}
+        for token, rank in ranks.items():
+            node = self.backwards
+            for byte in reversed(token):
+                node = node.setdefault(byte, {})
+            node[TOKEN] = rank
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._spines: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one last; None for single bytes.
@@ -96,7 +108,7 @@ class Vocabulary:
 
     def fit(self, left: int, right: int) -> bool:
         """Whether ``left right`` is the encoding of its own bytes."""
-        key = (left, right)
+        key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= PAIRS_KEPT:
@@ -104,6 +116,21 @@ class Vocabulary:
             known = self._fits[key] = self._decide(left, right)
         return known
 
+    def last_token(self, raw: bytes, end: int, last: list[int]) -> int:
+        """The last token of the first ``end`` bytes; ``last`` has those of all shorter prefixes."""
+        node, found, start = self.backwards, [], end
+        while start:
+            start -= 1
+            node = node.get(raw[start])
+            if node is None:
+                break
+            if TOKEN in node:
+                found.append((start, node[TOKEN]))
+        for start, token in reversed(found):
+            if self.fit(last[start - 1], token) if start else self.reachable(token):
+                return token
+        raise ValueError(f"no token for byte {raw[end - 1]}")
+
     def _decide(self, left: int, right: int) -> bool:
         for a, made_a, end_a in self._spine(left, 1):
             for b, made_b, end_b in self._spine(right, 0):
@@ -118,25 +145,18 @@ class Vocabulary:
 
 
 class PrefixTable:
-    """Last tokens of all byte prefixes of a piece."""
-
-    def __init__(self, vocabulary: Vocabulary, raw: bytes = b""):
-        self.vocabulary, self.raw, self.last = vocabulary, b"", []
-        self.append(raw)
+    """Last tokens of all byte prefixes of a piece; ``last`` are those of a beginning, where known."""
 
-    def _last(self, raw: bytes, last: list[int], end: int) -> int:
-        known, fit = self.vocabulary.ranks, self.vocabulary.fit
-        for start in range(max(0, end - self.vocabulary.longest), end):
-            token = known.get(raw[start:end])
-            if token is not None and (fit(last[start - 1], token) if start else self.vocabulary.reachable(token)):
-                return token
-        raise ValueError(f"no token for byte {raw[end - 1]}")
+    def __init__(self, vocabulary: Vocabulary, raw: bytes = b"", last: Sequence[int] = ()):
+        self.vocabulary, self.raw, self.last = vocabulary, raw[: len(last)], list(last)
+        self.append(raw[len(last) :])
 
     def append(self, more: bytes) -> PrefixTable:
         """Take further bytes; what is there stays as it is."""
-        done, self.raw = len(self.raw), self.raw + more
-        for end in range(done + 1, len(self.raw) + 1):
-            self.last.append(self._last(self.raw, self.last, end))
+        raw, last, last_token = self.raw + more, self.last, self.vocabulary.last_token
+        for end in range(len(last) + 1, len(raw) + 1):
+            last.append(last_token(raw, end, last))
+        self.raw = raw
         return self
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
@@ -150,7 +170,7 @@ class PrefixTable:
         last, agreed, end = self.last[:start], 0, start
         while end < len(raw):
             end += 1
-            last.append(self._last(raw, last, end))
+            last.append(self.vocabulary.last_token(raw, end, last))
             before = end - shift
             if end - self.vocabulary.longest >= start + len(new) and last[-1] == self.last[before - 1]:
                 agreed += 1
@@ -171,17 +191,42 @@ class PrefixTable:
         return out[::-1]
 
 
+class Recent(dict):
+    """Remembers what a function gave. When it has ``size`` entries it starts afresh, next to the old ones;
+    those go when it is full again, unless they were used in between."""
+
+    def __init__(self, function: Callable, size: int):
+        self.function, self.size, self.old = function, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Encodes texts piece by piece; remembers short pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.pieces = regex.compile(pattern).findall
-        self._known: dict[str, tuple[int, str, bytes]] = {}
+        self._beginnings = Recent(self._beginning, BEGINNINGS_KEPT)
+        self._printed = Recent(self._entry, PIECES_KEPT)
+
+    def _beginning(self, raw: bytes) -> tuple[int, ...]:
+        before = self._beginnings[raw[:-1]] if len(raw) > 1 else ()
+        return (*before, self.vocabulary.last_token(raw, len(raw), before))
 
     def piece(self, raw: bytes) -> list[int]:
         whole = self.vocabulary.ranks.get(raw)
-        return [whole] if whole is not None else PrefixTable(self.vocabulary, raw).tokens()
+        if whole is not None:
+            return [whole]
+        return PrefixTable(self.vocabulary, raw, self._beginnings[raw[:SHARED_BYTES]]).tokens()
 
     def encode(self, text: str) -> list[int]:
         return [token for piece in self.pieces(text) for token in self.piece(piece.encode())]
@@ -192,19 +237,17 @@ class Encoder:
     def _entry(self, piece: str) -> tuple[int, str, bytes]:
         """Number of tokens, decimal ids, and the bytes that the ids decode to."""
         ids = self.piece(piece.encode())
-        entry = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(piece) <= LONG_PIECE:
-            if len(self._known) >= PIECES_KEPT:
-                self._known.clear()
-            self._known[piece] = entry
-        return entry
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def printed(self, text: str) -> tuple[int, str, bytes]:
         """Number of tokens, decimal ids joined by one space, decoded bytes."""
-        known, entry = self._known.get, self._entry
-        entries = [known(piece) or entry(piece) for piece in self.pieces(text)]
-        if not entries:
+        pieces = self.pieces(text)
+        if not pieces:
             return 0, "", b""
+        if max(map(len, pieces)) > LONG_PIECE:  # too long to remember
+            entries = [self._entry(piece) if len(piece) > LONG_PIECE else self._printed[piece] for piece in pieces]
+        else:
+            entries = map(self._printed.__getitem__, pieces)
         counts, ids, decoded = zip(*entries)
         return sum(counts), " ".join(ids), b"".join(decoded)
 
