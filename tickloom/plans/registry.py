@@ -21,7 +21,7 @@ from tickloom.operators.symbols import split_symbols
 from tickloom.operators.synthetic import draw_ticks
 from tickloom.plans import adapters as A
 from tickloom.plans import views
-from tickloom.session import stored, use_utc, work_folder
+from tickloom.session import ship_package, stored, use_utc, work_folder
 from tickloom.sources.readers import file_messages
 from tickloom.sources.writers import read_batches, replayable, topic_rows
 from tickloom.streaming.ingest import (
@@ -68,7 +68,7 @@ def emit(rows: DataFrame) -> DataFrame:
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return emit(function(use_utc(spark), sf_dir))
+            return emit(function(ship_package(use_utc(spark)), sf_dir))
 
         run.__doc__ = function.__doc__
         _QUERIES[name] = run

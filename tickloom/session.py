@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,29 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Workers unpickle the functions of the Python operators by their module, so they need the package
+    wherever the driver found it. The same as ``--py-files tickloom.zip`` at submission.
+    """
+    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId not in _SHIPPED and os.path.isdir(package):
+        archive = os.path.join(tempfile.mkdtemp(prefix="tickloom-"), "tickloom.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, or the one set on the context.
 
