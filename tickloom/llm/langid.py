@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import held_out, slices
+from tickloom.session import stored
 
 # Learned rows in all, of a language, and those among them that are landmarks, at most.
 SAMPLE_ROWS = 4000
@@ -125,7 +126,8 @@ def train_language(
     ids = docs.select(
         F.col(id_column).cast("long").alias("id"), F.col(language_column).cast("string").alias("language")
     ).filter(F.col("id").isNotNull() & F.col("language").isNotNull() & ~held_out("id"))
-    counts = ids.groupBy("language").count()
+    # A row per language, written so that the planner sees its size and need not move the ids to it.
+    counts = stored(ids.groupBy("language").count(), "language-counts")
     draw = F.xxhash64("id", "language")
     share = draw / F.lit(float(2**64)) + 0.5
     near = ids.join(counts, "language").filter(share * F.col("count") <= 2.0 * per_language + 50)

@@ -12,9 +12,11 @@ from tickloom.llm.bpe import encode_texts
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.exact import exact_dedup
 from tickloom.llm.langid import predict_language, train_language
+from tickloom.llm.near import near_duplicates
 from tickloom.llm.quality import score_quality, train_quality
 from tickloom.llm.shard import byte_shards
 from tickloom.llm.tables import held_out, read
+from tickloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +28,11 @@ SHARDS = 24
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(ship_package(spark), sf_dir)
+
+        run.__doc__ = function.__doc__
+        QUERIES[name] = run
         return function
 
     return register
@@ -78,3 +84,9 @@ def op9_language(spark, sf_dir):
 def op10_byte_bpe(spark, sf_dir):
     """Token counts and digests of the ids and of what they decode to."""
     return encode_texts(read(spark, sf_dir, "documents"), ranks_path(), public_tokenizers.PATTERN)
+
+
+@query("op4_near_dedup")
+def op4_near_dedup(spark, sf_dir):
+    """Components of documents whose four-word shingle sets are similar by 80 percent."""
+    return near_duplicates(read(spark, sf_dir, "documents"), words=4)
