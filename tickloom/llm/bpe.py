@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import slices
+from tickloom.llm.tables import in_arrow, slices
 
 # A rank file beyond this is not sent to the tasks.
 RANKS_BYTES = 64 << 20
@@ -305,4 +305,4 @@ def encode_texts(
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_column)
+    return in_arrow(rows, run, schema).withColumnRenamed("id", id_column)

@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import SLICE_BYTES, slices
+from tickloom.llm.tables import SLICE_BYTES, in_arrow, slices
 
 WINDOW = 10
 
@@ -192,7 +192,7 @@ def contamination(
                 )
 
     narrow = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
-    return narrow.mapInArrow(scan, _HITS).select(
+    return in_arrow(narrow, scan, _HITS).select(
         F.col("id").alias(id_column),
         "n_words",
         "n_hit",

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.tables import in_arrow
 from tickloom.session import stored
 
 # Bytes of a text that go into a splitter; the sample of splitters on the driver stays small.
@@ -188,7 +189,7 @@ def exact_dedup(
     """
     ordered = _sorted(docs, id_column, text_column, keep, normalise)
     ready = ordered.select("id", "body", F.sha2(F.col("body").cast("binary"), 256).alias("sha"))
-    runs = stored(ready.mapInArrow(_decide, _DECISIONS), "exact-runs")
+    runs = stored(in_arrow(ready, _decide, _DECISIONS), "exact-runs")
     ends = runs.filter((F.col("edge") > INNER) & F.col("first")).select("part", "edge", "size", "keep_id", "body")
     groups = _merged(ends)
 
@@ -220,7 +221,7 @@ def unique_rows(
     ).alias("doc")
     ordered = _sorted(docs, id_column, text_column, keep, normalise, carried).select("doc", "body")
     schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.IntegerType()) for name in ("part", "edge")])
-    rows = stored(ordered.mapInArrow(_firsts, schema), "exact-rows")
+    rows = stored(in_arrow(ordered, _firsts, schema), "exact-rows")
     ends = rows.filter(F.col("edge") > INNER).select(
         "part", "edge", F.lit(1).cast("long").alias("size"), F.lit(0).cast("long").alias("keep_id"), "body"
     )

@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import held_out, slices
+from tickloom.llm.tables import held_out, in_arrow, slices
 from tickloom.session import stored
 
 # Learned rows in all, of a language, and those among them that are landmarks, at most.
@@ -149,7 +149,7 @@ def train_language(
                 codes = pa.array([np.sort(own.of(raw)) for raw in raws], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), codes], ["language", "n", "codes"])
 
-    found = sample.mapInArrow(grams, "language string, n int, codes array<int>").distinct().toArrow()
+    found = in_arrow(sample, grams, "language string, n int, codes array<int>").distinct().toArrow()
     rows = sorted(
         (n, language, codes.values.to_numpy().tobytes())
         for n, language, codes in zip(found["n"].to_pylist(), found["language"].to_pylist(), found["codes"])
@@ -212,5 +212,5 @@ def predict_language(
                     [part.column("id"), pa.array(names, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"]
                 )
 
-    scored = rows.mapInArrow(run, "id long, lang_pred string, score double")
+    scored = in_arrow(rows, run, "id long, lang_pred string, score double")
     return scored.withColumnRenamed("id", id_column)

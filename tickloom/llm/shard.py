@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.tables import in_arrow
 from tickloom.session import stored
 
 # Bytes that a row takes besides its text (the length field of a record).
@@ -53,7 +54,7 @@ def byte_shards(docs: DataFrame, shards: int, id_column: str = "doc_id", text_co
         F.crc32(raw).alias("crc"),
     )
     ordered = narrow.repartitionByRange("id", "crc", "size").sortWithinPartitions("id", "crc", "size")
-    placed = stored(ordered.mapInArrow(_along, _PLACED), "shard-rows")
+    placed = stored(in_arrow(ordered, _along, _PLACED), "shard-rows")
 
     # One row per partition; the sums over all of them are the only step in one task.
     totals = placed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))

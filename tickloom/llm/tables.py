@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import ship_package
+
 # A task works through a batch in slices of about this many bytes of text, so that
 # one batch of very long texts does not set the memory of the task.
 SLICE_BYTES = 4 << 20
@@ -37,6 +39,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             size, start = 0, row + 1
 
 
-def rows_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    arrays = [values if isinstance(values, pa.Array) else pa.array(values, kind) for values, kind in columns.values()]
-    return pa.RecordBatch.from_arrays(arrays, list(columns))
+def in_arrow(rows: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package sent to the workers first."""
+    ship_package(rows.sparkSession)
+    return rows.mapInArrow(function, schema)
