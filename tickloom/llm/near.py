@@ -8,10 +8,12 @@ least T of K coordinates but for a negligible chance, so
 * ordered from rare to common, two partners share one of the first ``m - T + 1`` of their m shared
   values, so only those are joined (prefix filter), and what many texts have in common stays out;
 * first every posting is joined to its smallest member only; then postings whose members are already
-  connected are skipped, and only members of different components meet.
+  connected are skipped, and in the others only members of different components meet, those of the
+  largest one not among themselves.
 
-Pairs that agree in at least T values are confirmed on their full shingle sets. Components of the
-confirmed links are the answer; no pairs within a connected group are made.
+Where two members meet, parity sketches of their sets bound their similarity from above, so pairs that
+cannot be links are turned down inside the join. What is left and agrees in at least T values is
+confirmed on the full shingle sets. Components of the confirmed links are the answer.
 """
 
 from __future__ import annotations
@@ -22,11 +24,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import slices
+from tickloom.llm.tables import in_arrow, slices
 from tickloom.session import stored
 
 WORDS = 5
@@ -35,6 +37,9 @@ COORDINATES = 64
 # Chance that a pair at the wanted similarity agrees in too few coordinates.
 MISS = 1e-9
 
+# Bits of a sketch: each is the parity of the shingles that fall on it.
+SKETCH_BITS = 2048
+
 # A task hashes this many bytes of text at once.
 HASH_BYTES = 1 << 20
 
@@ -145,6 +150,15 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     return out
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Parity bits of each set. Two sketches differ in no more bits than their sets in elements."""
+    out = np.zeros((len(sets), SKETCH_BITS // 64), np.int64)
+    for row, own in enumerate(sets):
+        odd = np.bincount((own >> np.uint64(7)) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+        out[row] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return out
+
+
 def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
     return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
@@ -168,20 +182,43 @@ def _signed(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "class", "signature"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, class binary, signature array<long>")
+    return in_arrow(docs, run, "id long, n_shingles long, class binary, signature array<long>")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: id and shingle set."""
+    """Per row: id, shingle set, its size and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raws in slices(batch, "body", HASH_BYTES):
                 sets = shingle_sets(raws, width)
-                lists = _lists(np.concatenate(sets), np.array([len(own) for own in sets]))
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "set"])
+                sizes = np.array([len(own) for own in sets])
+                lists = _lists(np.concatenate(sets), sizes)
+                bits = _lists(sketches(sets).ravel(), np.full(len(sets), SKETCH_BITS // 64))
+                columns = [part.column("id"), lists, pa.array(sizes, pa.int64()), bits]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "set", "n", "sketch"])
+
+    return in_arrow(docs, run, "id long, set array<long>, n long, sketch array<long>")
 
-    return docs.mapInArrow(run, "id long, set array<long>")
+
+def _may_link(left: list[Column], right: list[Column], n: Column, m: Column, percent: int) -> Column:
+    """False where sketch words rule out the similarity: sets that differ in d elements share (n + m - d) / 2."""
+    differ = F.lit(0)
+    for x, y in zip(left, right):
+        differ = differ + F.bit_count(x.bitwiseXOR(y))
+    # meet / union >= p / 100 with meet = (n + m - d) / 2 and union = (n + m + d) / 2
+    return (n + m - differ) * 100 >= (n + m + differ) * percent
+
+
+def _words(array: str) -> list[Column]:
+    return [F.get(array, F.lit(n)) for n in range(SKETCH_BITS // 64)]
+
+
+def _folded() -> list[Column]:
+    """Half as many words: two parities make one. A join condition of this size is still compiled."""
+    words = _words("sketch")
+    half = len(words) // 2
+    return [a.bitwiseXOR(b).alias(f"w{n}") for n, (a, b) in enumerate(zip(words[:half], words[half:]))]
 
 
 def _shared(posts: DataFrame, least: int) -> DataFrame:
@@ -195,16 +232,15 @@ def _shared(posts: DataFrame, least: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, known: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
     """The pairs (a, b) that agree in ``least`` values and whose sets are as similar as wanted."""
 
-    def both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
-        left = table.select(F.col("id").alias("a"), F.col(value).alias("x"))
-        right = table.select(F.col("id").alias("b"), F.col(value).alias("y"))
-        return pairs.join(left, "a").join(right, "b")
+    def both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        return pairs.join(table.alias("x"), F.col("a") == F.col("x.id")).join(table.alias("y"), F.col("b") == F.col("y.id"))
 
-    agree = F.size(F.array_intersect("x", "y")) >= least
-    close = stored(both(pairs, known, "posts").filter(agree).select("a", "b"), "near-close")
-    meet = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - meet
-    alike = both(close, sets, "set").filter(meet * 100 >= union * percent)
+    agree = F.size(F.array_intersect("x.posts", "y.posts")) >= least
+    may = _may_link(_words("x.sketch"), _words("y.sketch"), F.col("x.n"), F.col("y.n"), percent)
+    close = both(pairs, known).filter(may & agree).select("a", "b")
+    meet = F.size(F.array_intersect("x.set", "y.set")).cast("long")
+    union = F.col("x.n") + F.col("y.n") - meet
+    alike = both(stored(close, "near-close"), sets.select("id", "set", "n")).filter(meet * 100 >= union * percent)
     return stored(alike.select("a", "b"), "near-links")
 
 
@@ -243,10 +279,11 @@ def near_duplicates(
     posts = singles.select("id", F.explode("signature").alias("post"))
     first = stored(_shared(posts, least), "near-shared")
     # Without the classes that fell out, fewer values are shared.
-    known = stored(_shared(first.select("id", F.explode("posts").alias("post")), least), "near-shared")
+    shared = stored(_shared(first.select("id", F.explode("posts").alias("post")), least), "near-shared")
+    sets = stored(_sets(rows.join(shared.select("id"), "id", "left_semi"), words), "near-sets")
+    known = stored(shared.join(sets.select("id", "n", "sketch"), "id"), "near-known")
     prefix = F.slice("posts", F.lit(1), F.size("posts") - least + 1)
-    postings = stored(known.select("id", F.explode(prefix).alias("post")), "near-postings")
-    sets = stored(_sets(rows.join(known.select("id"), "id", "left_semi"), words), "near-sets")
+    postings = stored(shared.select("id", F.explode(prefix).alias("post")), "near-postings")
 
     # Every posting against its smallest member.
     centres = postings.groupBy("post").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
@@ -254,17 +291,25 @@ def near_duplicates(
     links = _confirmed(stored(near, "near-pairs"), known, sets, least, percent)
     reached = components(links)
 
-    # What is still apart in a posting.
+    # What is still apart in a posting. The largest component in it meets the others, not itself.
     labelled = postings.join(reached, postings["id"] == reached["node"], "left").select(
         "post", "id", F.coalesce("label", "id").alias("label")
     )
     labelled = stored(labelled, "near-labelled")
-    mixed = labelled.groupBy("post").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    apart = labelled.join(mixed.select("post"), "post")
-    left = apart.select("post", F.col("id").alias("a"), F.col("label").alias("la"))
-    right = apart.select("post", F.col("id").alias("b"), F.col("label").alias("lb"))
-    across = left.join(right, "post").filter("la < lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more_links = _confirmed(stored(across.distinct(), "near-pairs"), known, sets, least, percent)
+    sizes = labelled.groupBy("post", "label").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("post").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
+    mixed = mixed.filter("labels > 1").select("post", F.col("most.label").alias("largest"))
+    apart = stored(labelled.join(mixed, "post").join(known.select("id", "n", *_folded()), "id"), "near-apart")
+    left, right = ([F.col(f"{side}.{name}") for name in apart.columns if name[0] == "w"] for side in "xy")
+    meet = (
+        (F.col("x.post") == F.col("y.post"))
+        & (F.col("x.label") != F.col("y.label"))
+        & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
+        & _may_link(left, right, F.col("x.n"), F.col("y.n"), percent)
+    )
+    across = apart.filter("label != largest").alias("x").join(apart.alias("y"), meet)
+    across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    more_links = _confirmed(stored(across, "near-pairs"), known, sets, least, percent)
     reached = components(links.unionAll(more_links))
 
     groups = classes.join(reached, classes["rep"] == reached["node"], "left").filter("n > 1 or label is not null")
