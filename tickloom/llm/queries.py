@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import encode_texts
@@ -14,8 +14,11 @@ from tickloom.llm.exact import exact_dedup
 from tickloom.llm.langid import predict_language, train_language
 from tickloom.llm.near import near_duplicates
 from tickloom.llm.quality import score_quality, train_quality
+from tickloom.llm.runs import dedup_lines
 from tickloom.llm.shard import byte_shards
 from tickloom.llm.tables import held_out, read
+from tickloom.llm.urls import domains, host_of, judge_captures
+from tickloom.llm.warc import derive_records, record_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +88,68 @@ def op10_byte_bpe(spark, sf_dir):
 def op4_near_dedup(spark, sf_dir):
     """Components of documents whose four-word shingle sets are similar by 80 percent."""
     return near_duplicates(read(spark, sf_dir, "documents"), words=4)
+
+
+def page_responses(pages: DataFrame) -> DataFrame:
+    """Pages as response records, with names and dates that follow from their ids."""
+    moment = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 61)
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
+    return pages.select(
+        "page_id",
+        record_id("response", F.col("page_id").cast("string")).alias("record_id"),
+        F.col("url").alias("target_uri"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
+        "html",
+        F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size).alias("http"),
+    )
+
+
+@query("op6_warc_derivatives")
+def op6_warc_derivatives(spark, sf_dir):
+    """Metadata and conversion records of every page."""
+    return derive_records(page_responses(read(spark, sf_dir, "pages")), http_headers_column="http", keep=("page_id",))
+
+
+def _number(*parts: Column) -> Column:
+    """A number below 2**24 that follows from texts."""
+    return F.conv(F.substring(F.md5(F.concat_ws(" ", *parts)), 1, 6), 16, 10).cast("long")
+
+
+LISTS = ("adult", "allow", "malware", "spam")
+MONTH_MINUTES = 30 * 24 * 60
+
+
+def list_entries(hosts: DataFrame) -> DataFrame:
+    """Three dated entries on each list for some of the hosts and their parent domains."""
+    patterns = hosts.select(F.explode(domains(F.col("host"))).alias("pattern")).filter(F.instr("pattern", ".") > 0).distinct()
+    kinds = [F.struct(F.lit(name).alias("list"), F.lit(n).alias("n")) for name in LISTS for n in range(3)]
+    each = patterns.select("pattern", F.inline(F.array(*kinds)))
+    draw = _number(F.col("pattern"), F.col("list"), F.col("n").cast("string"))
+    minute = draw % MONTH_MINUTES
+    return each.filter(_number(F.col("pattern"), F.col("list")) % 3 == 0).select(
+        "list",
+        "pattern",
+        F.when(draw % 5 < 3, "add").otherwise("remove").alias("action"),
+        F.timestamp_seconds(F.lit(1704067200) + minute * 60).alias("listed_at"),
+    )
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark, sf_dir):
+    """Every page's address against the lists as they stood when it was fetched."""
+    pages = read(spark, sf_dir, "pages")
+    fetched = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 7919 % MONTH_MINUTES * 60)
+    captures = pages.select("page_id", "url", fetched.alias("fetched_at"))
+    entries = list_entries(pages.select(host_of(F.col("url")).alias("host")).filter("host is not null").distinct())
+    judged = judge_captures(captures, entries, id_column="page_id")
+    return judged.select(
+        "page_id", "host", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"), "n_active",
+        F.array_join("blocked_by", ",").alias("blocked_by"), "allowed", "blocked",
+    )
+
+
+@query("op8_line_runs")
+def op8_line_runs(spark, sf_dir):
+    """Every document without the later copies of repeated runs of lines."""
+    cleaned = dedup_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
