@@ -1,7 +1,75 @@
-"""Corpus pipeline: stages over the documents, each written and read again."""
-STAGES = []
+"""From raw documents to token ids: rejected, copied, near-copied and contaminated documents go.
+
+Each stage takes (spark, docs, sf_dir) and gives documents again, the last one token ids. ``run`` writes
+what a stage keeps and reads it again for the next.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickloom.llm.bpe import encode_texts
+from tickloom.llm.decontaminate import contamination
+from tickloom.llm.exact import unique_rows
+from tickloom.llm.near import near_duplicates
+from tickloom.llm.quality import score_quality, train_quality
+from tickloom.llm.tables import read
+from tickloom.session import stored
+
+SCORE = "quality_score"
+
+
+def _without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
+    """The rows whose id is not among the dropped ones; these are written, so the planner sees their size."""
+    return docs.join(stored(dropped.select("doc_id").distinct(), label), "doc_id", "left_anti").select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranking places above its cut."""
+    scored = score_quality(docs, train_quality(docs, read(spark, sf_dir, "labels")), score_column=SCORE)
+    return scored.filter(F.col(SCORE) >= 0.5).drop(SCORE)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the smallest id."""
+    return unique_rows(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates (five-word shingles, similarity 0.8) the row with the smallest id."""
+    return _without(docs, near_duplicates(docs).filter(~F.col("kept")), "pipeline-near")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of ten words of a benchmark item."""
+    found = contamination(docs, read(spark, sf_dir, "benchmark"))
+    return _without(docs, found.filter("contaminated"), "pipeline-contaminated")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the documents, with digests of the ids and of what they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_texts(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("MinHash near-dedup", near),
+    ("benchmark decontamination", decontaminate),
+    ("byte-level BPE", tokens),
+]
+
+# The classifier and the tokenizer are no SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = stored(out, "pipeline-stage")
+    return out
