@@ -215,9 +215,10 @@ def unique_rows(
     normalise: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """The rows that stay, with all their columns. Texts cross the network once, or twice when normalised."""
+    blank = "_".join(["null", *docs.columns])  # a name that no column has
     others = [name for name in docs.columns if normalise or name != text_column]
     carried = F.struct(
-        *(F.col(f"`{name}`") for name in others), F.col(f"`{text_column}`").isNull().alias("\0null")
+        *(F.col(f"`{name}`") for name in others), F.col(f"`{text_column}`").isNull().alias(blank)
     ).alias("doc")
     ordered = _sorted(docs, id_column, text_column, keep, normalise, carried).select("doc", "body")
     schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.IntegerType()) for name in ("part", "edge")])
@@ -228,7 +229,7 @@ def unique_rows(
     again = _merged(ends).filter(~F.col("leads")).select("part", "edge")
     inner = rows.filter(F.col("edge") == INNER)
     outer = rows.filter(F.col("edge") > INNER).join(again, ["part", "edge"], "left_anti")
-    text = F.when(~F.col("doc").getField("\0null"), F.col("body")).alias(text_column)
+    text = F.when(~F.col("doc").getField(blank), F.col("body")).alias(text_column)
     columns = [
         text if name not in others else F.col("doc").getField(name).alias(name) for name in docs.columns
     ]
