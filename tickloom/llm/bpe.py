@@ -16,22 +16,23 @@ import hashlib
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import in_arrow, slices
+from tickloom.llm.tables import SLICE_BYTES, in_arrow, slices
 
 # A rank file beyond this is not sent to the tasks.
 RANKS_BYTES = 64 << 20
 
 # Pieces, beginnings of pieces and token pairs that a worker remembers. Of the first two, what was not
 # used while as many others came is forgotten; pairs are forgotten all at once and learned anew.
-PIECES_KEPT = 1 << 18
-BEGINNINGS_KEPT = 1 << 17
-PAIRS_KEPT = 1 << 20
+PIECES_KEPT = 3 << 16
+BEGINNINGS_KEPT = 1 << 16
+PAIRS_KEPT = 1 << 18
 LONG_PIECE = 64
 SHARED_BYTES = 8
 
@@ -208,6 +209,10 @@ class Recent(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 class Encoder:
     """Encodes texts piece by piece; remembers short pieces."""
@@ -228,6 +233,11 @@ class Encoder:
             return [whole]
         return PrefixTable(self.vocabulary, raw, self._beginnings[raw[:SHARED_BYTES]]).tokens()
 
+    def forget(self) -> None:
+        """Give back the memory of pieces; what is known of token pairs stays."""
+        self._beginnings.forget()
+        self._printed.forget()
+
     def encode(self, text: str) -> list[int]:
         return [token for piece in self.pieces(text) for token in self.piece(piece.encode())]
 
@@ -285,23 +295,26 @@ def encode_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _ready(key, sent, pattern)
         for batch in batches:
-            for part, raws in slices(batch, "body"):
-                counts, ids_sha, decoded_sha, token_ids = [], [], [], []
+            for part, raws in slices(batch, "body", SLICE_BYTES // 4):
+                counts, ids_sha, decoded_sha, token_ids = [], [], [], [np.empty(0, np.int32)]
                 for raw in raws:
                     n, ids, decoded = own.printed(raw.decode())
                     counts.append(n)
                     ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                     decoded_sha.append(hashlib.sha256(decoded).hexdigest())
                     if keep_ids:
-                        token_ids.append(list(map(int, ids.split())))
+                        token_ids.append(np.array(ids.split(), np.int32))
                 columns = [
                     part.column("id"),
                     pa.array(counts, pa.int64()),
                     pa.array(ids_sha, pa.string()),
                     pa.array(decoded_sha, pa.string()),
                 ]
-                columns += [pa.array(token_ids, pa.list_(pa.int32()))] * keep_ids
+                if keep_ids:
+                    ends = pa.array(np.cumsum([0, *counts]), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(token_ids))))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        own.forget()
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.session import stored
+from tickloom.llm.tables import stored_narrow
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,10 +15,10 @@ def components(links: DataFrame) -> DataFrame:
     and is written, so that a lost executor costs one round at most. Labels of a node with very many
     links are reduced by partial minima; nothing is gathered per node. Chains halve with each round.
     """
-    both = stored(
+    both = stored_narrow(
         links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
     )
-    labels = stored(
+    labels = stored_narrow(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")),
         "labels",
     )
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         closer = labels.join(reached, "node").select("node", "label", F.least("label", "near").alias("next"))
         ends = closer.select(F.col("node").alias("next"), F.col("next").alias("end"))
         jumped = closer.join(ends, "next").select("node", F.least("next", "end").alias("new"), "label")
-        step = stored(jumped.select("node", F.col("new").alias("label"), (F.col("new") < F.col("label")).alias("moved")), "labels")
+        step = stored_narrow(jumped.select("node", F.col("new").alias("label"), (F.col("new") < F.col("label")).alias("moved")), "labels")
         labels = step.select("node", "label")
         if step.filter("moved").isEmpty():
             return labels

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.tables import in_arrow
+from tickloom.llm.tables import in_arrow, stored_narrow
 from tickloom.session import stored
 
 # Bytes of a text that go into a splitter; the sample of splitters on the driver stays small.
@@ -158,7 +158,7 @@ def _merged(segments: DataFrame) -> DataFrame:
     ``segments`` has one row per such run: part, edge, size, keep_id, body. At most two a partition.
     """
     place = Window.orderBy("part", "edge")
-    numbered = stored(segments.withColumn("n", F.row_number().over(place)), "exact-ends")
+    numbered = stored_narrow(segments.withColumn("n", F.row_number().over(place)), "exact-ends")
     this, before = numbered.alias("a"), numbered.select((F.col("n") + 1).alias("n"), F.col("body").alias("above"))
     goes_on = this.join(before, "n", "left").select(
         "n", "part", "edge", "size", "keep_id", F.coalesce(F.col("body") == F.col("above"), F.lit(False)).alias("on")
@@ -171,7 +171,7 @@ def _merged(segments: DataFrame) -> DataFrame:
     joined = grouped.join(totals, "g").select(
         "part", "edge", "group_size", F.col("first.keep_id").alias("group_keep"), (~F.col("on")).alias("leads")
     )
-    return stored(joined, "exact-groups")
+    return stored_narrow(joined, "exact-groups")
 
 
 def exact_dedup(

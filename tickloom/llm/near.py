@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import in_arrow, slices
+from tickloom.llm.tables import in_arrow, slices, stored_narrow
 from tickloom.session import stored
 
 WORDS = 5
@@ -240,8 +240,8 @@ def _confirmed(pairs: DataFrame, known: DataFrame, sets: DataFrame, least: int,
     close = both(pairs, known).filter(may & agree).select("a", "b")
     meet = F.size(F.array_intersect("x.set", "y.set")).cast("long")
     union = F.col("x.n") + F.col("y.n") - meet
-    alike = both(stored(close, "near-close"), sets.select("id", "set", "n")).filter(meet * 100 >= union * percent)
-    return stored(alike.select("a", "b"), "near-links")
+    alike = both(stored_narrow(close, "near-close"), sets.select("id", "set", "n")).filter(meet * 100 >= union * percent)
+    return stored_narrow(alike.select("a", "b"), "near-links")
 
 
 def near_duplicates(
@@ -265,41 +265,41 @@ def near_duplicates(
     worded = signed.filter(F.col("class").isNotNull())
 
     # One row per class goes on: the smallest id.
-    classes = stored(
+    classes = stored_narrow(
         worded.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("rep is not null"),
         "near-classes",
     )
     more = classes.filter("n > 1").select("class", "rep")
-    copies = stored(
+    copies = stored_narrow(
         worded.filter("id is not null").select("class", "id").join(more, "class").filter("id > rep").select("id"),
         "near-copies",
     )
     singles = worded.filter("id is not null").join(copies, "id", "left_anti")
 
     posts = singles.select("id", F.explode("signature").alias("post"))
-    first = stored(_shared(posts, least), "near-shared")
+    first = stored_narrow(_shared(posts, least), "near-shared")
     # Without the classes that fell out, fewer values are shared.
-    shared = stored(_shared(first.select("id", F.explode("posts").alias("post")), least), "near-shared")
+    shared = stored_narrow(_shared(first.select("id", F.explode("posts").alias("post")), least), "near-shared")
     sets = stored(_sets(rows.join(shared.select("id"), "id", "left_semi"), words), "near-sets")
-    known = stored(shared.join(sets.select("id", "n", "sketch"), "id"), "near-known")
+    known = stored_narrow(shared.join(sets.select("id", "n", "sketch"), "id"), "near-known")
     prefix = F.slice("posts", F.lit(1), F.size("posts") - least + 1)
-    postings = stored(shared.select("id", F.explode(prefix).alias("post")), "near-postings")
+    postings = shared.select("id", F.explode(prefix).alias("post"))
 
     # Every posting against its smallest member.
     centres = postings.groupBy("post").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     near = postings.join(centres, "post").filter("id > a").select("a", F.col("id").alias("b")).distinct()
-    links = _confirmed(stored(near, "near-pairs"), known, sets, least, percent)
+    links = _confirmed(near, known, sets, least, percent)
     reached = components(links)
 
     # What is still apart in a posting. The largest component in it meets the others, not itself.
     labelled = postings.join(reached, postings["id"] == reached["node"], "left").select(
         "post", "id", F.coalesce("label", "id").alias("label")
     )
-    labelled = stored(labelled, "near-labelled")
+    labelled = stored_narrow(labelled, "near-labelled")
     sizes = labelled.groupBy("post", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("post").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
     mixed = mixed.filter("labels > 1").select("post", F.col("most.label").alias("largest"))
-    apart = stored(labelled.join(mixed, "post").join(known.select("id", "n", *_folded()), "id"), "near-apart")
+    apart = stored_narrow(labelled.join(mixed, "post").join(known.select("id", "n", *_folded()), "id"), "near-apart")
     left, right = ([F.col(f"{side}.{name}") for name in apart.columns if name[0] == "w"] for side in "xy")
     meet = (
         (F.col("x.post") == F.col("y.post"))
@@ -309,11 +309,11 @@ def near_duplicates(
     )
     across = apart.filter("label != largest").alias("x").join(apart.alias("y"), meet)
     across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    more_links = _confirmed(stored(across, "near-pairs"), known, sets, least, percent)
+    more_links = _confirmed(across, known, sets, least, percent)
     reached = components(links.unionAll(more_links))
 
     groups = classes.join(reached, classes["rep"] == reached["node"], "left").filter("n > 1 or label is not null")
-    groups = stored(groups.select("class", F.coalesce("label", "rep").alias("component_id")), "near-groups")
+    groups = stored_narrow(groups.select("class", F.coalesce("label", "rep").alias("component_id")), "near-groups")
     grouped = worded.join(groups, "class", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     alone = signed.filter(F.col("class").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
     out = grouped.unionAll(alone)

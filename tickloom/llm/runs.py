@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.session import stored
+from tickloom.llm.tables import stored_narrow
 
 # A run counts from this many characters (each line end is one), so it has at most as many lines.
 MIN_CHARS = 50
@@ -43,20 +43,20 @@ def _ranked(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """
     several = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
     ordered = several.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return stored(ordered.withColumn("rank", F.monotonically_increasing_id()), label)
+    return stored_narrow(ordered.withColumn("rank", F.monotonically_increasing_id()), label)
 
 
 def _levels(lines: DataFrame, longest: int) -> DataFrame:
     """(doc, key, pos, level, rank) of all runs of 2**level lines that occur more than once."""
     named = lines.join(_ranked(lines, ["a", "b"], "runs-ranks"), ["a", "b"]).select(*DOC, "pos", "rank")
-    found = [stored(named, "runs-level")]
+    found = [stored_narrow(named, "runs-level")]
     while 2 ** len(found) <= longest:
         here, step = found[-1], 2 ** (len(found) - 1)
         ahead = here.select(*DOC, (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
         pairs = here.withColumnRenamed("rank", "this").join(ahead, [*DOC, "pos"])
-        pairs = stored(pairs, "runs-pairs")
+        pairs = stored_narrow(pairs, "runs-pairs")
         named = pairs.join(_ranked(pairs, ["this", "next"], "runs-ranks"), ["this", "next"])
-        level = stored(named.select(*DOC, "pos", "rank"), "runs-level")
+        level = stored_narrow(named.select(*DOC, "pos", "rank"), "runs-level")
         if level.isEmpty():
             break
         found.append(level)
@@ -106,9 +106,9 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "key")
     texts = rows.select("doc", "key", "mark", _chars(F.col("body")).alias("chars"))
     firsts = texts.groupBy("key", "mark").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    several = stored(firsts.filter("n > 1").select("key", "mark", F.col("first.doc").alias("kept")), "runs-copies")
+    several = stored_narrow(firsts.filter("n > 1").select("key", "mark", F.col("first.doc").alias("kept")), "runs-copies")
     copies = texts.join(several, ["key", "mark"]).filter(~F.col("doc").eqNullSafe(F.col("kept")))
-    copies = stored(copies.select("doc", "key", "chars").distinct(), "runs-whole")
+    copies = stored_narrow(copies.select("doc", "key", "chars").distinct(), "runs-whole")
 
     split = rows.select("doc", "key", F.posexplode(_lines(F.col("body"))).alias("pos", "line"))
     line = split.select(
@@ -116,22 +116,22 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     same = line["doc"].eqNullSafe(copies["doc"]) & (line["key"] == copies["key"])
     lines = line.join(copies.select("doc", "key"), same, "left_anti").dropDuplicates([*DOC, "pos"])
-    lines = stored(lines, "runs-lines")
+    lines = stored_narrow(lines, "runs-lines")
 
     # Documents with a line that stands elsewhere too, or again in the same one.
     again = lines.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
     concerned = lines.join(again, ["a", "b"]).select(*DOC).distinct()
     same = lines["doc"].eqNullSafe(concerned["doc"]) & (lines["key"] == concerned["key"])
-    lines = stored(lines.join(concerned, same, "left_semi").withColumn("doc", F.coalesce("doc", F.lit(_NO_ID))), "runs-lines")
+    lines = stored_narrow(lines.join(concerned, same, "left_semi").withColumn("doc", F.coalesce("doc", F.lit(_NO_ID))), "runs-lines")
 
-    runs = stored(_shortest(lines, chars).withColumn("n", F.col("last") - F.col("first") + 1), "runs-shortest")
+    runs = stored_narrow(_shortest(lines, chars).withColumn("n", F.col("last") - F.col("first") + 1), "runs-shortest")
     longest = runs.agg(F.max("n")).first()[0] or 1
     levels = _levels(lines, longest)
     levels = levels.withColumn("size", F.expr("shiftleft(1, level)"))
     runs = runs.withColumn("level", F.floor(F.log2("n")).cast("int"))
     head = levels.select(*DOC, F.col("pos").alias("first"), "level", F.col("rank").alias("x"))
     tail = levels.select(*DOC, (F.col("pos") + F.col("size") - 1).cast("int").alias("last"), "level", F.col("rank").alias("y"))
-    known = stored(runs.join(head, [*DOC, "first", "level"]).join(tail, [*DOC, "last", "level"]), "runs-known")
+    known = stored_narrow(runs.join(head, [*DOC, "first", "level"]).join(tail, [*DOC, "last", "level"]), "runs-known")
     place = F.struct("doc", "key", "first")
     earliest = known.groupBy("n", "x", "y").agg(F.min(place).alias("place"), F.count("*").alias("times")).filter("times > 1")
     later = known.join(earliest, ["n", "x", "y"]).filter(place != F.col("place"))
@@ -150,7 +150,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text is one empty line. Rows that repeat an id and text are one document and are treated alike. No rows
     give no rows; other columns are not looked at.
     """
-    gone = stored(repeated_runs(docs, id_column, text_column, chars), "runs-gone")
+    gone = stored_narrow(repeated_runs(docs, id_column, text_column, chars), "runs-gone")
     rows = docs.select(
         F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"), F.xxhash64(text_column).alias("hash")
     )

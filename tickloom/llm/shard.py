@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import in_arrow
+from tickloom.llm.tables import in_arrow, stored_narrow
 from tickloom.session import stored
 
 # Bytes that a row takes besides its text (the length field of a record).
@@ -60,7 +60,7 @@ def byte_shards(docs: DataFrame, shards: int, id_column: str = "doc_id", text_co
     totals = placed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bases = stored(
+    bases = stored_narrow(
         totals.select(
             "part",
             F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"),

@@ -8,12 +8,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.session import ship_package
+from tickloom.session import ship_package, stored
 
 # A task works through a batch in slices of about this many bytes of text, so that
 # one batch of very long texts does not set the memory of the task.
 SLICE_BYTES = 4 << 20
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_PER_BATCH = 1000
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,6 +43,21 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def in_arrow(rows: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package sent to the workers first."""
-    ship_package(rows.sparkSession)
+    """``mapInArrow`` with this package sent to the workers first.
+
+    Rows that carry texts are long, so a session that has not chosen how many go in a batch gets
+    ``ROWS_PER_BATCH``: batches are held on both sides, outside the executor's heap.
+    """
+    spark = ship_package(rows.sparkSession)
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(ROWS_PER_BATCH))
     return rows.mapInArrow(function, schema)
+
+
+# Files of a narrow table for each core of the cluster, at most.
+FILES_PER_CORE = 4
+
+
+def stored_narrow(rows: DataFrame, label: str) -> DataFrame:
+    """``stored`` for ids and links: a few files per core, however many partitions a shuffle has."""
+    return stored(rows.coalesce(FILES_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism), label)
