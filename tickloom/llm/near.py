@@ -120,7 +120,7 @@ def shingle_sets(raws: list[bytes], width: int) -> list[np.ndarray]:
         if count >= width:
             out.append(np.unique(_mixed(total[end - count : end - width + 1])))
         elif count:
-            out.append(_mixed((hashes[end - count : end] * weights[:count]).sum(keepdims=True) + _SHORT * np.uint64(count)))
+            out.append(_mixed((hashes[end - count : end] * weights[:count]).sum(keepdims=True) + _SHORT * np.array([count], np.uint64)))
         else:
             out.append(np.empty(0, np.uint64))
     return out

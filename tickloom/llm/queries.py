@@ -13,6 +13,7 @@ from tickloom.llm.decontaminate import contamination
 from tickloom.llm.exact import exact_dedup
 from tickloom.llm.langid import predict_language, train_language
 from tickloom.llm.near import near_duplicates
+from tickloom.llm.oracles import ORACLES  # noqa: F401
 from tickloom.llm.quality import score_quality, train_quality
 from tickloom.llm.runs import dedup_lines
 from tickloom.llm.shard import byte_shards
@@ -23,7 +24,6 @@ from tickloom.llm.warc import derive_records, record_id
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 SHARDS = 24
 
