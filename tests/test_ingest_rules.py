@@ -5,7 +5,9 @@ import json
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickloom.functions.payload import loose_tick, typed_tick
 from tickloom.operators import ingest
 from tickloom.operators.parse import parse_ticks
 
@@ -235,3 +237,14 @@ def test_a_long_payload_is_read_whole(spark):
     value = bytearray(tick(tail=', "note": "' + "a" * 22_000_000 + '", "price": 77.5'), "utf-8")
     frame = spark.createDataFrame([("t", 0, 0, value)], "topic string, partition int, offset bigint, value binary")
     assert ingest.classify(frame).select("price").first().price == 77.5
+
+
+@pytest.mark.parametrize("form", ['{t},"z":1', '{t},"tick":{t}', '{},"tick":{t}', '{},"z":1,"tick":{t}', '{t},{t}', '{t}],[{t}', '{t},"end":true}'])
+def test_keys_behind_the_payload_make_no_tick(spark, form):
+    """Text that would be valid inside another object is no JSON object by itself."""
+    tick = '{"symbol":"A","price":1,"open":1,"high":1,"low":1,"volume":1,"event_time":"2024-01-01T00:00:00Z"}'
+    payload = form.replace("{t}", tick)
+    row = spark.createDataFrame([(payload,)], "p string").select(typed_tick(F.col("p")).alias("a"), loose_tick(F.col("p")).alias("b")).first()
+    assert (row.a, row.b) == (None, None)
+    whole = spark.createDataFrame([(tick,)], "p string").select(typed_tick(F.col("p")).alias("a")).first()
+    assert whole.a.symbol == "A"

@@ -58,6 +58,7 @@ def test_tables_are_created_once_and_appended_to(spark):
     assert writers.create_tables(spark, folder, "tick_test") == names
     got = spark.table("tick_test.stock_prices").first()
     assert (got.symbol, got.price, got.volume, got.event_time) == ("A", 1.5, 7, None)
+    assert got.inserted_at is not None
     for name in names:
         spark.sql(f"DROP TABLE {name}")
     spark.sql("DROP DATABASE tick_test")

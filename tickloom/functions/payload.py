@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tickloom.schemas import TICK_DDL, TICK_FIELDS
 
-_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "broken"}
+_ONE = {"allowSingleQuotes": "false"}
+_STRICT = _ONE | {"columnNameOfCorruptRecord": "broken"}
 
 # Texts a float or int conversion accepts: blanks around, single underscores between digits.
 _DIGITS = r"[0-9](_?[0-9])*"
@@ -28,17 +29,23 @@ BLANK_TEXT = r"(?U)^\s*$"
 def _read(payload: Column, tick_ddl: str) -> Column:
     """Parse the payload as the value of a key with another key behind it.
 
-    Text after the payload's object then either breaks the outer object or hides the
-    ``end`` key, so a payload with trailing parts is never taken for a tick.
+    Text after the payload's object then breaks the outer object, hides the ``end`` key or
+    adds keys of its own; ``_alone`` refuses the last.
     """
     wrapped = F.concat(F.lit('{"tick":'), payload, F.lit(',"end":true}'))
     return F.from_json(wrapped, f"tick STRUCT<{tick_ddl}>, end BOOLEAN, broken STRING", _STRICT)
 
 
+def _alone(payload: Column) -> Column:
+    """Whether the payload is one value: between brackets, keys behind it are no JSON and a second value counts."""
+    wrapped = F.concat(F.lit("["), payload, F.lit("]"))
+    return F.size(F.from_json(wrapped, "ARRAY<STRUCT<`-` STRING>>", _ONE)) == 1
+
+
 def typed_tick(payload: Column) -> Column:
     """Struct of the fields in their column types; NULL unless every present field has its type."""
     read = _read(payload, TICK_DDL)
-    return F.when(read.end & read.broken.isNull(), read.tick)
+    return F.when(read.end & read.broken.isNull() & _alone(payload), read.tick)
 
 
 def loose_tick(payload: Column) -> Column:
@@ -48,7 +55,7 @@ def loose_tick(payload: Column) -> Column:
     duplicate keys wins and NaN tokens survive.
     """
     read = _read(payload, ", ".join(f"{name} VARIANT" for name in TICK_FIELDS))
-    return F.when(read.end, read.tick)
+    return F.when(read.end & _alone(payload), read.tick)
 
 
 class Loose:

@@ -13,7 +13,6 @@ from tickloom.session import stored
 ARRIVAL_ORDER = ("arrival", "partition", "offset")
 
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 16384
 
 _ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
 
@@ -60,7 +59,7 @@ def numbered(
     without a key is kept and gets no position.
     """
     columns = list(keep or rows.columns)
-    slices_wanted = min(MAX_SLICES, 1 + rows.count() // slice_rows)
+    slices_wanted = 1 + rows.count() // slice_rows
     in_order = rows.repartitionByRange(slices_wanted, key, *order).sortWithinPartitions(key, *order)
     row_id = in_order.select("*", F.monotonically_increasing_id().alias("row_id"))
     slices = stored(

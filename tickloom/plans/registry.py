@@ -42,7 +42,8 @@ LIMIT = 10
 LATE_PARTS = 3
 HEALTH_PARTS = 2
 LATE_WINDOW = "1 hour"
-INGEST_BATCH_BYTES = 1 << 40
+# A micro-batch takes about so many bytes of files; it is cached for its writes.
+INGEST_BATCH_BYTES = 256 << 20
 
 _QUERIES: dict[str, Query] = {}
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.operators.bars import tick_json
 from tickloom.schemas import TABLES
 
+# Columns that a table fills with the time of writing.
+STAMPS = ("inserted_at", "created_at", "recorded_at")
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -26,11 +30,17 @@ def create_tables(spark: SparkSession, folder: str | None = None, database: str
 
 
 def append_to_table(rows: DataFrame, table: str) -> None:
-    """Append by column name, casting to the types of the table; columns not supplied become NULL."""
+    """Append by column name, casting to the types of the table.
+
+    Stamps that are not supplied become the time of writing, other columns NULL.
+    """
     schema = rows.sparkSession.table(table).schema
+
+    def missing(name: str) -> Column:
+        return F.current_timestamp() if name in STAMPS else F.lit(None)
+
     columns = [
-        F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schema
+        (F.col(f.name) if f.name in rows.columns else missing(f.name)).cast(f.dataType).alias(f.name) for f in schema
     ]
     rows.select(*columns).write.mode("append").insertInto(table)
 
@@ -44,8 +54,21 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_folder(folder, batch_id))
 
 
+def read_if_there(spark: SparkSession, folder: str, ddl: str) -> DataFrame | None:
+    """The rows of a parquet folder, or None where nothing was ever written."""
+    try:
+        return spark.read.schema(ddl).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_batches(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
-    return spark.read.schema(f"{ddl}, batch_id bigint").parquet(folder)
+    """All rows of a sink; none where no micro-batch had any."""
+    ddl = f"{ddl}, batch_id bigint"
+    found = read_if_there(spark, folder, ddl)
+    return spark.createDataFrame([], ddl) if found is None else found
 
 
 def replayable(folder: str) -> BatchWriter:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.counters import report_points, total_counts
 from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.ingest import dead_letters, price_rows
-from tickloom.sources.writers import batch_folder, write_batch
+from tickloom.sources.writers import batch_folder, read_if_there, write_batch
 
 PRICE_DDL = (
     "symbol string, price double, open_price double, high_price double, low_price double, volume bigint, "
@@ -58,11 +58,12 @@ class IngestSinks:
 def _carried(spark: SparkSession, sinks: IngestSinks, batch_id: int) -> DataFrame | None:
     """Totals and newest alert per topic at the end of the batch before; one row per topic.
 
-    Every batch writes its folder, even without rows, so only that folder is read.
+    Every batch with health writes its folder, even without rows, so only that folder is read. Where the
+    batch before ran without health there is none, and counting starts here.
     """
     if batch_id == 0:
         return None
-    return spark.read.schema(TOTALS_DDL).parquet(batch_folder(sinks.totals, batch_id - 1))
+    return read_if_there(spark, batch_folder(sinks.totals, batch_id - 1), TOTALS_DDL)
 
 
 def ingest_batch(sinks: IngestSinks, health: bool = True):
