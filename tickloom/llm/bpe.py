@@ -55,6 +55,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.names = {rank: str(rank) for rank in ranks.values()}
         self.longest = max(map(len, ranks), default=0)
         # Tokens read backwards, a branch per byte; the rank of a token stands under TOKEN.
         self.backwards: dict = {}
@@ -127,8 +128,14 @@ class Vocabulary:
                 break
             if TOKEN in node:
                 found.append((start, node[TOKEN]))
+        known = self._fits.get
         for start, token in reversed(found):
-            if self.fit(last[start - 1], token) if start else self.reachable(token):
+            if not start:
+                if self.reachable(token):
+                    return token
+                continue
+            fits = known(last[start - 1] << 32 | token)
+            if self.fit(last[start - 1], token) if fits is None else fits:
                 return token
         raise ValueError(f"no token for byte {raw[end - 1]}")
 
@@ -247,7 +254,7 @@ class Encoder:
     def _entry(self, piece: str) -> tuple[int, str, bytes]:
         """Number of tokens, decimal ids, and the bytes that the ids decode to."""
         ids = self.piece(piece.encode())
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        return len(ids), " ".join(map(self.vocabulary.names.__getitem__, ids)), self.decode(ids)
 
     def printed(self, text: str) -> tuple[int, str, bytes]:
         """Number of tokens, decimal ids joined by one space, decoded bytes."""
