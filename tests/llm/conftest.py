@@ -1,6 +1,5 @@
-import hashlib
-
 import pytest
+from corpus_cases import ODD
 from pyspark.sql import types as T
 
 DOCUMENT = T.StructType(
@@ -18,8 +17,6 @@ DOCUMENT = T.StructType(
     ]
 )
 
-LONG = " ".join(f"w{n % 997}x{n % 13}" for n in range(60_000))
-
 
 @pytest.fixture(scope="session")
 def documents(spark):
@@ -32,23 +29,6 @@ def documents(spark):
     return make
 
 
-# Nulls, empty and very long texts, ties, repeated rows.
-ODD = [
-    (1, None),
-    (2, ""),
-    (3, "   \n\t "),
-    (4, LONG),
-    (5, LONG),
-    (6, "one two three"),
-    (6, "one two three"),
-    (None, "one two three"),
-    (None, None),
-    (7, "a\x00b é \U0001f600 tail"),
-    (8, "x" * 300_000),
-    (9, "line one is long enough to count as a run of its own here\n" * 3),
-]
-
-
 @pytest.fixture(scope="session")
 def odd(documents):
     return documents(ODD)
@@ -57,7 +37,3 @@ def odd(documents):
 @pytest.fixture(scope="session")
 def empty(documents):
     return documents([])
-
-
-def sha(raw: bytes) -> str:
-    return hashlib.sha256(raw).hexdigest()

@@ -6,6 +6,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import pytest
+from corpus_cases import LONG, ODD, sha
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import Encoder, PrefixTable, Recent, encode_texts, read_ranks
@@ -18,8 +19,6 @@ from tickloom.llm.quality import score_quality, train_quality
 from tickloom.llm.runs import dedup_lines
 from tickloom.llm.shard import byte_shards
 
-from conftest import LONG, ODD, sha
-
 WORDS = [f"word{n}" for n in range(200)]
 
 
