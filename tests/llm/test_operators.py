@@ -256,6 +256,39 @@ def test_line_runs_against_brute_force(documents):
         assert got == brute_lines(pairs, chars), chars
 
 
+def brute_whole_lines(pairs):
+    """Lines left by document when every repeated run with a line that is not blank counts."""
+    docs = [(i, t.split("\n")) for i, t in sorted(pairs)]
+    runs = [(tuple(own[s : e + 1]), i, s, e) for i, own in docs for s in range(len(own)) for e in range(s, len(own))]
+    runs = [run for run in runs if any(x.strip(" \t\r\x0b\f") for x in run[0])]
+    first, gone = {}, defaultdict(set)
+    for key, i, s, e in runs:
+        if first.setdefault(key, (i, s)) != (i, s):
+            gone[i].update(range(s, e + 1))
+    return {i: (len(gone[i]), "\n".join(x for n, x in enumerate(own) if n not in gone[i])) for i, own in docs}
+
+
+def test_line_runs_without_a_floor(documents):
+    licence = "All rights reserved."
+    pairs = [
+        (1, f"one\n{licence}\n\n\ntail"),
+        (2, f"two\n{licence}\n\nown"),
+        (3, licence),
+        (4, "short"),
+        (5, "short"),
+        (6, " \t"),
+        (7, " \t"),
+        (8, "\n\n"),
+        (9, f"\n\n \n\ntail\n\n{licence}"),
+        (10, "\n\n \n\ntail\n\n\nx\nx\nx\n"),
+        (11, "\n" * 70 + "x"),
+        (12, "y" + "\n" * 70 + "x" + "\n" * 3),
+    ]
+    got = {r.doc_id: (r.n_removed, r.text) for r in dedup_lines(documents(pairs), chars=None).collect()}
+    assert got == brute_whole_lines(pairs)
+    assert got[3] == (1, "") and got[5] == (1, "") and got[7] == (0, " \t") and licence not in got[2][1]
+
+
 def test_line_runs_of_odd_and_empty_tables(odd, empty):
     rows = dedup_lines(odd).collect()
     assert len(rows) == len(ODD)

@@ -8,7 +8,8 @@ of the suffix order whose common prefix has that many lines. Two ranks, of the f
 
 A run that occurs earlier and has enough characters is deleted. All such runs are made of shortest ones:
 for every line the shortest run of enough characters that begins with it and the one that ends with it.
-These are looked up; the first of equal runs stays and the others go.
+These are looked up; the first of equal runs stays and the others go. Without a floor every run with a line
+that is not blank counts, a single line or a short text too: lines then weigh 1, blank ones 0, and 1 is enough.
 """
 
 from __future__ import annotations
@@ -36,6 +37,11 @@ def _chars(text: Column) -> Column:
     return (F.char_length(text) + 1).cast("long")
 
 
+def _weight(text: Column, chars: int | None) -> Column:
+    """What a line or a text adds to a run: its characters, or without a floor whether it is more than blanks."""
+    return _chars(text) if chars is not None else text.rlike(r"\S").cast("long")
+
+
 def _ranked(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Keys that occur more than once, with ranks in their order.
 
@@ -92,19 +98,20 @@ def _shortest(lines: DataFrame, chars: int) -> DataFrame:
     return runs.unionAll(back.select(*DOC, F.col("other").alias("first"), F.col("own").alias("last"))).distinct()
 
 
-def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int = MIN_CHARS) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int | None = MIN_CHARS) -> DataFrame:
     """(doc, key, whole, lines): lines to delete, by document; ``whole`` marks copies of an earlier text.
 
     A document is an id and the hash of its text (``key``). Earlier is by id (null last), then by hash,
     then by line.
     """
+    floor = 1 if chars is None else chars
     text = F.col(text_column)
     rows = docs.filter(text.isNotNull()).select(
         F.col(id_column).cast("long").alias("doc"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("mark"), text.alias("body")
     )
     # Of equal texts the first goes on; the others are deleted whole, without looking at their lines.
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "key")
-    texts = rows.select("doc", "key", "mark", _chars(F.col("body")).alias("chars"))
+    texts = rows.select("doc", "key", "mark", _weight(F.col("body"), chars).alias("chars"))
     firsts = texts.groupBy("key", "mark").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     several = stored_narrow(firsts.filter("n > 1").select("key", "mark", F.col("first.doc").alias("kept")), "runs-copies")
     copies = texts.join(several, ["key", "mark"]).filter(~F.col("doc").eqNullSafe(F.col("kept")))
@@ -112,7 +119,7 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     split = rows.select("doc", "key", F.posexplode(_lines(F.col("body"))).alias("pos", "line"))
     line = split.select(
-        "doc", "key", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), _chars(F.col("line")).alias("chars")
+        "doc", "key", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), _weight(F.col("line"), chars).alias("chars")
     )
     same = line["doc"].eqNullSafe(copies["doc"]) & (line["key"] == copies["key"])
     lines = line.join(copies.select("doc", "key"), same, "left_anti").dropDuplicates([*DOC, "pos"])
@@ -124,7 +131,7 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     same = lines["doc"].eqNullSafe(concerned["doc"]) & (lines["key"] == concerned["key"])
     lines = stored_narrow(lines.join(concerned, same, "left_semi").withColumn("doc", F.coalesce("doc", F.lit(_NO_ID))), "runs-lines")
 
-    runs = stored_narrow(_shortest(lines, chars).withColumn("n", F.col("last") - F.col("first") + 1), "runs-shortest")
+    runs = stored_narrow(_shortest(lines, floor).withColumn("n", F.col("last") - F.col("first") + 1), "runs-shortest")
     longest = runs.agg(F.max("n")).first()[0] or 1
     levels = _levels(lines, longest)
     levels = levels.withColumn("size", F.expr("shiftleft(1, level)"))
@@ -138,15 +145,16 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     gone = later.select(*DOC, F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     partly = gone.groupBy(*DOC).agg(F.sort_array(F.collect_list("pos")).alias("lines"))
     partly = partly.select(F.nullif("doc", F.lit(_NO_ID)).alias("doc"), "key", F.lit(False).alias("whole"), "lines")
-    whole = copies.filter(F.col("chars") >= chars).select("doc", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("lines"))
+    whole = copies.filter(F.col("chars") >= floor).select("doc", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("lines"))
     return partly.unionAll(whole)
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int | None = MIN_CHARS) -> DataFrame:
     """Per row: id, n_lines, n_removed, lines removed (numbers from 0, null for all) and the text without them.
 
     Of every run of lines that occurs again the first copy stays and the later ones go, in whatever
-    document, if the run has ``chars`` characters or more. Null texts have no lines and stay null; an empty
+    document, if the run has ``chars`` characters or more, or, where ``chars`` is None, any line that is not
+    blank (ASCII white space only). Null texts have no lines and stay null; an empty
     text is one empty line. Rows that repeat an id and text are one document and are treated alike. No rows
     give no rows; other columns are not looked at.
     """
