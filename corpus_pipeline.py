@@ -19,11 +19,17 @@ from tickloom.llm.tables import read
 from tickloom.session import stored
 
 SCORE = "quality_score"
+KEY = "text_key"
 
 
 def _without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
-    """The rows whose id is not among the dropped ones; these are written, so the planner sees their size."""
-    return docs.join(stored(dropped.select("doc_id").distinct(), label), "doc_id", "left_anti").select(docs.columns)
+    """The rows that were not dropped themselves, known by id (null too) and hash of the text.
+
+    Dropped ones are written, so the planner sees their size.
+    """
+    gone = stored(dropped.select("doc_id", KEY).distinct(), label)
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone[KEY])
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +45,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates (five-word shingles, similarity 0.8) the row with the smallest id."""
-    return _without(docs, near_duplicates(docs).filter(~F.col("kept")), "pipeline-near")
+    return _without(docs, near_duplicates(docs, key_column=KEY).filter(~F.col("kept")), "pipeline-near")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of ten words of a benchmark item."""
-    found = contamination(docs, read(spark, sf_dir, "benchmark"))
+    found = contamination(docs, read(spark, sf_dir, "benchmark"), key_column=KEY)
     return _without(docs, found.filter("contaminated"), "pipeline-contaminated")
 
 

@@ -183,6 +183,17 @@ def test_near_duplicates_against_brute_force(documents):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+def test_near_duplicates_judge_each_text_of_an_id(documents):
+    one, two = text(0, 60), text(100, 80)
+    rows = [(5, one), (6, one), (6, two), (7, two + " more"), (8, one), (None, two), (6, two)]
+    got = near_duplicates(documents(rows), key_column="key")
+    assert got.columns == ["doc_id", "key", "n_shingles", "component_id", "kept"]
+    found = sorted(((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in got.collect()))
+    assert found == [
+        (0, 76, 6, False), (5, 56, 5, True), (6, 56, 5, False), (6, 76, 6, True), (6, 76, 6, True), (7, 77, 6, False), (8, 56, 5, False),
+    ]
+
+
 def test_near_duplicates_of_odd_and_empty_tables(odd, empty):
     got = near_duplicates(odd).collect()
     assert len(got) == len(ODD)

@@ -35,7 +35,7 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 o
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 _HITS = (
-    "id long, n_words long, n_hit long, items array<string>, "
+    "id long, key long, n_words long, n_hit long, items array<string>, "
     "spans array<struct<start: int, end: int>>, items_sha256 string"
 )
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -152,13 +152,15 @@ def contamination(
     item_text_column: str = "text",
     width: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    key_column: str | None = None,
 ) -> DataFrame:
     """Per row: id, n_words, n_hit, n_items, items, spans (characters of the original), items_sha256, contaminated.
 
     A word is hit when it lies inside an occurrence of ``width`` consecutive words of an item, or of a
     whole item that is shorter. Null and empty texts have no words; items without words have no window;
     null item ids read as the empty name. Repeated rows are judged one by one; an empty benchmark hits
-    nothing. Documents are scanned once, whole, and are not shuffled.
+    nothing. Documents are scanned once, whole, and are not shuffled. ``key_column`` names a column for the
+    64-bit hash of the row's text (``xxhash64``), which with the id tells the row that was judged.
     """
     context = docs.sparkSession.sparkContext
     rows = benchmark.select(F.col(item_column).cast("string"), F.col(item_text_column)).toLocalIterator()
@@ -182,18 +184,21 @@ def contamination(
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
+                        part.column("key"),
                         pa.array([len(own) for own in normal], pa.int64()),
                         pa.array([sum(b - a for a, b in own) for own in runs], pa.int64()),
                         pa.array(names, pa.list_(pa.string())),
                         pa.array([[{"start": a, "end": b} for a, b in own] for own in spans], _SPAN),
                         pa.array([hashlib.sha256(",".join(own).encode()).hexdigest() for own in names], pa.string()),
                     ],
-                    ["id", "n_words", "n_hit", "items", "spans", "items_sha256"],
+                    ["id", "key", "n_words", "n_hit", "items", "spans", "items_sha256"],
                 )
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
+    body = F.col(text_column)
+    narrow = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(body).alias("key"), body.alias("body"))
     return in_arrow(narrow, scan, _HITS).select(
         F.col("id").alias(id_column),
+        *([F.col("key").alias(key_column)] if key_column else []),
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),

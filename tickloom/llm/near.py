@@ -164,8 +164,12 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
 
 
+def _classes(sets: list[np.ndarray]) -> list[bytes | None]:
+    return [hashlib.blake2b(own, digest_size=16).digest() if len(own) else None for own in sets]
+
+
 def _signed(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
-    """Per row: id, n_shingles, class (digest of the set, null if empty) and signature."""
+    """Per row: id, key, n_shingles, class (digest of the set, null if empty) and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,20 +177,20 @@ def _signed(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                 sets = shingle_sets(raws, width)
                 sizes = np.array([len(own) for own in sets])
                 signed = signatures(sets, coordinates)[sizes > 0]
-                names = [hashlib.blake2b(own, digest_size=16).digest() if len(own) else None for own in sets]
                 columns = [
                     part.column("id"),
+                    part.column("key"),
                     pa.array(sizes, pa.int64()),
-                    pa.array(names, pa.binary()),
+                    pa.array(_classes(sets), pa.binary()),
                     _lists(signed.ravel(), np.where(sizes > 0, coordinates, 0)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "class", "signature"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "n_shingles", "class", "signature"])
 
-    return in_arrow(docs, run, "id long, n_shingles long, class binary, signature array<long>")
+    return in_arrow(docs, run, "id long, key long, n_shingles long, class binary, signature array<long>")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: id, shingle set, its size and its sketch."""
+    """Per row: class, shingle set, its size and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,10 +199,10 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 sizes = np.array([len(own) for own in sets])
                 lists = _lists(np.concatenate(sets), sizes)
                 bits = _lists(sketches(sets).ravel(), np.full(len(sets), SKETCH_BITS // 64))
-                columns = [part.column("id"), lists, pa.array(sizes, pa.int64()), bits]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "set", "n", "sketch"])
+                columns = [pa.array(_classes(sets), pa.binary()), lists, pa.array(sizes, pa.int64()), bits]
+                yield pa.RecordBatch.from_arrays(columns, ["class", "set", "n", "sketch"])
 
-    return in_arrow(docs, run, "id long, set array<long>, n long, sketch array<long>")
+    return in_arrow(docs, run, "class binary, set array<long>, n long, sketch array<long>")
 
 
 def _may_link(left: list[Column], right: list[Column], n: Column, m: Column, percent: int) -> Column:
@@ -251,43 +255,54 @@ def near_duplicates(
     words: int = WORDS,
     percent: int = PERCENT,
     coordinates: int = COORDINATES,
+    key_column: str | None = None,
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reached over links), kept (id is component_id).
 
     Links join texts whose sets of ``words``-word shingles have a Jaccard similarity of ``percent`` or
     more. Words and shingles are compared by 64-bit hashes. Null texts and texts without words have no
-    shingle and no link. Rows that repeat an id are one document; a row without id belongs to the class of
-    its text and is kept only if that has no id. No rows give no rows; other columns are not looked at.
+    shingle and no link. Rows that repeat an id and text are one document; an id with several texts is judged
+    text by text. A row without id belongs to the class of its text and is kept only if that has no id. No
+    rows give no rows; other columns are not looked at. ``key_column`` names a column for the 64-bit hash of
+    the row's text (``xxhash64``), which with the id tells the row that was judged.
     """
     least = match_threshold(coordinates, percent / 100)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
-    signed = stored(_signed(rows, words, coordinates), "near-signed")
+    body = F.col(text_column)
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(body).alias("key"), body.alias("body"))
+    signed = stored(_signed(rows, words, coordinates).withColumn("row", F.monotonically_increasing_id()), "near-signed")
     worded = signed.filter(F.col("class").isNotNull())
 
-    # One row per class goes on: the smallest id.
+    # One row per class goes on, one with the smallest id. From here to the groups "id" is the class, as a number.
     classes = stored_narrow(
-        worded.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("rep is not null"),
+        worded.groupBy("class")
+        .agg(F.min("id").alias("rep"), F.min_by("row", "id").alias("first"), F.count("*").alias("n"))
+        .filter("rep is not null"),
         "near-classes",
     )
-    more = classes.filter("n > 1").select("class", "rep")
+    more = classes.filter("n > 1").select("class", "first")
     copies = stored_narrow(
-        worded.filter("id is not null").select("class", "id").join(more, "class").filter("id > rep").select("id"),
+        worded.filter("id is not null").select("class", "row").join(more, "class").filter("row != first").select("row"),
         "near-copies",
     )
-    singles = worded.filter("id is not null").join(copies, "id", "left_anti")
+    number = F.xxhash64("class")
+    singles = worded.filter("id is not null").join(copies, "row", "left_anti").select(number.alias("id"), "signature")
 
     posts = singles.select("id", F.explode("signature").alias("post"))
     first = stored_narrow(_shared(posts, least), "near-shared")
     # Without the classes that fell out, fewer values are shared.
-    shared = stored_narrow(_shared(first.select("id", F.explode("posts").alias("post")), least), "near-shared")
-    sets = stored(_sets(rows.join(shared.select("id"), "id", "left_semi"), words), "near-sets")
+    shared = _shared(first.select("id", F.explode("posts").alias("post")), least)
+    shared = stored_narrow(shared.join(classes.select(number.alias("id"), "rep"), "id"), "near-shared")
+    # Other texts of these ids come along; their classes meet nothing below.
+    bodies = rows.join(shared.select(F.col("rep").alias("id")), "id", "left_semi")
+    sets = stored(_sets(bodies, words).select(number.alias("id"), "set", "n", "sketch"), "near-sets")
     known = stored_narrow(shared.join(sets.select("id", "n", "sketch"), "id"), "near-known")
     prefix = F.slice("posts", F.lit(1), F.size("posts") - least + 1)
-    postings = shared.select("id", F.explode(prefix).alias("post"))
+    postings = shared.select("id", "rep", F.explode(prefix).alias("post"))
 
-    # Every posting against its smallest member.
-    centres = postings.groupBy("post").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    near = postings.join(centres, "post").filter("id > a").select("a", F.col("id").alias("b")).distinct()
+    # Every posting against the member with the smallest id of its rows.
+    centres = postings.groupBy("post").agg(F.min_by("id", "rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    near = postings.join(centres, "post").filter("id != a")
+    near = near.select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
     links = _confirmed(near, known, sets, least, percent)
     reached = components(links)
 
@@ -312,11 +327,19 @@ def near_duplicates(
     more_links = _confirmed(across, known, sets, least, percent)
     reached = components(links.unionAll(more_links))
 
-    groups = classes.join(reached, classes["rep"] == reached["node"], "left").filter("n > 1 or label is not null")
-    groups = stored_narrow(groups.select("class", F.coalesce("label", "rep").alias("component_id")), "near-groups")
-    grouped = worded.join(groups, "class", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
-    alone = signed.filter(F.col("class").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
+    named = classes.join(reached, number == reached["node"], "left").select("class", "rep", "n", "label")
+    named = named.filter("n > 1 or label is not null").withColumn("label", F.coalesce("label", number))
+    named = stored_narrow(named, "near-named")
+    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    groups = stored_narrow(named.join(smallest, "label").select("class", "component_id"), "near-groups")
+    own = ["id", "key", "n_shingles"]
+    grouped = worded.join(groups, "class", "left").select(*own, F.coalesce("component_id", "id").alias("component_id"))
+    alone = signed.filter(F.col("class").isNull()).select(*own, F.col("id").alias("component_id"))
     out = grouped.unionAll(alone)
     return out.select(
-        F.col("id").alias(id_column), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+        F.col("id").alias(id_column),
+        *([F.col("key").alias(key_column)] if key_column else []),
+        "n_shingles",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
