@@ -29,6 +29,20 @@ def test_derived_records_of_odd_pages(spark):
     assert derive_records(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_character_references_are_resolved_once(spark):
+    pages = {
+        "caf&eacute; &mdash; &rsquo;&hellip;&euro;": "café — ’…€",
+        "&#39;&#8217;&#x2019;&#X1F600;&#0065;": "'’’😀A",
+        "&#38;lt; &amp;eacute; &amp;#39; &mdash;": "&lt; &eacute; &#39; —",
+        "a&#160;b &#150; &#0; &#xD800; &#99999999999;": "a b – \ufffd \ufffd \ufffd",
+        "&eacute &copy2 &notit; &unknown; R&D & &; &#; &#x;": "é ©2 ¬it; &unknown; R&D & &; &#; &#x;",
+        "AT&amp;T &lt;b&gt; &quot;&middot;&nbsp;&copy;": 'AT&T <b> "· ©',
+    }
+    rows = [(f"<urn:{n}>", "u", None, f"<p>{page}</p>", None) for n, page in enumerate(pages)]
+    got = derive_records(spark.createDataFrame(rows, PAGES)).filter("record_type = 'conversion'")
+    assert {r.refers_to: r.block for r in got.collect()} == {f"<urn:{n}>": text for n, text in enumerate(pages.values())}
+
+
 def test_captures_are_judged_by_what_stood_at_the_time(spark):
     entries = [
         ("spam", "Bad.example", "add", "2024-01-02 00:00:00"),

@@ -8,6 +8,9 @@ Everything is a projection: rows are neither joined nor shuffled.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ BLOCKS = (
     "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|"
     "header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
 )
-# Named characters that are resolved besides &amp;, which comes last.
+# The named characters most pages keep to, besides &amp;. A blank stands for &nbsp;.
 NAMED = (
     ("lt", "<"),
     ("gt", ">"),
@@ -31,6 +34,14 @@ NAMED = (
     ("middot", "·"),
 )
 
+# All names of HTML (some also without their semicolon), and what numbers stand for that are no characters.
+NAMES = html5 | {f"{name};": character for name, character in NAMED} | {"nbsp": " "}
+_OPEN = sorted((name for name in NAMES if not name.endswith(";")), key=lambda name: (-len(name), name))
+_C1 = {n: bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)}
+_NUMBERS = {str(n): chr(n) if c == "\ufffd" else c for n, c in _C1.items()} | {"0": "\ufffd", "160": " "}
+_USUAL = "|".join(name for name, _ in (*NAMED, ("amp", "&")))
+_UNUSUAL = f"&(?:#[0-9]|#[xX][0-9a-fA-F]|(?!(?:{_USUAL});)(?:[A-Za-z][A-Za-z0-9]*;|{'|'.join(_OPEN)}))"
+
 
 def digest(value: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(value.cast("binary"), 256))
@@ -43,6 +54,43 @@ def record_id(kind: str, source: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
 
+def _fixed(table: dict[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def _reference(piece: Column) -> Column:
+    """What follows an ampersand, with the reference it begins with resolved, if there is one."""
+    known = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
+    bare = F.regexp_extract(piece, f"^({'|'.join(_OPEN)})", 1)
+    digits = F.regexp_extract(piece, "^#0*([0-9]+);?", 1)
+    nibbles = F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]+);?", 1)
+    number = F.when(digits != "", F.when(F.length(digits) < 9, digits.cast("long")).otherwise(1 << 30)).otherwise(
+        F.when(F.length(nibbles) < 8, F.conv(nibbles, 16, 10).cast("long")).otherwise(1 << 30)
+    )
+    none = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    character = F.when(none, "\ufffd").otherwise(F.coalesce(_fixed(_NUMBERS)[number.cast("string")], character))
+    rest = F.regexp_replace(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", "")
+    named = _fixed(NAMES)
+    return (
+        F.when((digits != "") | (nibbles != ""), F.concat(character, rest))
+        .when((known != "") & named[known].isNotNull(), F.concat(named[known], F.substr(piece, F.length(known) + 1)))
+        .when(bare != "", F.concat(named[bare], F.substr(piece, F.length(bare) + 1)))
+        .otherwise(F.concat(F.lit("&"), piece))
+    )
+
+
+def _resolved(text: Column) -> Column:
+    """Character references resolved, once each; pages with none but usual names take the quick way."""
+    usual = text
+    for name, character in NAMED:
+        usual = F.replace(usual, F.lit(f"&{name};"), F.lit(character))
+    usual = F.replace(usual, F.lit("&amp;"), F.lit("&"))
+    pieces = F.split(text, "&", -1)
+    each = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), _reference), ""))
+    return F.when(text.rlike(_UNUSUAL), each).otherwise(usual)
+
+
 def plain_text(html: Column) -> Column:
     """The text of a page: silent elements, comments and tags out, blocks on lines of their own, blanks joined."""
     text = html
@@ -52,9 +100,8 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, r"[ \t\r\n]+", " ")
     text = F.regexp_replace(text, f"(?i)</?({BLOCKS})(\\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, "<[!/?a-zA-Z][^>]*>", "")
-    for name, character in NAMED:
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
-    text = F.replace(text, F.lit("&amp;"), F.lit("&"))
+    # The text is bound, so that it is made once.
+    text = F.get(F.transform(F.array(text), _resolved), F.lit(0))
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, " *\n *", "\n"), "\n+", "\n"), r"^[ \n]+|[ \n]+$", "")
 
 
