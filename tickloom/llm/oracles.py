@@ -207,3 +207,132 @@ SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(n
     sha256(coalesce(body, '')) AS text_sha256
 FROM (SELECT doc_id, string_split(text, chr(10)) AS own FROM documents) LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
+
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(fields: list[str]) -> str:
+    return f"sha256({' || '.join(_FIELD.format(field) for field in fields)})"
+
+
+_CRC32 = """
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
+        lambda c, x: xor(c >> 8, t.crc[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)"""
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE doc AS (
+    SELECT *, CAST(doc_id AS VARCHAR) AS d, coalesce('+' || lang, '') AS tree,
+        {_leaf(["doc_id", "source", "lang", "n_chars", "text"])} AS leaf,
+        {_leaf(["doc_id", "source", "lang", "(n_chars + 1)", "text"])} AS changed
+    FROM documents),
+placed AS (
+    SELECT doc_id, tree, leaf, CASE WHEN {_CRC32} % 7 = 0 THEN changed ELSE leaf END AS claimed,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+    FROM doc, (SELECT {_crc_table()} AS crc) t),
+low AS (
+    SELECT tree, 0 AS level, idx, n, leaf AS hash FROM placed
+    UNION ALL
+    SELECT tree, level + 1, idx // 2, (max(n) + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx))
+    FROM low WHERE n > 1 GROUP BY tree, level, idx // 2),
+subroots AS (SELECT tree, level, hash FROM low WHERE n = 1),
+high AS (
+    SELECT 0 AS level, row_number() OVER (ORDER BY encode(tree)) - 1 AS idx, count(*) OVER () AS n, hash FROM subroots
+    UNION ALL
+    SELECT level + 1, idx // 2, (max(n) + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY level, idx // 2),
+root AS (SELECT hash AS root FROM high WHERE n = 1),
+tops AS (SELECT tree, hash AS subroot, level AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM subroots),
+node AS (
+    SELECT p.doc_id, p.tree, p.idx AS spot, l.level, p.idx >> l.level AS i, l.n
+    FROM placed p JOIN (SELECT DISTINCT tree, level, n FROM low WHERE n > 1) l USING (tree)
+    UNION ALL
+    SELECT p.doc_id, p.tree, p.idx, t.height + h.level, t.place >> h.level, h.n
+    FROM placed p JOIN tops t USING (tree), (SELECT DISTINCT level, n FROM high WHERE n > 1) h),
+every AS (
+    SELECT tree, level, idx, hash FROM low WHERE n > 1
+    UNION ALL
+    SELECT t.tree, t.height + h.level, h.idx, h.hash FROM tops t, high h WHERE h.n > 1),
+step AS (
+    SELECT n.tree, n.spot, n.level, n.i % 2 = 1 AS is_left, coalesce(e.hash, '') AS sibling
+    FROM node n LEFT JOIN every e ON e.tree = n.tree AND e.level = n.level AND e.idx = xor(n.i, 1)),
+fold AS (
+    SELECT tree, idx AS spot, 0 AS level, claimed AS hash FROM placed
+    UNION ALL
+    SELECT f.tree, f.spot, f.level + 1, sha256(CASE WHEN s.is_left THEN s.sibling || f.hash ELSE f.hash || s.sibling END)
+    FROM fold f JOIN step s ON s.tree = f.tree AND s.spot = f.spot AND s.level = f.level),
+ended AS (SELECT tree, spot, max_by(hash, level) AS folded_root FROM fold GROUP BY tree, spot),
+proof AS (SELECT tree, spot, sha256(string_agg(sibling, '' ORDER BY level)) AS proof FROM step GROUP BY tree, spot)
+SELECT p.doc_id, p.leaf, t.subroot, r.root, coalesce(f.proof, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.root AS verified
+FROM placed p JOIN tops t USING (tree) JOIN ended e ON e.tree = p.tree AND e.spot = p.idx
+LEFT JOIN proof f ON f.tree = p.tree AND f.spot = p.idx, root r
+"""
+
+_MEASURED = """
+    (VALUES ('word_length', 1000 * word_chars // n_words, 50), ('symbol_share', 10000 * n_symbols // word_chars, 100),
+        ('dup_line_share', 10000 * n_dup_lines // n_lines, 1000), ('repeat_share', 10000 * n_repeat_words // n_words, 1000))
+        AS v(measure, value, width)"""
+
+
+def _fences(name: str, keys: str, least: int) -> str:
+    """Fences of the groups by ``keys`` from the buckets of their documents."""
+    return f"""
+{name}_counts AS (SELECT {keys}, measure, width, bucket, count(*) AS r FROM bucketed GROUP BY ALL),
+{name}_ranks AS (
+    SELECT *, sum(r) OVER (PARTITION BY {keys}, measure ORDER BY bucket) AS upto, sum(r) OVER (PARTITION BY {keys}, measure) AS n
+    FROM {name}_counts),
+{name}_quartiles AS (
+    SELECT {keys}, measure, width, min(bucket) FILTER (4 * upto >= n) AS q1, min(bucket) FILTER (4 * upto >= 3 * n) AS q3
+    FROM {name}_ranks WHERE n >= {least} GROUP BY ALL),
+{name} AS (
+    SELECT {keys}, measure, q1 - 5 * greatest(q3 - q1, width) AS low, q3 + 5 * greatest(q3 - q1, width) AS high FROM {name}_quartiles)"""
+
+
+ORACLES["op12_quality_rules"] = f"""
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS body, coalesce('+' || lang, '') AS lang, coalesce('+' || source, '') AS source FROM documents),
+split AS (
+    SELECT *, list_filter(string_split_regex(body, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM doc),
+windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS times
+    FROM (SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split))),
+again AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM windows WHERE times > 1) GROUP BY doc_id),
+counted AS (
+    SELECT doc_id, lang, source, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+    FROM split LEFT JOIN again USING (doc_id)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+measured AS (SELECT b.doc_id, b.lang, b.source, v.* FROM based b, LATERAL (SELECT * FROM {_MEASURED}) v WHERE NOT base_failed),
+bucketed AS (SELECT *, 1 AS one, (value >> greatest(length(bin(value)) - 8, 0)) << greatest(length(bin(value)) - 8, 0) AS bucket FROM measured),
+{_fences('own', 'lang, source', 200)},
+{_fences('wide', 'lang', 200)},
+{_fences('overall', 'one', 1)},
+outside AS (
+    SELECT m.doc_id, string_agg(measure, ',' ORDER BY CASE measure WHEN 'word_length' THEN 1 WHEN 'symbol_share' THEN 2 WHEN 'dup_line_share' THEN 3 ELSE 4 END) AS failed
+    FROM measured m LEFT JOIN own o USING (lang, source, measure) LEFT JOIN wide w USING (lang, measure) LEFT JOIN overall a USING (measure)
+    WHERE value < coalesce(o.low, w.low, a.low) OR value > coalesce(o.high, w.high, a.high) GROUP BY m.doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+    CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, coalesce(failed, '') AS failed,
+    NOT base_failed AND failed IS NULL AS kept
+FROM based LEFT JOIN outside USING (doc_id)
+"""
+
+_TERMS = f"regexp_extract_all({_folded('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+ORACLES["op13_ranked_search"] = f"""
+WITH doc AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM doc),
+posting AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM doc) GROUP BY ALL),
+weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM posting, total GROUP BY term, n_docs),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked JOIN posting USING (term) JOIN weighed USING (term), total GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

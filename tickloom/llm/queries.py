@@ -12,10 +12,13 @@ from tickloom.llm.bpe import encode_texts
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.exact import exact_dedup
 from tickloom.llm.langid import predict_language, train_language
+from tickloom.llm.merkle import folded, leaf_digest, merkle_manifest, proof_digest
 from tickloom.llm.near import near_duplicates
 from tickloom.llm.oracles import ORACLES  # noqa: F401
 from tickloom.llm.quality import score_quality, train_quality
+from tickloom.llm.rules import judge_quality
 from tickloom.llm.runs import dedup_lines
+from tickloom.llm.search import search_items
 from tickloom.llm.shard import byte_shards
 from tickloom.llm.tables import held_out, read
 from tickloom.llm.urls import domains, host_of, judge_captures
@@ -153,3 +156,36 @@ def op8_line_runs(spark, sf_dir):
     """Every document without the later copies of repeated runs of lines."""
     cleaned = dedup_lines(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query("op11_merkle_manifest")
+def op11_merkle_manifest(spark, sf_dir):
+    """Roots and proofs of the documents, and whether a seventh of tampered ones is noticed."""
+    docs = read(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in LEAF}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(tampered, leaf_digest((fields | {"n_chars": F.col("n_chars") + 1}).values()))
+    found = merkle_manifest(
+        docs, list(fields.values()), F.col("lang"), F.col("doc_id"), {"doc_id": F.col("doc_id"), "claimed": claimed}
+    )
+    proven = found.withColumn("folded_root", folded(F.coalesce("claimed", "leaf"), F.col("path")))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op12_quality_rules")
+def op12_quality_rules(spark, sf_dir):
+    """Every document with its counts, judged by base rules and by the fences of its language and source."""
+    judged = judge_quality(read(spark, sf_dir, "documents"))
+    return judged.withColumn("failed", F.array_join("failed", ","))
+
+
+@query("op13_ranked_search")
+def op13_ranked_search(spark, sf_dir):
+    """The twenty best documents of every benchmark item."""
+    return search_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
