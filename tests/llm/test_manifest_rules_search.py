@@ -1,0 +1,307 @@
+"""Hash trees, quality rules and ranked search against plain Python on small tables."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from corpus_cases import LONG, ODD
+from pyspark.sql import functions as F
+
+from tickloom.llm import search
+from tickloom.llm.merkle import folded, leaf_digest, merkle_manifest, proof_digest
+from tickloom.llm.queries import LEAF, QUERIES
+from tickloom.llm.rules import BLANKS, MEASURES, SYMBOLS, judge_quality
+from tickloom.llm.search import search_items
+
+DDL = "doc_id long, text string, lang string, source string, n_chars long, tree string, idx int, own string, m int, lang_low int"
+
+
+def table(spark, rows, partitions=3):
+    """(id, text, lang, source) with names that the operators use themselves."""
+    full = [(i, text, lang, source, None if text is None else len(text), "x", 1, "y", 2, 3) for i, text, lang, source in rows]
+    return spark.createDataFrame(full, DDL).repartition(partitions)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Hash trees
+
+
+def plain_leaf(row, more=0):
+    def field(value):
+        return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+    i, text, lang, source = row
+    n = None if text is None else len(text) + more
+    return sha("".join(map(field, (i, source, lang, n, text))))
+
+
+def plain_tree(leaves, fanout):
+    """Root, and the path of every leaf as (left, right) pairs."""
+    paths = [[] for _ in leaves]
+    level, owners = list(leaves), [[n] for n in range(len(leaves))]
+    while len(level) > 1:
+        above, groups = [], []
+        for start in range(0, len(level), fanout):
+            run = level[start : start + fanout]
+            for at in range(len(run)):
+                for leaf in owners[start + at]:
+                    paths[leaf].append(("".join(run[:at]), "".join(run[at + 1 :])))
+            above.append(sha("".join(run)))
+            groups.append(sum(owners[start : start + fanout], []))
+        level, owners = above, groups
+    return (level[0] if level else None), paths
+
+
+def plain_manifest(rows, fanout):
+    trees = defaultdict(list)
+    for row in rows:
+        trees[row[2]].append(row)
+    names = sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    own = {}
+    for name in names:
+        trees[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, plain_leaf(r)))
+        own[name] = plain_tree([plain_leaf(r) for r in trees[name]], fanout)
+    root, above = plain_tree([own[name][0] for name in names], fanout)
+    out = []
+    for name, way in zip(names, above):
+        for row, path in zip(trees[name], own[name][1]):
+            out.append((row[0], plain_leaf(row), own[name][0], root, tuple(path + way)))
+    return out
+
+
+def manifest(docs, fanout=2):
+    return merkle_manifest(docs, [F.col(name) for name in LEAF], F.col("lang"), F.col("doc_id"), {"doc_id": F.col("doc_id")}, fanout)
+
+
+ROWS = {
+    "odd": [(i, text, ("en", None, "", "dé", "z")[n % 5], None if n % 2 else "s") for n, (i, text) in enumerate(ODD)],
+    "one": [(5, "alone", "en", "s")],
+    "one group": [(n * 3 % 17, f"text {n}", None, "s") for n in range(17)],
+    "many groups": [(n, f"text {n}", f"lang{n}", "s") for n in range(9)],
+    "repeated": [(1, "same", "en", "s")] * 6 + [(2, None, "en", None)] * 3,
+}
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+@pytest.mark.parametrize("name", ROWS)
+def test_manifest_equals_plain_trees(spark, name, fanout):
+    got = manifest(table(spark, ROWS[name]), fanout).withColumn("fold", folded(F.col("leaf"), F.col("path"))).collect()
+    assert all(r.fold == r.root for r in got)
+    rows = [(r.doc_id, r.leaf, r.subroot, r.root, tuple((s.left, s.right) for s in r.path)) for r in got]
+    assert Counter(rows) == Counter(plain_manifest(ROWS[name], fanout))
+
+
+def test_manifest_of_no_rows(spark):
+    assert manifest(table(spark, [])).count() == 0
+
+
+def test_a_changed_row_is_noticed(spark, tmp_path):
+    rows = [(n, f"text {n}" if n % 5 else None, "en" if n % 3 else None, "s") for n in range(60)]
+    table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op11_merkle_manifest"](spark, str(tmp_path)).collect()
+    expected = {r[0]: r for r in plain_manifest(rows, 2)}
+    for r in got:
+        changed = zlib.crc32(str(r.doc_id).encode()) % 7 == 0 and rows[r.doc_id][1] is not None
+        assert r.verified == (not changed) and (r.folded_root == r.root) == r.verified
+        assert (r.leaf, r.subroot, r.root) == expected[r.doc_id][1:4]
+        assert r.proof_sha256 == sha("".join(a + b for a, b in expected[r.doc_id][4]))
+    assert any(not r.verified for r in got)
+
+
+def test_text_ids_have_a_manifest(spark):
+    rows = spark.createDataFrame([("b", "x"), ("a", "y"), (None, "z")], "doc_id string, text string")
+    got = merkle_manifest(rows, [F.col("doc_id"), F.col("text")], F.lit("t"), F.col("doc_id"), {"doc_id": F.col("doc_id")}).collect()
+    leaves = [sha(t) for t in ("-1:z", "1:a1:y", "1:b1:x")]
+    assert {r.root for r in got} == {plain_tree(leaves, 2)[0]}
+    assert leaf_digest and proof_digest
+
+
+# Quality rules
+
+
+def plain_measures(text):
+    text = text or ""
+    words = [w for w in re.split(f"[{BLANKS}]+", text) if w]
+    lines = [line for line in text.split("\n") if line.strip(BLANKS)]
+    windows = Counter(tuple(words[n : n + 3]) for n in range(len(words) - 2))
+    inside = {n + j for n in range(len(words) - 2) if windows[tuple(words[n : n + 3])] > 1 for j in range(3)}
+    symbols = sum(text.count(c) for c in SYMBOLS)
+    return len(words), sum(map(len, words)), symbols, len(lines), len(lines) - len(set(lines)), len(inside)
+
+
+def plain_fences(values, width):
+    buckets = sorted(v >> max(0, v.bit_length() - 8) << max(0, v.bit_length() - 8) for v in values)
+    low, high = (buckets[-(-part * len(buckets) // 4) - 1] for part in (1, 3))
+    room = 5 * max(high - low, width)
+    return low - room, high + room
+
+
+def plain_verdicts(rows, least):
+    judged, groups = [], defaultdict(lambda: defaultdict(list))
+    for i, text, lang, source in rows:
+        n, chars, symbols, lines, dups, again = plain_measures(text)
+        failed = n < 50 or 100 * again > 50 * n
+        values = None
+        if not failed:
+            values = (1000 * chars // n, 10000 * symbols // chars, 10000 * dups // lines, 10000 * again // n)
+            for key in ((lang, source), (lang,), ()):
+                for name, value in zip(MEASURES, values):
+                    groups[key][name].append(value)
+        judged.append((i, lang, source, (n, chars, symbols, dups, again), failed, values))
+    out = []
+    for i, lang, source, counts, failed, values in judged:
+        names = []
+        if not failed:
+            key = next(k for k in ((lang, source), (lang,), ()) if len(groups[k]["word_length"]) >= least or k == ())
+            for (name, width), value in zip(MEASURES.items(), values):
+                low, high = plain_fences(groups[key][name], width)
+                names += [] if low <= value <= high else [name]
+        out.append((i, *counts, failed, tuple(names), not failed and not names))
+    return out
+
+
+def prose(seed, words=60, letters=5, junk=""):
+    return " ".join(f"{'abcdefghij'[(seed + n) % 10] * (letters + (n * seed) % 3)}{seed * 31 + n}{junk}" for n in range(words))
+
+
+RULED = (
+    [(n, prose(n), "en", "a") for n in range(30)]
+    + [(100 + n, prose(n, letters=9), "de", "a") for n in range(12)]
+    + [(200 + n, prose(n), "de", "b") for n in range(4)]
+    + [(300, prose(7, junk="###"), "en", "a"), (301, prose(7, letters=40), "en", "a"), (302, prose(3, 20), "en", "a")]
+    + [(303, "one two three four " * 40, "en", "a"), (304, "\n".join([prose(9, 6)] * 9), None, None), (305, prose(8), None, "a")]
+    + [(306, prose(5) + "\n" + "\n".join(["same line of text", f"other {n}"][n % 2] for n in range(40)), "en", "a")]
+    + [(400 + n, text, None, "odd") for n, (_, text) in enumerate(ODD)]
+    + [(None, prose(2), "en", "a"), (1, prose(1), "en", "a")]
+)
+
+
+@pytest.mark.parametrize("least", [1, 10, 200])
+def test_rules_equal_plain_rules(spark, least):
+    got = judge_quality(table(spark, RULED), least_rows=least).collect()
+    rows = [
+        (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, tuple(r.failed), r.kept) for r in got
+    ]
+    assert Counter(rows) == Counter(plain_verdicts(RULED, least))
+    assert {name for row in rows for name in row[7]} >= ({"word_length", "symbol_share"} if least == 10 else set())
+
+
+def test_rules_on_no_rows_and_on_text_ids(spark):
+    assert judge_quality(table(spark, [])).count() == 0
+    rows = spark.createDataFrame([("a", None, "en", "s"), ("b", prose(1), "en", "s")], "doc_id string, text string, lang string, source string")
+    assert {r.doc_id: r.kept for r in judge_quality(rows).collect()} == {"a": False, "b": True}
+
+
+def test_rules_use_no_python(spark, sf_dir):
+    plan = QUERIES["op12_quality_rules"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_rules_keep_good_documents(spark, sf_dir):
+    """Of documents labelled good that pass the base rules nearly all stay; symbol junk goes."""
+    judged = QUERIES["op12_quality_rules"](spark, sf_dir).filter("not base_failed")
+    known = judged.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
+    shares = {r.quality: r.kept for r in known.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert shares[1] >= 0.99 and shares[0] <= 0.1
+
+
+# Ranked search
+
+ITEMS = [
+    (1, "The quick brown fox"), (2, "fox, fox! dog"), (3, None), (4, "..."), (5, "absent words only"), (6, "é É 42"), (6, "dog"), (None, "quick"),
+]
+FOUND = (
+    [(n, "quick brown dog", "en", "s") for n in range(40, 0, -1)]
+    + [(100 + n, "fox " * n + "and the others", "en", "s") for n in range(12)]
+    + [(200, LONG + " fox", "en", "s"), (201, "The THE the", None, None), (202, None, "en", "s"), (203, "", "en", "s"), (204, "-- --", "en", "s")]
+    + [(205, "é 42 É É", "en", "s"), (7, "quick brown dog", "en", "s"), (7, "dog dog", "en", "s"), (None, "quick brown dog", "en", "s")]
+)
+
+
+def plain_terms(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", lower)
+
+
+def plain_search(rows, items, limit):
+    docs = [(i, Counter(own), len(own)) for i, own in ((r[0], plain_terms(r[1])) for r in rows)]
+    n_docs, total = sum(n > 0 for _, _, n in docs), sum(n for _, _, n in docs)
+    df = Counter(term for _, own, _ in docs for term in own)
+    out = []
+    for name, text in items:
+        asked = Counter(plain_terms(text))
+        scored = []
+        for i, own, n in docs:
+            m = 75 + (25 * n * n_docs) // max(1, total)
+            score = 0
+            for term, times in asked.items():
+                if own[term]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    score += times * w * ((10**9 * own[term]) // (1000 * own[term] + 12 * m))
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out += [(name, rank, row[3], -row[0]) for rank, row in enumerate(sorted(scored)[:limit], 1)]
+    return Counter(out)
+
+
+def asked(spark, items=ITEMS):
+    return spark.createDataFrame([(*item, 1, "x") for item in items], "item_id long, text string, rank int, score string")
+
+
+@pytest.mark.parametrize("limit", [3, 20])
+def test_search_equals_plain_search(spark, limit):
+    got = search_items(table(spark, FOUND), asked(spark), limit)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert Counter(map(tuple, got.collect())) == plain_search(FOUND, ITEMS, limit)
+
+
+def test_search_in_blocks(spark):
+    got = search_items(table(spark, FOUND), asked(spark), 5, block_bytes=16)
+    assert Counter(map(tuple, got.collect())) == plain_search(FOUND, ITEMS, 5)
+
+
+def test_scores_do_not_depend_on_how_many_are_added_at_once(monkeypatch):
+    items = search.Items([(n, (text or "").encode()) for n, text in ITEMS])
+    weights = np.arange(len(items.number)) + 3
+    sizes, terms = np.array([2, 0, len(items.number)]), np.array([0, 4, *range(len(items.number))])
+    times, m = np.arange(len(terms)) + 1, np.array([75, 80, 90])
+    whole = search.class_scores(items, weights, sizes, terms, times, m)
+    monkeypatch.setattr(search, "CONTRIBUTIONS", 1)
+    assert (search.class_scores(items, weights, sizes, terms, times, m) == whole).all()
+    names = {n: term for term, n in items.number.items()}
+    own = dict(zip(terms[2:], times[2:]))
+    for item, (_, text) in enumerate(ITEMS):
+        counts = Counter(t.encode() for t in plain_terms(text))
+        assert whole[2, item] == sum(counts[names[t]] * weights[t] * (10**9 * k // (1000 * k + 12 * 90)) for t, k in own.items())
+
+
+def test_terms_of_a_text_in_parts():
+    raw = LONG.encode()
+    parts = list(search.term_lists(raw, 100))
+    assert len(parts) > 100 and [t.decode() for part in parts for t in part] == plain_terms(LONG)
+
+
+def test_search_of_nothing(spark):
+    assert search_items(table(spark, []), asked(spark)).count() == 0
+    assert search_items(table(spark, FOUND), asked(spark, [])).count() == 0
+    assert search_items(table(spark, FOUND), asked(spark, [(1, None)])).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_search_with_text_ids(spark):
+    rows = spark.createDataFrame([("b", "fox"), ("a", "fox"), ("c", "fox hound"), ("d", "cat"), ("e", "cat"), ("f", "cow")], "doc_id string, text string")
+    items = spark.createDataFrame([("q", "fox hound")], "item_id string, text string")
+    assert [(r.item_id, r["rank"], r.doc_id) for r in search_items(rows, items).orderBy("rank").collect()] == [("q", 1, "c"), ("q", 2, "a"), ("q", 3, "b")]
+
+
+def test_equal_bags_are_scored_once(spark):
+    docs = table(spark, FOUND).select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    number = {b"quick": 0, b"brown": 1, b"dog": 2}
+    bags = search._bags(docs, number).filter(F.size("terms") > 0)
+    assert bags.count() == 43 and bags.select("terms", "times", "n").distinct().count() == 2

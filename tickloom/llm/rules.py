@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored_narrow
+from tickloom.session import stored
 
 # Base rules: too short, or more than this share of words in repeated windows.
 LEAST_WORDS = 50
@@ -175,7 +176,7 @@ def judge_quality(
     group = [F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("")) for c in (lang_column, source_column)]
     raw = docs.select(F.col(id_column).alias("id"), group[0].alias("lang"), group[1].alias("source"), text_measures(F.col(text_column)).alias("m"))
     short = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    measured = stored_narrow(raw.select("id", "lang", "source", "m.*").withColumn("base_failed", short), "rules-measured")
+    measured = stored(raw.select("id", "lang", "source", "m.*").withColumn("base_failed", short), "rules-measured")
 
     sketches = stored_narrow(quantile_sketches(measured.filter(~F.col("base_failed")), ["lang", "source"]), "rules-sketches")
     by_source = stored_narrow(_salted(fences(sketches, ["lang", "source"], least_rows, reach), ["lang", "source"], "own"), "rules-fences")

@@ -32,6 +32,9 @@ PART_BYTES = 1 << 20
 CELLS = 1 << 20
 CONTRIBUTIONS = 1 << 21
 
+# Parts in which the members of a class are looked up.
+MEMBER_PARTS = 16
+
 # Terms are made of these bytes; A-Z are read as a-z and all others part terms.
 _LETTERS = [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _LETTERS else 32 for b in range(256))
@@ -191,8 +194,13 @@ def _search(docs: DataFrame, items: Items, limit: int) -> DataFrame:
     found = stored_narrow(_best_classes(classes, items, term_weights(documents, frequency), limit), "search-found")
     best = stored_narrow(_ranked(found, limit, "first", "class").select("item", "score", "class"), "search-best")
     wanted = stored_narrow(classes.join(best.select("class").distinct(), "class").select("class", *same), "search-wanted")
-    order = Window.partitionBy("class").orderBy(F.asc_nulls_last("id"))
-    members = vector.join(wanted, same).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
+    # A class may hold a third of all documents: its members are looked up, and limited, in parts.
+    deal = F.pmod(F.xxhash64("id"), F.lit(MEMBER_PARTS)).cast("int")
+    parts = wanted.withColumn("part", F.explode(F.array(*[F.lit(n) for n in range(MEMBER_PARTS)])))
+    members = vector.withColumn("part", deal).join(parts, [*same, "part"])
+    for group in (["class", "part"], ["class"]):
+        order = Window.partitionBy(*group).orderBy(F.asc_nulls_last("id"))
+        members = members.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
     members = stored_narrow(members.select("class", "id", "place"), "search-members")
     return _ranked(best.join(members, "class"), limit, "id", "class", "place").select("item", "rank", "id", "score")
 
