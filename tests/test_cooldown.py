@@ -2,11 +2,12 @@ import datetime as dt
 import random
 
 import numpy as np
-import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickloom.operators.cooldown import _Follower, bin_steps, cooled_instants, fired_times
+from pyspark.sql import functions as F
+
+from tickloom.operators.cooldown import bin_steps, binned, composed, cooled_instants, fired_times, leave
 from tickloom.operators.health import alert_candidates, alerts
 
 T = dt.datetime(2026, 1, 1)
@@ -21,57 +22,40 @@ def plain(times, gap, last=None):
     return fired
 
 
-def check_steps(times, gap, last, seeded):
-    ordered = np.array(sorted(times))
-    upto, exits = bin_steps(ordered, gap, seeded)
-    fired = fired_times(ordered, last + gap, gap)
-    reach = np.searchsorted(upto, last + gap)
-    left = int(exits[reach]) if reach < len(upto) else last
-    assert left == (fired[-1] if fired else last)
-    assert fired == plain(times, gap, last)
-
-
 @settings(max_examples=300, deadline=None)
 @given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(1, 90))
 def test_steps_lead_where_a_walk_ends(times, gap, since):
-    check_steps(times, gap, min(times) - since, seeded=False)
+    ordered, last = np.array(sorted(times)), min(times) - since
+    upto, exits = bin_steps(ordered, gap)
+    fired = fired_times(ordered, last + gap, gap)
+    assert int(leave(upto, exits, np.array([last]), gap)[0]) == (fired[-1] if fired else last)
+    assert fired == plain(times, gap, last)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 60), st.integers(-90, 450))
-def test_seeded_steps_may_be_entered_anywhere(times, gap, last):
-    check_steps(times, gap, last, seeded=True)
-
-
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.sets(st.integers(0, 199), min_size=1), min_size=1, max_size=4), st.integers(1, 90), st.integers(1, 5))
-def test_steps_may_arrive_in_small_frames(bins, gap, frame_rows):
-    rows, times = [], []
-    for number, offsets in enumerate(bins):
-        ordered = np.array(sorted(offsets)) + 200 * number
-        times += ordered.tolist()
-        rows += [("k", number, int(u), int(e)) for u, e in zip(*bin_steps(ordered, gap))]
-    steps = pd.DataFrame(rows, columns=["k", "bin", "upto", "exit"])
-    walker, entries = _Follower(gap), []
-    for begin in range(0, len(steps), frame_rows):
-        entries += walker.entries(steps.iloc[begin : begin + frame_rows], "k")
-    assert [b for _, b, _ in entries] == list(range(len(bins)))
-    fired = []
-    for _, number, last in entries:
-        own = np.array([t for t in times if t // 200 == number])
-        fired += fired_times(own, last + gap, gap)
-    assert fired == plain(times, gap)
+@given(st.sets(st.integers(0, 400), min_size=1), st.integers(1, 12), st.integers(1, 90), st.integers(1, 120))
+def test_composed_steps_lead_where_a_walk_through_all_bins_ends(times, bin_rows, gap, since):
+    ordered = np.array(sorted(times))
+    bins = [bin_steps(ordered[n : n + bin_rows], gap) for n in range(0, len(ordered), bin_rows)]
+    first = int(ordered[0])
+    # Composed at once, and as blocks of blocks.
+    halves = [composed(bins[n : n + 3], int(ordered[n * bin_rows]), gap) for n in range(0, len(bins), 3)]
+    for upto, exits in (composed(bins, first, gap), composed(halves, first, gap)):
+        for last in (first - since, first - 1, first - 10**6):
+            fired = plain(times, gap, last)
+            assert int(leave(upto, exits, np.array([last]), gap)[0]) == (fired[-1] if fired else last)
+        assert len(upto) <= 1 + sum(1 for t in times if t < first + gap)
 
 
 def frame(spark, rows):
     return spark.createDataFrame([(k, T + dt.timedelta(milliseconds=ms)) for k, ms in rows], "topic string, recorded_at timestamp")
 
 
-def check(spark, rows, gap_seconds, bin_seconds, last=None):
+def check(spark, rows, gap_seconds, bin_rows, last=None, fan=3):
     seeds = None
     if last:
         seeds = frame(spark, list(last.items())).withColumnRenamed("recorded_at", "raised_at")
-    got = cooled_instants(frame(spark, rows).distinct(), "topic", "recorded_at", gap_seconds, seeds, bin_seconds).collect()
+    got = cooled_instants(frame(spark, rows).distinct(), "topic", "recorded_at", gap_seconds, seeds, bin_rows, fan).collect()
     expected = []
     for key in {k for k, _ in rows}:
         times = {ms for k, ms in rows if k == key}
@@ -83,32 +67,58 @@ def check(spark, rows, gap_seconds, bin_seconds, last=None):
 def test_many_bins(spark):
     draw = random.Random(1)
     rows = [(draw.choice("aab"), draw.randrange(3_600_000)) for _ in range(3000)]
-    check(spark, rows, 120, 300)
+    check(spark, rows, 120, 100)
 
 
-def test_bins_narrower_than_the_gap(spark):
+def test_bins_narrower_than_the_gap_on_several_levels(spark):
     draw = random.Random(2)
     rows = [("a", draw.randrange(1_200_000)) for _ in range(500)]
-    check(spark, rows, 120, 30)
+    check(spark, rows, 120, 7)
 
 
 def test_burst_at_one_instant_and_silence(spark):
     rows = [("a", 0)] * 500 + [("a", 119_999), ("a", 120_000), ("a", 240_000), ("a", 50_000_000)]
-    check(spark, rows, 120, 3600)
+    check(spark, rows, 120, 65_536)
+    check(spark, rows, 120, 2)
 
 
 def test_seeded(spark):
     draw = random.Random(3)
     rows = [(draw.choice("ab"), 60_000 + draw.randrange(900_000)) for _ in range(400)]
-    check(spark, rows, 120, 60, last={"a": 59_000, "c": 1})
+    check(spark, rows, 120, 50, last={"a": 59_000, "c": 1})
 
 
 def test_seeded_inside_a_bin(spark):
     """A batch that begins in the bin of the last alert, before and after that alert."""
     draw = random.Random(4)
     rows = [("a", 2_000_000 + draw.randrange(1_500_000)) for _ in range(300)]
-    check(spark, rows, 120, 3600, last={"a": 1_990_000})
-    check(spark, rows, 120, 3600, last={"a": 2_400_000})
+    check(spark, rows, 120, 40, last={"a": 1_990_000})
+    check(spark, rows, 120, 40, last={"a": 2_400_000})
+
+
+def rows_in_frames(frame):
+    """Rows of the largest frame that a grouped Python operator of the plan would be handed."""
+    return frame.groupBy("topic", "bin").count().agg(F.max("count")).first()[0]
+
+
+def test_one_topic_at_a_millisecond_clock_is_spread(spark):
+    """200,000 instants of one topic: no frame is larger than a bin, seeded or not, and the result is that of one walk."""
+    instants = spark.range(200_000).select(F.lit("a").alias("topic"), F.timestamp_millis(F.col("id") * 3 + 1).alias("recorded_at"))
+    seeds = spark.range(1).select(F.lit("a").alias("topic"), F.timestamp_millis(F.lit(90_000)).alias("raised_at"))
+    for last, first in ((None, 1), (seeds, 90_000 + 2_000)):
+        bins = binned(instants, "topic", "recorded_at", 2_000_000, last, 5_000)
+        assert rows_in_frames(bins) <= 5_000 and bins.select("bin").distinct().count() > 20
+        got = cooled_instants(instants, "topic", "recorded_at", 2, last, 5_000, 4)
+        millis = sorted(r[0] for r in got.select(F.unix_millis("recorded_at")).collect())
+        assert millis == plain([n * 3 + 1 for n in range(200_000) if n * 3 + 1 >= first], 2_000)
+
+
+def test_no_step_gathers_a_topic(spark):
+    rows = frame(spark, [("a", ms * 7_000) for ms in range(300)]).distinct()
+    plan = cooled_instants(rows, "topic", "recorded_at", 120, None, 20, 3)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert dealt and all(line.startswith(("topic#", "_we")) and "," in line.split("),")[0] for line in dealt)
+    assert all("bin" in line or "block" in line or "slice" in line for line in dealt)
 
 
 def test_first_of_equal_times_is_raised(spark):
