@@ -2,9 +2,12 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickloom.operators import counters
 from tickloom.operators.counters import report_points, running_counters, total_counts
 from tickloom.operators.health import alert_candidates, due_rows, health_reports
+from tickloom.session import stored
 
 DDL = "topic string, arrival timestamp, partition int, offset bigint, status string"
 T = dt.datetime(2026, 1, 1)
@@ -73,10 +76,39 @@ def test_plan_has_no_single_partition_window(spark):
     assert "SinglePartition" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_one_exchange_moves_all_rows(spark, monkeypatch):
+    """Before the slices are written there is one exchange; on reading only totals of slices move."""
+    plans = []
+
+    def watched(rows, label):
+        plans.append((label, rows._jdf.queryExecution().executedPlan().toString()))
+        return stored(rows, label)
+
+    monkeypatch.setattr(counters, "stored", watched)
+    frame = counters.running_counters(spark.createDataFrame(outcomes(1000, 5, 0.1), DDL))
+    assert [label for label, _ in plans] == ["slices", "slice_totals"]
+    assert plans[0][1].count("Exchange") == 1 and "rangepartitioning" in plans[0][1]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_sums_that_begin_inside_a_slice(spark):
+    """Several keys and several sums, null values count as 0, and slices of a few rows."""
+    rows = [("ab"[n % 7 > 4], n, n % 5 if n % 3 else None, -n) for n in range(200)]
+    frame = spark.createDataFrame(rows, "topic string, at int, up int, down int").repartition(5)
+    got = counters.numbered(frame, ("at",), slice_rows=9, sums={"ups": F.col("up"), "downs": F.col("down")}).collect()
+    expected, held = [], {"a": [0, 0, 0], "b": [0, 0, 0]}
+    for topic, at, up, down in sorted(rows, key=lambda r: r[1]):
+        own = held[topic]
+        own[0], own[1], own[2] = own[0] + 1, own[1] + (up or 0), own[2] + down
+        expected.append((topic, at, up, down, *own))
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
 def test_reports_skip_validation_failures_but_not_load_failures(spark):
     rows = [("t", T, 0, n, status, n, n - 1, 1) for n, status in ((50, "invalid"), (100, "load_failed"), (150, "inserted"), (151, "inserted"))]
-    counters = spark.createDataFrame(rows, DDL + ", processed bigint, inserted bigint, failed bigint")
-    reports = health_reports(due_rows(counters)).orderBy("processed").collect()
+    counted = spark.createDataFrame(rows, DDL + ", processed bigint, inserted bigint, failed bigint")
+    reports = health_reports(due_rows(counted)).orderBy("processed").collect()
     assert [r.processed for r in reports] == [100, 150]
     assert reports[0].extra_data == '{"processed":100,"inserted":99,"failed":1,"topic":"t","success_ratio":0.99}'
     assert reports[1].metric_value == 149 / 150

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.stamps import at_micros, micros
-from tickloom.operators.counters import SLICE_ROWS, numbered
+from tickloom.operators.counters import numbered
 from tickloom.session import stored
 
 # Instants of a bin, and bins that are composed or followed at once.
@@ -91,7 +91,7 @@ def binned(events: DataFrame, key: str, time: str, gap: int, last: DataFrame | N
         before = last.groupBy(key).agg(F.max(micros(F.col("raised_at"))).alias("before"))
         free = F.col("before").isNull() | (F.col("us") >= F.col("before") + gap)
         instants = stored(instants.join(before, key, "left").where(free).select(key, "us"), "instants")
-    placed = numbered(instants, ("us",), key, slice_rows=max(bin_rows, SLICE_ROWS))
+    placed = numbered(instants, ("us",), key)
     return placed.select(key, "us", F.expr(f"(processed - 1) div {bin_rows}").alias("bin"))
 
 

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.ingest import INSERTED, INVALID
-from tickloom.session import stored
+from tickloom.session import ship_package, stored
 
 ARRIVAL_ORDER = ("arrival", "partition", "offset")
 
-SLICE_ROWS = 1_000_000
-
 _ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
 
 
@@ -21,20 +21,20 @@ def _good() -> Column:
     return F.coalesce((F.col("status") == INSERTED).cast("bigint"), F.lit(0))
 
 
-def _before(key: str, order: str):
-    return Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _sum_before(column: str, key: str, order: str) -> Column:
-    return F.coalesce(F.sum(column).over(_before(key, order)), F.lit(0))
+def _running(columns: Sequence[str]):
+    """Arrow function: the named columns become their running sums through the partition."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = dict.fromkeys(columns, 0)
+        for batch in batches:
+            arrays = dict(zip(batch.schema.names, batch.columns))
+            for name in columns:
+                along = np.cumsum(batch.column(name).to_numpy()) + totals[name]
+                totals[name] = int(along[-1]) if len(along) else totals[name]
+                arrays[name] = pa.array(along, pa.int64())
+            yield pa.RecordBatch.from_pydict(arrays)
 
-def _add_carry(base: DataFrame, key: str, column: str, carry: DataFrame | None, counted: str) -> DataFrame:
-    if carry is None:
-        return base
-    start = carry.select(key, F.col(counted).alias("carried"))
-    added = (F.col(column) + F.coalesce("carried", F.lit(0))).alias(column)
-    return base.join(start, key, "left").select(*[added if c == column else c for c in base.columns])
+    return run
 
 
 def numbered(
@@ -42,73 +42,73 @@ def numbered(
     order: Sequence[str] = ARRIVAL_ORDER,
     key: str = "topic",
     carry: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
-    keep: Sequence[str] | None = None,
+    slice_rows: int | None = None,
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add ``processed``, the position of each row in the ``order`` of its ``key``, from 1.
+    """Add ``processed``, the position of each row in the ``order`` of its ``key``, from 1, and running ``sums``.
 
     The ``order`` columns are unique per key. The rows are range-partitioned on their
     whole order, so no key, time or burst can make a slice larger than its fair share.
-    That is the only shuffle: rows are numbered within their sorted slice as it is
-    written, and the rows of the slices before it are added on reading. Written slices
-    also keep their numbers when an executor is lost. ``carry`` (key, processed) tells
-    where to go on from; ``keep`` names the columns to write, if not all.
-
-    The input is read three times, for its size, the bounds and the rows: hand in
-    stored or persisted rows, not a plan that still has to parse messages. A row
-    without a key is kept and gets no position.
+    That is the only shuffle: rows are numbered, and their ``sums`` (whole numbers, by new name) run
+    along, within their sorted slice as it is written; what the slices before it add up to is added on
+    reading, from one row per key and slice. Written slices also keep their numbers when an executor is lost.
+    ``carry`` (key, processed, and the names of the sums) tells where to go on from. ``slice_rows`` sets the
+    size of a slice, at the price of a count; else the shuffle partitions of the session do.
+
+    The input is read twice, for the bounds and the rows: hand in stored or persisted rows, not a plan
+    that still has to parse messages. A row without a key is kept and gets no position and no sums.
     """
-    columns = list(keep or rows.columns)
-    slices_wanted = 1 + rows.count() // slice_rows
-    in_order = rows.repartitionByRange(slices_wanted, key, *order).sortWithinPartitions(key, *order)
-    row_id = in_order.select("*", F.monotonically_increasing_id().alias("row_id"))
+    sums = dict(sums or {})
+    columns = [name for name in rows.columns if name not in sums]
+    valued = rows.select(*columns, *[F.coalesce(value.cast("bigint"), F.lit(0)).alias(name) for name, value in sums.items()])
+    slices_wanted = [] if slice_rows is None else [1 + rows.count() // slice_rows]
+    in_order = valued.repartitionByRange(*slices_wanted, key, *order).sortWithinPartitions(key, *order)
+    in_order = in_order.withColumn("row_id", F.monotonically_increasing_id())
+    if sums:
+        ship_package(rows.sparkSession)
+        # Each sum a second time: the value itself is needed to find what lies before the first row of a key.
+        in_order = in_order.select("*", *[F.col(name).alias(f"own_{name}") for name in sums])
+        in_order = in_order.mapInArrow(_running(list(sums)), in_order.schema)
     slices = stored(
-        row_id.select(
-            *columns,
-            F.shiftright("row_id", _ROW_BITS).cast("int").alias("slice"),
-            (F.col("row_id").bitwiseAND(F.lit(2**_ROW_BITS - 1)) + 1).alias("row"),
-        ),
+        in_order.withColumns(
+            {
+                "slice": F.shiftright("row_id", _ROW_BITS).cast("int"),
+                "row": F.col("row_id").bitwiseAND(F.lit(2**_ROW_BITS - 1)) + 1,
+            }
+        ).drop("row_id"),
         "slices",
     )
-    # The row number runs through a slice whatever the key; take off what lies before the key's first row.
-    totals = slices.groupBy(key, "slice").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first"))
-    base = totals.select(
-        key, "slice", (_sum_before("rows", key, "slice") - F.col("first") + 1).alias("base")
-    )
-    # Stored, so that the planner knows its real size: a broadcast while it is small, a merge join beyond.
-    base = stored(_add_carry(base, key, "base", carry, "processed"), "slice_totals")
-    return slices.join(base, [key, "slice"], "left").select(
-        *columns, (F.col("base") + F.col("row")).alias("processed")
+    # Numbers run through a slice whatever the key; take off what lies before the key's first row.
+    totals = slices.groupBy(key, "slice").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("row").alias("first"),
+        *[F.sum(f"own_{name}").alias(f"all_{name}") for name in sums],
+        *[F.min_by(F.col(name) - F.col(f"own_{name}"), F.col("row")).alias(f"skip_{name}") for name in sums],
     )
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
 
+    def earlier(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(before), F.lit(0))
 
-def running_sum(
-    rows: DataFrame,
-    value: str,
-    position: str,
-    key: str = "topic",
-    carry: DataFrame | None = None,
-    carried: str = "inserted",
-    block: int = SLICE_ROWS,
-) -> DataFrame:
-    """Turn ``value`` into its running sum per ``key`` along whole-number, gap-free ``position``.
-
-    Blocks of equal length hold equally many rows, whatever the key; each is summed
-    along on its own and the sums of the blocks before it are added.
-    """
-    blocked = rows.withColumn("block", F.expr(f"{position} div {block}"))
-    totals = blocked.groupBy(key, "block").agg(F.sum(value).alias("total"))
-    base = totals.select(key, "block", _sum_before("total", key, "block").alias("base"))
-    base = _add_carry(base, key, "base", carry, carried)
-    inside = (
-        Window.partitionBy(key, "block")
-        .orderBy(position)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bases = totals.select(
+        key,
+        "slice",
+        (earlier("rows") - F.col("first") + 1).alias("base_processed"),
+        *[(earlier(f"all_{name}") - F.col(f"skip_{name}")).alias(f"base_{name}") for name in sums],
+    )
+    counted = ["processed", *sums]
+    if carry is not None:
+        start = carry.select(key, *[F.col(name).alias(f"from_{name}") for name in counted])
+        bases = bases.join(start, key, "left").select(
+            key, "slice", *[(F.col(f"base_{n}") + F.coalesce(f"from_{n}", F.lit(0))).alias(f"base_{n}") for n in counted]
+        )
+    # Stored, so that the planner knows its real size: a broadcast while it is small, a merge join beyond.
+    bases = stored(bases, "slice_totals")
+    return slices.join(bases, [key, "slice"], "left").select(
+        *columns,
+        (F.col("base_processed") + F.col("row")).alias("processed"),
+        *[(F.col(f"base_{name}") + F.col(name)).alias(name) for name in sums],
     )
-    summed = blocked.withColumn("inside", F.sum(value).over(inside))
-    # Partitioned by the join keys already, so even a merge join moves no row again.
-    total = (F.col("base") + F.col("inside")).alias(value)
-    return summed.join(base, [key, "block"], "left").select(*[total if c == value else c for c in rows.columns])
 
 
 def running_counters(
@@ -116,15 +116,14 @@ def running_counters(
     order: Sequence[str] = ARRIVAL_ORDER,
     key: str = "topic",
     carry: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Cumulative processed, inserted and failed counts per ``key``, at every row.
 
     ``outcomes`` needs ``key``, the ``order`` columns and ``status``; see ``numbered``.
     ``carry`` holds the counts per key to start from (an earlier micro-batch).
     """
-    rows = numbered(outcomes, order, key, carry, slice_rows).withColumn("inserted", _good())
-    counted = running_sum(rows, "inserted", "processed", key, carry, block=slice_rows)
+    counted = numbered(outcomes, order, key, carry, slice_rows, {"inserted": _good()})
     return counted.withColumn("failed", F.col("processed") - F.col("inserted"))
 
 
@@ -134,30 +133,12 @@ def report_points(
     order: Sequence[str] = ARRIVAL_ORDER,
     key: str = "topic",
     carry: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
-    """The counts at every ``every``-th row of a key, unless that row failed validation.
-
-    Same as keeping those rows of ``running_counters``, but only the positions are
-    worked out row by row: ``every`` rows are summed up before anything runs along.
-    """
-    rows = numbered(outcomes, order, key, carry, slice_rows, keep=(key, order[0], "status"))
-    last = F.col("processed") % every == 0
-    chunks = rows.groupBy(key, F.expr(f"(processed - 1) div {every}").alias("chunk")).agg(
-        F.sum(_good()).alias("inserted"),
-        F.max(F.when(last, F.col(order[0]))).alias(order[0]),
-        F.max(F.when(last, F.col("status") != INVALID)).alias("due"),
-    )
-    block = max(1, slice_rows // every)
-    counted = running_sum(stored(chunks, "chunks"), "inserted", "chunk", key, carry, block=block).where("due")
-    processed = (F.col("chunk") + 1) * every
-    return counted.select(
-        key,
-        order[0],
-        processed.alias("processed"),
-        "inserted",
-        (processed - F.col("inserted")).alias("failed"),
-    )
+    """The counts at every ``every``-th row of a key, unless that row failed validation."""
+    counted = running_counters(outcomes, order, key, carry, slice_rows)
+    due = counted.where((F.col("processed") % every == 0) & (F.col("status") != INVALID))
+    return due.select(key, order[0], "processed", "inserted", "failed")
 
 
 def total_counts(outcomes: DataFrame, key: str = "topic", carry: DataFrame | None = None) -> DataFrame:
