@@ -1,6 +1,6 @@
 import datetime as dt
 
-from tickloom.operators.curate import curate, current_revision, revisions
+from tickloom.operators.curate import curate, current_revision
 
 T = dt.datetime(2026, 1, 1)
 
@@ -44,11 +44,7 @@ def test_partial_aggregation_before_the_only_shuffle(spark):
     assert "partial_sum" in plan
 
 
-def test_revisions_and_current(spark):
-    rows = [("A", 2.0, 10, T, 0), ("A", 4.0, 20, T, 1), ("B", 1.0, 1, T, 1), ("A", 9.0, 7, T, 5)]
-    ticks = frame(spark, rows, ", batch_id bigint")
-    all_rows = revisions(ticks)
-    got = sorted((r.symbol, r.batch_id, r.avg_price, r.event_count, r.total_volume) for r in all_rows.collect())
-    assert got == [("A", 0, 2.0, 1, 10), ("A", 1, 3.0, 2, 30), ("A", 5, 5.0, 3, 37), ("B", 1, 1.0, 1, 1)]
-    now = sorted(map(tuple, current_revision(all_rows).collect()))
-    assert now == sorted(map(tuple, curate(ticks).collect()))
+def test_current_revision(spark):
+    rows = [("A", 2.0, 0), ("A", 3.0, 1), ("A", 5.0, 5), ("B", 1.0, 1), (None, 7.0, 2)]
+    revisions = spark.createDataFrame([(T, s, p, b) for s, p, b in rows], "batch_time timestamp, symbol string, avg_price double, batch_id bigint")
+    assert {(r.symbol, r.avg_price) for r in current_revision(revisions).collect()} == {("A", 5.0), ("B", 1.0), (None, 7.0)}

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql.streaming import DataStreamReader
 
-from tickloom.schemas import TABLES
 from tickloom.session import work_folder
 from tickloom.sources import readers, writers
 
@@ -48,22 +47,6 @@ def test_jdbc_options():
     assert readers.jdbc_options("jdbc:x", user="u") == {"url": "jdbc:x", "user": "u"}
 
 
-def test_tables_are_created_once_and_appended_to(spark):
-    folder = work_folder(spark, "tables")
-    spark.sql("CREATE DATABASE IF NOT EXISTS tick_test")
-    names = writers.create_tables(spark, folder, "tick_test")
-    assert names == [f"tick_test.{t}" for t in TABLES]
-    rows = spark.sql("SELECT 1.5D price, 'A' symbol, 7 volume")
-    writers.append_to_table(rows, "tick_test.stock_prices")
-    assert writers.create_tables(spark, folder, "tick_test") == names
-    got = spark.table("tick_test.stock_prices").first()
-    assert (got.symbol, got.price, got.volume, got.event_time) == ("A", 1.5, 7, None)
-    assert got.inserted_at is not None
-    for name in names:
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql("DROP DATABASE tick_test")
-
-
 def test_replayed_write_replaces_its_batch(spark):
     folder = work_folder(spark, "batches")
     for batch, size in ((0, 3), (1, 4), (1, 4)):

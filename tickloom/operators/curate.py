@@ -1,10 +1,10 @@
-"""Tumbling-window curation and its revisions."""
+"""Tumbling-window curation and the newest of its revisions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CURATED = (
@@ -49,40 +49,6 @@ def curate(ticks: DataFrame, width: str = "1 minute", extra: Sequence[str] = ())
     )
 
 
-def revisions(ticks: DataFrame, width: str = "1 minute", batch: str = "batch_id") -> DataFrame:
-    """What update mode appends over a run of batches, computed from the whole history at once.
-
-    Each batch re-emits the running state of the groups it touches. The rows are
-    first reduced to one per (batch, window, symbol); the running pass then sees at
-    most one row per batch in a group.
-    """
-    per_batch = ticks.groupBy(batch, F.window("event_time", width).alias("span"), "symbol").agg(
-        F.sum("volume").alias("total_volume"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.sum("price").alias("price_sum"),
-        F.max("event_time").alias("latest_event_time"),
-    )
-    so_far = (
-        Window.partitionBy("span", "symbol")
-        .orderBy(batch)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    count = F.sum("event_count").over(so_far)
-    return per_batch.select(
-        batch,
-        F.col("span.end").alias("batch_time"),
-        "symbol",
-        (F.sum("price_sum").over(so_far).cast("double") / count).alias("avg_price"),
-        F.min("min_price").over(so_far).alias("min_price"),
-        F.max("max_price").over(so_far).alias("max_price"),
-        F.sum("total_volume").over(so_far).alias("total_volume"),
-        count.alias("event_count"),
-        F.max("latest_event_time").over(so_far).alias("latest_event_time"),
-    )
-
-
 def current_revision(curated: DataFrame, batch: str = "batch_id") -> DataFrame:
     """The newest revision per (window, symbol) of an update-mode sink."""
     rest = [name for name in curated.columns if name not in ("batch_time", "symbol", batch)]

@@ -22,12 +22,3 @@ def parse_ticks(messages: DataFrame, value: str = "value", ddl: str = TICK_DDL,
     if "event_time" not in flat.columns:
         return flat
     return flat.withColumn("event_time", iso_timestamp(F.col("event_time")))
-
-
-def exact_prices(ticks: DataFrame, *columns: str) -> DataFrame:
-    """Prices as DECIMAL(18,2): sums no longer depend on the order of rows.
-
-    NaN and out-of-range prices become NULL, so use it only where ticks carry cents.
-    """
-    names = columns or ("price",)
-    return ticks.withColumns({name: F.col(name).try_cast("decimal(18,2)") for name in names})

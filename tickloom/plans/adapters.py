@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,3 +149,44 @@ def tick_messages(events: DataFrame, fast_clock: bool = False) -> DataFrame:
     epoch = micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
     arrival = at_micros(epoch + F.col("event_id") * 1_000_000) if fast_clock else _arrival()
     return rows.select(*_envelope(), arrival.alias("arrival"), payload.cast("binary").alias("value"))
+
+
+def in_parts(rows: DataFrame, clock: str, parts: int) -> DataFrame:
+    """Rows with ``part``: which of ``parts`` equal stretches of the clock they came in."""
+    low, high = rows.agg(F.min(micros(F.col(clock))), F.max(micros(F.col(clock)))).first()
+    low, high = low or 0, high or 0
+    edges = [low + (high - low + 1) * i // parts for i in range(1, parts)]
+    past = [(micros(F.col(clock)) >= edge).cast("int") for edge in edges]
+    return rows.withColumn("part", sum(past, F.lit(0)))
+
+
+def write_topic(rows: DataFrame, folder: str) -> list[int]:
+    """Write rows with a whole-number ``part`` as one file each, aged in that order.
+
+    A stream that takes one file at a time sees every part as a batch of its own, in order, as it would on a
+    live topic. The table is written in one pass. Gives the parts.
+    """
+    rows.repartition("part").write.partitionBy("part").option("maxRecordsPerFile", 0).parquet(folder)
+    spark = rows.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/part=*/*.parquet")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(int(s.getPath().getParent().getName().removeprefix("part=")), s.getPath()) for s in files.globStatus(path) or []]
+    for part, file in found:
+        files.setTimes(file, 1_600_000_000_000 + 1000 * part, -1)
+    return sorted(part for part, _ in found)
+
+
+def arrive(spark: SparkSession, staged: str, parts: list[int], folder: str, run: Callable[[], None]) -> None:
+    """Move the parts of ``write_topic`` into ``folder`` one after the other and call ``run`` after each."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for part in parts:
+        files.rename(path(f"{staged}/part={part}"), path(f"{folder}/part={part}"))
+        run()
+
+
+def topic_stream(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
+    """The parts of ``write_topic`` as a stream, one in each micro-batch."""
+    reader = spark.readStream.schema(f"{ddl}, part int").option("maxFilesPerTrigger", 1)
+    return reader.parquet(folder).drop("part")

@@ -28,10 +28,11 @@ heavy AS (
     FROM lineitem)"""
 
 
-def _curate(source: str, width: str) -> str:
+def _curate(source: str, width: str, places: int | None = None) -> str:
+    average = "CAST(sum(price) AS DOUBLE) / count(*)"
     return f"""
     SELECT time_bucket(INTERVAL '{width}', event_time) + INTERVAL '{width}' AS batch_time, symbol,
-           CAST(sum(price) AS DOUBLE) / count(*) AS avg_price,
+           {average if places is None else f"round({average}, {places})"} AS avg_price,
            CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price,
            CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS event_count,
            max(event_time) AS latest_event_time
@@ -40,17 +41,17 @@ def _curate(source: str, width: str) -> str:
 
 _REVISIONS = """
 staged AS (
-    SELECT *, CAST(epoch_us(late_at) // 259200000000 AS BIGINT) AS batch_id,
+    SELECT *, CAST(epoch_us(late_at) // 864000000000 AS BIGINT) AS batch_id,
            time_bucket(INTERVAL '{width}', event_time) + INTERVAL '{width}' AS batch_time
     FROM ticks),
 touched AS (SELECT DISTINCT batch_id, batch_time, symbol FROM staged),
 revised AS (
     SELECT t.batch_id, t.batch_time, t.symbol,
-           CAST(sum(s.price) AS DOUBLE) / count(*) AS avg_price,
+           round(CAST(sum(s.price) AS DOUBLE) / count(*), 9) AS avg_price,
            CAST(min(s.price) AS DOUBLE) AS min_price, CAST(max(s.price) AS DOUBLE) AS max_price,
            CAST(sum(s.volume) AS BIGINT) AS total_volume, count(*) AS event_count,
            max(s.event_time) AS latest_event_time,
-           make_timestamp((t.batch_id + 1) * 259200000000) AS inserted_at
+           make_timestamp((t.batch_id + 1) * 864000000000) AS inserted_at
     FROM touched t JOIN staged s
       ON s.batch_time = t.batch_time AND s.symbol = t.symbol AND s.batch_id <= t.batch_id
     GROUP BY ALL)"""
@@ -224,9 +225,9 @@ streamed AS (
                 THEN CAST(json_extract_string(j, '$.volume') AS BIGINT) END AS volume,
            TRY_CAST(json_extract_string(j, '$.event_time') AS TIMESTAMP) AS event_time
     FROM read)
-{_curate('streamed', '1 hour')}"""
+{_curate('streamed', '1 hour', 9)}"""
 
-_LATE_DROP = f"""
+_LATE = f"""
 WITH {_TICKS},
 clock AS (SELECT min(epoch_us(late_at)) AS low, max(epoch_us(late_at)) + 1 - min(epoch_us(late_at)) AS span FROM ticks),
 edges AS (SELECT i, low + span * i // 3 AS edge FROM clock, range(4) t(i)),
@@ -237,7 +238,7 @@ fed AS (
 marks AS (SELECT p.part, max(f.event_time) - INTERVAL 2 MINUTE AS mark
           FROM (SELECT DISTINCT part FROM fed) p JOIN fed f ON f.part < p.part GROUP BY 1),
 kept AS (SELECT f.* FROM fed f LEFT JOIN marks m USING (part) WHERE m.mark IS NULL OR f.closes > m.mark)
-{_curate('kept', '1 hour')}"""
+"""
 
 
 @lru_cache(maxsize=1)
@@ -250,8 +251,9 @@ def _build() -> dict[str, str]:
     sql["curated_from_json"] = _WINDOW_FROM_JSON
     hourly = _REVISIONS.format(width="1 hour")
     minutes = _REVISIONS.format(width="1 minute")
-    sql["curated_revisions"] = f"WITH {_TICKS},{hourly} SELECT batch_id, {_CURATED_COLUMNS} FROM revised"
-    sql["curated_current"] = f"WITH {_TICKS} {_curate('ticks', '1 hour')}"
+    sql["curated_revisions"] = f"""WITH {_TICKS},{hourly}
+        SELECT dense_rank() OVER (ORDER BY batch_id) - 1 AS batch_id, {_CURATED_COLUMNS} FROM revised"""
+    sql["curated_current"] = f"WITH {_TICKS} {_curate('ticks', '1 hour', 9)}"
 
     sql["view_latest"] = f"""WITH {_TICKS}
         SELECT DISTINCT ON (symbol) {_PRICE_COLUMNS}, inserted_at FROM ticks
@@ -357,9 +359,15 @@ def _build() -> dict[str, str]:
                CASE WHEN us > 0 THEN events / (CAST(us AS DOUBLE) / 1e6) ELSE 0.0 END AS rate FROM spans"""
 
     sql["stream_window_update"] = _WINDOW_FROM_JSON
-    sql["stream_window_append"] = f"""WITH {_TICKS}, windows AS ({_curate('ticks', '1 hour')})
+    sql["stream_window_append"] = f"""WITH {_TICKS}, windows AS ({_curate('ticks', '1 hour', 9)})
         SELECT * FROM windows WHERE batch_time <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM ticks)"""
-    sql["stream_late_drop"] = _LATE_DROP
+    sql["stream_late_drop"] = f"{_LATE} {_curate('kept', '1 hour', 9)}"
+    sql["stream_late_rows"] = f"""{_LATE},
+        windows AS ({_curate('kept', '1 hour', 9)})
+        SELECT batch_time, symbol, avg_price, event_count, CAST(NULL AS INTEGER) AS partition,
+               CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS reason FROM windows
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, partition, "offset", 'late' FROM fed ANTI JOIN kept USING (event_id)"""
     sql["stream_ingest"] = f"""WITH {_judged()}
         SELECT partition, "offset",
                CASE WHEN status = 'inserted' THEN symbol END AS symbol,

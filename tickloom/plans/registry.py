@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,29 +12,23 @@ from pyspark.sql import types as T
 
 from tickloom.functions.stamps import micros
 from tickloom.operators import dashboard, ingest
-from tickloom.operators.bars import latest_bar
+from tickloom.operators.bars import latest_bar, tick_json
 from tickloom.operators.counters import report_points, running_counters
-from tickloom.operators.curate import CURATED, curate, current_revision, revisions
+from tickloom.operators.curate import CURATED, curate, current_revision
 from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.latest import newest_rows
-from tickloom.operators.parse import exact_prices, parse_ticks
+from tickloom.operators.parse import parse_ticks
 from tickloom.operators.reconcile import reconcile, row_count, throughput
 from tickloom.operators.symbols import split_symbols
 from tickloom.operators.synthetic import draw_ticks
 from tickloom.plans import adapters as A
 from tickloom.plans import views
+from tickloom.schemas import TICK_FIELDS
 from tickloom.session import ship_package, stored, use_utc, work_folder
-from tickloom.sources.readers import file_messages
-from tickloom.sources.writers import read_batches, replayable, topic_rows
-from tickloom.streaming.ingest import (
-    ALERT_DDL,
-    DEAD_DDL,
-    PRICE_DDL,
-    REPORT_DDL,
-    IngestSinks,
-    ingest_batch,
-)
-from tickloom.streaming.replay import feed_in_order
+from tickloom.sources.tables import PipelineTables
+from tickloom.sources.writers import topic_rows
+from tickloom.streaming.jobs import CURATION_FIELDS, curated_batch, curation_job, ingest_job, merged_curation_job
+from tickloom.streaming.merge import current_windows
 from tickloom.streaming.windows import curated_stream, run_to_end, to_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,15 +38,17 @@ LIMIT = 10
 LATE_PARTS = 3
 HEALTH_PARTS = 2
 LATE_WINDOW = "1 hour"
-# A micro-batch takes about so many bytes of files; it is cached for its writes.
+STRETCH_US = 10 * 86_400_000_000
+# Later than any tick of the revisions arrives, so that none of them is dropped.
+PATIENT = "6 hours"
+# A micro-batch takes about so many bytes of files.
 INGEST_BATCH_BYTES = 256 << 20
+# Places that averages of JSON prices are compared to: doubles add up in any order.
+PLACES = 9
 
 _QUERIES: dict[str, Query] = {}
 
-_CURATED_DDL = (
-    "batch_time timestamp, symbol string, avg_price double, min_price decimal(18,2), max_price decimal(18,2), "
-    "total_volume bigint, event_count bigint, latest_event_time timestamp"
-)
+_TOPIC_DDL = "topic string, partition int, offset bigint, timestamp timestamp, value binary"
 
 
 def emit(rows: DataFrame) -> DataFrame:
@@ -112,38 +110,69 @@ def curated_heavy_day(spark, sf_dir):
     return curate(A.heavy_ticks(A.read_table(spark, sf_dir, "lineitem")), "1 day")
 
 
+def _rounded(curated: DataFrame) -> DataFrame:
+    return curated.withColumn("avg_price", F.round("avg_price", PLACES))
+
+
 @query("curated_from_json")
 def curated_from_json(spark, sf_dir):
     """Payload to windows, as the stream does it: malformed payloads vanish, texts are no numbers."""
-    fields = "symbol STRING, price DOUBLE, volume BIGINT, event_time STRING"
-    return curate(exact_prices(parse_ticks(_messages(spark, sf_dir), ddl=fields)), "1 hour")
+    return _rounded(curate(parse_ticks(_messages(spark, sf_dir), ddl=CURATION_FIELDS), "1 hour"))
+
+
+def _new_tables(spark, label: str) -> tuple[str, PipelineTables]:
+    """A fresh folder and the tables of a pipeline below it."""
+    folder = work_folder(spark, label)
+    return folder, PipelineTables(f"{label}_{uuid.uuid4().hex}", f"{folder}/tables").create(spark)
+
+
+def _stretches(spark, sf_dir, folder: str) -> list[dt.datetime]:
+    """Ticks as a topic in order of arrival, a part for every ten days; gives the ends of these parts."""
+    names = {"open_price": "open", "high_price": "high", "low_price": "low"}
+    ticks = _ticks(spark, sf_dir, late_minutes=True).withColumnsRenamed(names)
+    arrival = F.col("inserted_at")
+    parts = A.write_topic(
+        ticks.select(
+            "topic",
+            "partition",
+            "offset",
+            arrival.alias("timestamp"),
+            tick_json(ticks.select(*TICK_FIELDS)).cast("binary").alias("value"),
+            F.floor(micros(arrival) / F.lit(STRETCH_US)).cast("int").alias("part"),
+        ),
+        folder,
+    )
+    return [dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=(part + 1) * STRETCH_US) for part in parts]
 
 
-def _with_batches(spark, sf_dir) -> DataFrame:
-    """Ticks with the arrival stretch of three days they came in as batch id."""
-    stretch = F.floor(micros(F.col("inserted_at")) / F.lit(3 * 86_400_000_000)).cast("bigint")
-    return _ticks(spark, sf_dir, late_minutes=True).withColumn("batch_id", stretch)
+def _curated_table(spark, sf_dir, width="1 minute") -> DataFrame:
+    """What the curation job wrote to ``stock_prices_curated``, each batch stamped with the end of its part."""
+    folder, tables = _new_tables(spark, "curated")
+    ends = _stretches(spark, sf_dir, f"{folder}/topic")
+    sink = curated_batch(tables, stamp=lambda batch_id: ends[min(batch_id, len(ends) - 1)])
+    topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
+    run_to_end(curation_job(topic, sink, f"{folder}/checkpoint", width, PATIENT, drain=True))
+    return _rounded(tables.read(spark, "stock_prices_curated"))
 
 
 @query("curated_revisions")
 def curated_revisions(spark, sf_dir):
-    return revisions(_with_batches(spark, sf_dir), "1 hour")
+    return _curated_table(spark, sf_dir, "1 hour").select("batch_id", *CURATED)
 
 
 @query("curated_current")
 def curated_current(spark, sf_dir):
-    return current_revision(revisions(_with_batches(spark, sf_dir), "1 hour"))
+    """The maintained table of windows after all batches."""
+    folder, tables = _new_tables(spark, "current")
+    _stretches(spark, sf_dir, f"{folder}/topic")
+    topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
+    run_to_end(merged_curation_job(topic, tables, f"{folder}/checkpoint", "1 hour", PATIENT, drain=True))
+    return _rounded(current_windows(tables, spark))
 
 
 # Views
 
 
-def _curated_table(spark, sf_dir, width="1 minute") -> DataFrame:
-    """All revisions, each inserted when its batch ended."""
-    rows = revisions(_with_batches(spark, sf_dir), width)
-    return rows.withColumn("inserted_at", F.timestamp_micros((F.col("batch_id") + 1) * 3 * 86_400_000_000))
-
-
 @query("view_latest")
 def view_latest(spark, sf_dir):
     return views.latest_view(_ticks(spark, sf_dir), TIES)
@@ -205,7 +234,7 @@ def recent_prices(spark, sf_dir):
 
 @query("recent_curated")
 def recent_curated(spark, sf_dir):
-    return newest_rows(_curated_table(spark, sf_dir), "inserted_at", LIMIT, ("batch_time", "symbol")).drop("batch_id")
+    return newest_rows(_curated_table(spark, sf_dir), "inserted_at", LIMIT, ("batch_time", "symbol")).drop("run", "batch_id")
 
 
 @query("recent_dead_letters")
@@ -328,59 +357,85 @@ def throughput_per_symbol(spark, sf_dir):
 # Streams
 
 
-def _drain_windows(spark, ticks: DataFrame, label: str, mode: str, width: str) -> DataFrame:
-    folder = work_folder(spark, label)
-    rows = curated_stream(ticks, width)
-    run_to_end(to_sink(rows, replayable(f"{folder}/sink"), f"{folder}/checkpoint", mode, drain=True))
-    return read_batches(spark, f"{folder}/sink", _CURATED_DDL)
-
-
 def _stream_messages(spark, sf_dir, **options) -> DataFrame:
-    return A.tick_messages(A.stream_table(spark, sf_dir, "events", **options))
+    return A.tick_messages(A.stream_table(spark, sf_dir, "events", **options)).withColumnRenamed("arrival", "timestamp")
 
 
 @query("stream_window_update")
 def stream_window_update(spark, sf_dir):
-    """Messages through parse, watermark and windows in update mode; the newest revision per key."""
-    fields = "symbol STRING, price DOUBLE, volume BIGINT, event_time STRING"
-    ticks = exact_prices(parse_ticks(_stream_messages(spark, sf_dir), ddl=fields))
-    return current_revision(_drain_windows(spark, ticks, "update", "update", "1 hour"))
+    """The curation job over messages; the newest revision per key in its table."""
+    folder, tables = _new_tables(spark, "update")
+    messages = _stream_messages(spark, sf_dir)
+    run_to_end(curation_job(messages, curated_batch(tables), f"{folder}/checkpoint", "1 hour", drain=True))
+    revisions = tables.read(spark, "stock_prices_curated").select("batch_id", *CURATED)
+    return _rounded(current_revision(revisions))
 
 
 @query("stream_window_append")
 def stream_window_append(spark, sf_dir):
     """Append mode: only windows that the watermark has closed."""
-    ticks = A.ticks(A.stream_table(spark, sf_dir, "events"))
-    return _drain_windows(spark, ticks, "append", "append", "1 hour").select(*CURATED)
+    folder, tables = _new_tables(spark, "append")
+    ticks = A.ticks(A.stream_table(spark, sf_dir, "events")).withColumn("price", F.col("price").cast("double"))
+    rows = curated_stream(ticks, "1 hour")
+    run_to_end(to_sink(rows, curated_batch(tables), f"{folder}/checkpoint", "append", drain=True))
+    return _rounded(tables.read(spark, "stock_prices_curated")).select(*CURATED)
 
 
-@query("stream_late_drop")
-def stream_late_drop(spark, sf_dir):
-    """Ticks replayed by arrival in three batches; those of windows closed by an earlier batch are dropped."""
-    folder = work_folder(spark, "late")
-    ticks = _ticks(spark, sf_dir, late_minutes=True).select("symbol", "price", "volume", "event_time", "inserted_at")
-    ddl = f"symbol string, price {A.CENTS}, volume bigint, event_time timestamp, inserted_at timestamp"
+def _late_topic(spark, sf_dir, folder: str) -> list[int]:
+    """Messages of ticks by arrival in three parts."""
+    names = {"open_price": "open", "high_price": "high", "low_price": "low"}
+    ticks = _ticks(spark, sf_dir, late_minutes=True).withColumnsRenamed(names)
+    value = tick_json(ticks.select(*TICK_FIELDS)).cast("binary").alias("value")
+    parts = A.in_parts(ticks, "inserted_at", LATE_PARTS)
+    columns = ("topic", "partition", "offset", F.col("inserted_at").alias("timestamp"), value, "part")
+    return A.write_topic(parts.select(*columns), folder)
 
-    def drain() -> None:
-        rows = curated_stream(file_messages(spark, f"{folder}/topic", ddl=ddl), LATE_WINDOW)
-        run_to_end(to_sink(rows, replayable(f"{folder}/sink"), f"{folder}/checkpoint", "update", drain=True))
 
-    for _ in feed_in_order(ticks, "inserted_at", LATE_PARTS, f"{folder}/topic", drain):
-        pass
-    return current_revision(read_batches(spark, f"{folder}/sink", _CURATED_DDL))
+@query("stream_late_drop")
+def stream_late_drop(spark, sf_dir):
+    """The curation job, run three times as late ticks arrive; those of windows closed by an earlier run are dropped."""
+    folder, tables = _new_tables(spark, "late")
+    parts = _late_topic(spark, sf_dir, f"{folder}/staged")
+
+    def run() -> None:
+        topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
+        run_to_end(curation_job(topic, curated_batch(tables), f"{folder}/checkpoint", LATE_WINDOW, drain=True))
+
+    A.arrive(spark, f"{folder}/staged", parts, f"{folder}/topic", run)
+    return _rounded(current_revision(tables.read(spark, "stock_prices_curated").select("batch_id", *CURATED)))
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """The same ticks with the late ones kept: every message is in a window or a dead letter."""
+    folder, tables = _new_tables(spark, "routed")
+    _late_topic(spark, sf_dir, f"{folder}/topic")
+    topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
+    run_to_end(merged_curation_job(topic, tables, f"{folder}/checkpoint", LATE_WINDOW, drain=True))
+    windows = _rounded(current_windows(tables, spark)).select("batch_time", "symbol", "avg_price", "event_count")
+    late = tables.read(spark, "dead_letter_events")
+    return windows.select(
+        "batch_time", "symbol", "avg_price", "event_count",
+        F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"), F.lit(None).cast("string").alias("reason"),
+    ).unionByName(
+        late.select(
+            F.lit(None).cast("timestamp").alias("batch_time"), F.lit(None).cast("string").alias("symbol"),
+            F.lit(None).cast("double").alias("avg_price"), F.lit(None).cast("bigint").alias("event_count"),
+            F.col("source_partition").alias("partition"), F.col("source_offset").alias("offset"), F.col("error_message").alias("reason"),
+        )
+    )
 
 
 @query("stream_ingest")
 def stream_ingest(spark, sf_dir):
-    """One pass over the messages into two sinks, read back as one list of outcomes."""
-    folder = work_folder(spark, "ingest")
-    sinks = IngestSinks(f"{folder}/sinks")
-    classified = ingest.classify(_stream_messages(spark, sf_dir, max_bytes=INGEST_BATCH_BYTES))
-    run_to_end(to_sink(classified, ingest_batch(sinks, health=False), f"{folder}/checkpoint", "append", drain=True))
-    good = read_batches(spark, sinks.prices, PRICE_DDL).select(
+    """The ingest job without health; its prices and dead letters read back as one list of outcomes."""
+    folder, tables = _new_tables(spark, "ingest")
+    messages = _stream_messages(spark, sf_dir, max_bytes=INGEST_BATCH_BYTES)
+    run_to_end(ingest_job(messages, tables, f"{folder}/checkpoint", health=False, drain=True))
+    good = tables.read(spark, "stock_prices").select(
         "partition", "offset", "symbol", "price", "volume", F.lit(None).cast("string").alias("error_message")
     )
-    bad = read_batches(spark, sinks.dead, DEAD_DDL).select(
+    bad = tables.read(spark, "dead_letter_events").select(
         F.col("source_partition").alias("partition"),
         F.col("source_offset").alias("offset"),
         F.lit(None).cast("string").alias("symbol"),
@@ -391,31 +446,25 @@ def stream_ingest(spark, sf_dir):
     return good.unionByName(bad)
 
 
-def _health_sinks(spark, sf_dir, label: str) -> IngestSinks:
-    folder = work_folder(spark, label)
-    sinks = IngestSinks(f"{folder}/sinks")
-    messages = _messages(spark, sf_dir, fast_clock=True)
-    ddl = "topic string, partition int, offset bigint, arrival timestamp, value binary"
-
-    def drain() -> None:
-        rows = ingest.classify(file_messages(spark, f"{folder}/topic", ddl=ddl))
-        run_to_end(to_sink(rows, ingest_batch(sinks), f"{folder}/checkpoint", "append", drain=True))
-
-    for _ in feed_in_order(messages, "arrival", HEALTH_PARTS, f"{folder}/topic", drain):
-        pass
-    return sinks
+def _health_tables(spark, sf_dir, label: str) -> PipelineTables:
+    """Tables that the ingest job wrote from messages replayed in two batches."""
+    folder, tables = _new_tables(spark, label)
+    messages = A.in_parts(_messages(spark, sf_dir, fast_clock=True), "arrival", HEALTH_PARTS)
+    A.write_topic(messages.withColumnRenamed("arrival", "timestamp"), f"{folder}/topic")
+    topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
+    run_to_end(ingest_job(topic, tables, f"{folder}/checkpoint", drain=True))
+    return tables
 
 
 @query("stream_health")
 def stream_health(spark, sf_dir):
     """Health reports of messages replayed in two batches; the counts carry over."""
-    sinks = _health_sinks(spark, sf_dir, "health")
-    rows = read_batches(spark, sinks.reports, REPORT_DDL)
-    return rows.select("metric_name", "metric_value", "extra_data", "recorded_at")
+    reports = _health_tables(spark, sf_dir, "health").read(spark, "pipeline_metrics")
+    return reports.select("metric_name", "metric_value", "extra_data", "recorded_at")
 
 
 @query("stream_alerts")
 def stream_alerts(spark, sf_dir):
     """Alerts of the same replay; the cooldown carries over."""
-    sinks = _health_sinks(spark, sf_dir, "alerts")
-    return read_batches(spark, sinks.alerts, ALERT_DDL).drop("batch_id")
+    raised = _health_tables(spark, sf_dir, "alerts").read(spark, "pipeline_alerts")
+    return raised.select("topic", "pipeline", "reason", "summary", "raised_at")

@@ -14,22 +14,3 @@ TICK_DDL = (
 SYMBOL_LENGTH = 20
 
 ENVELOPE_DDL = "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, value BINARY"
-
-TABLES = {
-    "stock_prices": (
-        "symbol STRING, price DOUBLE, open_price DOUBLE, high_price DOUBLE, low_price DOUBLE, "
-        "volume BIGINT, event_time TIMESTAMP, inserted_at TIMESTAMP"
-    ),
-    "dead_letter_events": (
-        "source_topic STRING, source_partition INT, source_offset BIGINT, error_message STRING, "
-        "payload STRING, created_at TIMESTAMP"
-    ),
-    "pipeline_metrics": (
-        "metric_name STRING, metric_value DOUBLE, extra_data STRING, recorded_at TIMESTAMP"
-    ),
-    "stock_prices_curated": (
-        "batch_time TIMESTAMP, symbol STRING, avg_price DOUBLE, min_price DOUBLE, max_price DOUBLE, "
-        "total_volume BIGINT, event_count INT, latest_event_time TIMESTAMP, inserted_at TIMESTAMP"
-    ),
-    "pipeline_alerts": "pipeline STRING, reason STRING, summary STRING, raised_at TIMESTAMP",
-}

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,9 +79,31 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Folders of the innermost open scope of this thread.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("work_scope", default=None)
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder."""
-    return f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
+    if _SCOPE.get() is not None:
+        _SCOPE.get().append(folder)
+    return folder
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Work tables that are made inside are removed at the end; for functions that have written their results by then."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        folders = _SCOPE.get()
+        _SCOPE.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:

@@ -1,109 +1,62 @@
-"""The ingest stream: one pass over the messages, several sinks."""
+"""The ingest stream: one pass over the messages, several tables, one commit."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.operators.counters import report_points, total_counts
 from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
-from tickloom.operators.ingest import dead_letters, price_rows
-from tickloom.sources.writers import batch_folder, read_if_there, write_batch
+from tickloom.operators.ingest import INSERTED, INVALID, LOAD_FAILED
+from tickloom.session import stored, work_scope
+from tickloom.sources.tables import Batch, PipelineTables
 
-PRICE_DDL = (
-    "symbol string, price double, open_price double, high_price double, low_price double, volume bigint, "
-    "event_time timestamp, topic string, partition int, offset bigint, arrival timestamp"
-)
-DEAD_DDL = (
-    "source_topic string, source_partition int, source_offset bigint, error_message string, payload string, "
-    "arrival timestamp"
-)
-REPORT_DDL = (
-    "topic string, metric_name string, metric_value double, extra_data string, recorded_at timestamp, "
-    "processed bigint, inserted bigint, failed bigint"
-)
-ALERT_DDL = "topic string, pipeline string, reason string, summary string, raised_at timestamp"
-TOTALS_DDL = "topic string, processed bigint, inserted bigint, failed bigint, raised_at timestamp"
+STATUSES = (INSERTED, INVALID, LOAD_FAILED)
 
+Stamp = Callable[[int], dt.datetime]
 
-@dataclass(frozen=True)
-class IngestSinks:
-    """Folders of the ingest stream below one root; each row carries the id of its micro-batch."""
 
-    root: str
-
-    @property
-    def prices(self) -> str:
-        return f"{self.root}/prices"
-
-    @property
-    def dead(self) -> str:
-        return f"{self.root}/dead_letters"
-
-    @property
-    def reports(self) -> str:
-        return f"{self.root}/reports"
-
-    @property
-    def alerts(self) -> str:
-        return f"{self.root}/alerts"
-
-    @property
-    def totals(self) -> str:
-        return f"{self.root}/totals"
-
-
-def _carried(spark: SparkSession, sinks: IngestSinks, batch_id: int) -> DataFrame | None:
-    """Totals and newest alert per topic at the end of the batch before; one row per topic.
-
-    Every batch with health writes its folder, even without rows, so only that folder is read. Where the
-    batch before ran without health there is none, and counting starts here.
-    """
-    if batch_id == 0:
-        return None
-    return read_if_there(spark, batch_folder(sinks.totals, batch_id - 1), TOTALS_DDL)
-
-
-def ingest_batch(sinks: IngestSinks, health: bool = True):
+def ingest_batch(tables: PipelineTables, health: bool = True, stamp: Stamp | None = None):
     """``foreachBatch`` function for a classified stream: prices and dead letters, with ``health`` reports and alerts.
 
-    The batch is kept for all its writes, so its messages are parsed once. Counts and the cooldown
-    continue from the totals written by the batch before, so they survive restarts,
-    and every sink replaces the rows of a batch that is run again.
+    One write, partitioned by outcome, takes all rows and counts them on the way, so messages are parsed
+    once and payloads are not cached. Health reads the narrow columns of what was written. Counts and the
+    cooldown go on from the totals of the committed batch before, so they survive restarts. ``stamp``
+    gives the time of writing by batch, if not the clock.
     """
 
     def write(classified: DataFrame, batch_id: int) -> None:
-        spark = classified.sparkSession
-        classified.persist()
-        try:
-            write_batch(price_rows(classified, "topic", "partition", "offset", "arrival"), sinks.prices, batch_id)
-            write_batch(dead_letters(classified, "arrival"), sinks.dead, batch_id)
-            if health:
-                _write_health(spark, classified, sinks, batch_id)
-        finally:
-            classified.unpersist()
+        batch = tables.batch(classified.sparkSession, batch_id, stamp and stamp(batch_id))
+        seen = Observation()
+        each = [F.count(F.when(F.col("status") == status, 1)).alias(status) for status in STATUSES]
+        good = F.col("status") == INSERTED
+        rows = classified.observe(seen, F.count(F.lit(1)).alias("messages"), *each)
+        rows = rows.withColumns(
+            {
+                "payload": F.when(~good, F.col("payload")),
+                "outcome": F.when(good, F.lit("inserted")).otherwise("dead"),
+            }
+        )
+        batch.write("ingested", rows)
+        if health:
+            with work_scope(batch.spark):
+                _write_health(batch)
+        batch.commit(**seen.get)
 
     return write
 
 
-def _write_health(spark: SparkSession, classified: DataFrame, sinks: IngestSinks, batch_id: int) -> None:
-    carry = _carried(spark, sinks, batch_id)
-    last = None if carry is None else carry.where(F.col("raised_at").isNotNull())
-    outcomes = classified.select("topic", "arrival", "partition", "offset", "status")
-    reports = health_reports(report_points(outcomes, REPORT_EVERY, carry=carry)).persist()
-    candidates = alert_candidates(reports).persist()
-    raised = alerts(candidates, last_alerts=last).persist()
-    try:
-        write_batch(reports, sinks.reports, batch_id)
-        write_batch(raised, sinks.alerts, batch_id)
-        marks = raised.select("topic", "raised_at")
-        if last is not None:
-            marks = marks.unionByName(last.select("topic", "raised_at"))
-        latest = marks.groupBy("topic").agg(F.max("raised_at").alias("raised_at"))
-        write_batch(total_counts(outcomes, carry=carry).join(latest, "topic", "left"), sinks.totals, batch_id)
-    finally:
-        raised.unpersist()
-        candidates.unpersist()
-        reports.unpersist()
+def _write_health(batch: Batch) -> None:
+    carry = stored(batch.before("totals"), "carry")
+    last = carry.where(F.col("raised_at").isNotNull())
+    outcomes = batch.written("ingested").select("topic", "arrival", "partition", "offset", "status")
+    reports = stored(health_reports(report_points(outcomes, REPORT_EVERY, carry=carry)), "reports")
+    raised = stored(alerts(stored(alert_candidates(reports), "candidates"), last_alerts=last), "raised")
+    batch.write("reports", reports)
+    batch.write("raised_alerts", raised)
+    marks = raised.select("topic", "raised_at").unionByName(last.select("topic", "raised_at"))
+    latest = marks.groupBy("topic").agg(F.max("raised_at").alias("raised_at"))
+    batch.write("totals", total_counts(outcomes, carry=carry).join(latest, "topic", "left"))
