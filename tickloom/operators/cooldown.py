@@ -90,7 +90,7 @@ def binned(events: DataFrame, key: str, time: str, gap: int, last: DataFrame | N
     if last is not None:
         before = last.groupBy(key).agg(F.max(micros(F.col("raised_at"))).alias("before"))
         free = F.col("before").isNull() | (F.col("us") >= F.col("before") + gap)
-        instants = stored(instants.join(before, key, "left").where(free).select(key, "us"), "instants")
+        instants = instants.join(before, key, "left").where(free).select(key, "us")
     placed = numbered(instants, ("us",), key)
     return placed.select(key, "us", F.expr(f"(processed - 1) div {bin_rows}").alias("bin"))
 

@@ -352,6 +352,9 @@ def _build() -> dict[str, str]:
         FROM names s LEFT JOIN published p ON p.symbol IS NOT DISTINCT FROM s.symbol
         LEFT JOIN held h ON h.symbol IS NOT DISTINCT FROM s.symbol
         LEFT JOIN arrived a ON a.symbol IS NOT DISTINCT FROM s.symbol"""
+    sql["lost_offsets"] = f"""WITH {_judged()}
+        SELECT topic, partition, "offset", 1::BIGINT AS published, 0::BIGINT AS held, 'lost' AS finding
+        FROM classified WHERE status <> 'inserted'"""
     sql["throughput"] = f"""WITH {_TICKS}, spans AS (
             SELECT symbol, count(*) AS events, epoch_us(max(event_time)) - epoch_us(min(event_time)) AS us
             FROM ticks GROUP BY 1)

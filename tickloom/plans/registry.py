@@ -18,7 +18,7 @@ from tickloom.operators.curate import CURATED, curate, current_revision
 from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.latest import newest_rows
 from tickloom.operators.parse import parse_ticks
-from tickloom.operators.reconcile import reconcile, row_count, throughput
+from tickloom.operators.reconcile import lost_messages, reconcile_run, row_count, throughput
 from tickloom.operators.symbols import split_symbols
 from tickloom.operators.synthetic import draw_ticks
 from tickloom.plans import adapters as A
@@ -27,6 +27,7 @@ from tickloom.schemas import TICK_FIELDS
 from tickloom.session import ship_package, stored, use_utc, work_folder
 from tickloom.sources.tables import PipelineTables
 from tickloom.sources.writers import topic_rows
+from tickloom.streaming.ingest import latest_snapshot
 from tickloom.streaming.jobs import CURATION_FIELDS, curated_batch, curation_job, ingest_job, merged_curation_job
 from tickloom.streaming.merge import current_windows
 from tickloom.streaming.windows import curated_stream, run_to_end, to_sink
@@ -36,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIES = ("event_id",)
 LIMIT = 10
 LATE_PARTS = 3
-HEALTH_PARTS = 2
+INGEST_PARTS = 2
 LATE_WINDOW = "1 hour"
 STRETCH_US = 10 * 86_400_000_000
 # Later than any tick of the revisions arrives, so that none of them is dropped.
@@ -180,9 +181,9 @@ def view_latest(spark, sf_dir):
 
 @query("view_latest_nulls")
 def view_latest_nulls(spark, sf_dir):
-    """The latest view over ingested rows, where symbols and times may be NULL."""
-    rows = ingest.price_rows(_classified(spark, sf_dir), F.col("arrival").alias("inserted_at"), "partition", "offset")
-    return views.latest_view(rows, ("inserted_at", "partition", "offset"))
+    """The latest rows of what the ingest job wrote in two batches, where symbols and times may be NULL."""
+    tables = _ingested_tables(spark, sf_dir, "latest", health=False)
+    return latest_snapshot(tables, spark).withColumnRenamed("arrival", "inserted_at").select(*dashboard.PRICE_COLUMNS)
 
 
 @query("view_curated_recent")
@@ -342,11 +343,18 @@ def latest_bar_per_symbol(spark, sf_dir):
 @query("load_reconcile")
 def load_reconcile(spark, sf_dir):
     """All generated messages against the price rows they became, in a table that held the heavy ticks before."""
-    messages = _messages(spark, sf_dir)
-    published = parse_ticks(messages, ddl="symbol STRING")
-    arrived = ingest.price_rows(ingest.classify(messages)).select("symbol")
+    sent = parse_ticks(_messages(spark, sf_dir), ddl="symbol STRING", keep=("topic", "partition", "offset", "arrival", "value"))
+    outcomes = ingest.classify(sent.withColumnRenamed("symbol", "sent"))
     held = A.heavy_ticks(A.read_table(spark, sf_dir, "lineitem")).select("symbol")
-    return reconcile(published, held, held.unionByName(arrived))
+    return reconcile_run(outcomes, held)
+
+
+@query("lost_offsets")
+def lost_offsets(spark, sf_dir):
+    """Which of the generated messages have no price row."""
+    messages = _messages(spark, sf_dir).select("topic", "partition", "offset")
+    held = ingest.price_rows(_classified(spark, sf_dir), "topic", "partition", "offset")
+    return lost_messages(messages, stored(held.select("topic", "partition", "offset"), "held"))
 
 
 @query("throughput")
@@ -446,25 +454,25 @@ def stream_ingest(spark, sf_dir):
     return good.unionByName(bad)
 
 
-def _health_tables(spark, sf_dir, label: str) -> PipelineTables:
+def _ingested_tables(spark, sf_dir, label: str, health: bool = True, **options) -> PipelineTables:
     """Tables that the ingest job wrote from messages replayed in two batches."""
     folder, tables = _new_tables(spark, label)
-    messages = A.in_parts(_messages(spark, sf_dir, fast_clock=True), "arrival", HEALTH_PARTS)
+    messages = A.in_parts(_messages(spark, sf_dir, **options), "arrival", INGEST_PARTS)
     A.write_topic(messages.withColumnRenamed("arrival", "timestamp"), f"{folder}/topic")
     topic = A.topic_stream(spark, f"{folder}/topic", _TOPIC_DDL)
-    run_to_end(ingest_job(topic, tables, f"{folder}/checkpoint", drain=True))
+    run_to_end(ingest_job(topic, tables, f"{folder}/checkpoint", health=health, drain=True))
     return tables
 
 
 @query("stream_health")
 def stream_health(spark, sf_dir):
     """Health reports of messages replayed in two batches; the counts carry over."""
-    reports = _health_tables(spark, sf_dir, "health").read(spark, "pipeline_metrics")
+    reports = _ingested_tables(spark, sf_dir, "health", fast_clock=True).read(spark, "pipeline_metrics")
     return reports.select("metric_name", "metric_value", "extra_data", "recorded_at")
 
 
 @query("stream_alerts")
 def stream_alerts(spark, sf_dir):
     """Alerts of the same replay; the cooldown carries over."""
-    raised = _health_tables(spark, sf_dir, "alerts").read(spark, "pipeline_alerts")
+    raised = _ingested_tables(spark, sf_dir, "alerts", fast_clock=True).read(spark, "pipeline_alerts")
     return raised.select("topic", "pipeline", "reason", "summary", "raised_at")

@@ -35,6 +35,7 @@ _WINDOW = (
 # Columns of each table, and the partitions that its rows choose themselves.
 LOGS = {
     "ingested": (f"{_ENVELOPE}, status STRING, error_message STRING, payload STRING, {_PRICES}", "outcome STRING"),
+    "latest": (f"{_PRICES}, {_ENVELOPE}", ""),
     "timed": (f"{_ENVELOPE}, payload STRING, symbol STRING, price DOUBLE, volume BIGINT, event_time TIMESTAMP", "outcome STRING"),
     "reports": (
         "topic STRING, metric_name STRING, metric_value DOUBLE, extra_data STRING, recorded_at TIMESTAMP, "

@@ -5,15 +5,21 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.counters import report_points, total_counts
+from tickloom.operators.dashboard import PRICE_COLUMNS
 from tickloom.operators.health import REPORT_EVERY, alert_candidates, alerts, health_reports
 from tickloom.operators.ingest import INSERTED, INVALID, LOAD_FAILED
+from tickloom.operators.latest import latest_per_key
 from tickloom.session import stored, work_scope
 from tickloom.sources.tables import Batch, PipelineTables
 
+# The row that is the newest of its symbol, whatever batch it came in.
+LATEST_TIES = ("arrival", "partition", "offset")
+LATEST_COLUMNS = (*PRICE_COLUMNS[:-1], "topic", *LATEST_TIES)
+
 STATUSES = (INSERTED, INVALID, LOAD_FAILED)
 
 Stamp = Callable[[int], dt.datetime]
@@ -23,7 +29,8 @@ def ingest_batch(tables: PipelineTables, health: bool = True, stamp: Stamp | Non
     """``foreachBatch`` function for a classified stream: prices and dead letters, with ``health`` reports and alerts.
 
     One write, partitioned by outcome, takes all rows and counts them on the way, so messages are parsed
-    once and payloads are not cached. Health reads the narrow columns of what was written. Counts and the
+    once and payloads are not cached. The newest row of every symbol is set aside for ``latest_snapshot``, and
+    health reads the narrow columns of what was written. Counts and the
     cooldown go on from the totals of the committed batch before, so they survive restarts. ``stamp``
     gives the time of writing by batch, if not the clock.
     """
@@ -41,6 +48,8 @@ def ingest_batch(tables: PipelineTables, health: bool = True, stamp: Stamp | Non
             }
         )
         batch.write("ingested", rows)
+        written = batch.written("ingested").where(F.col("outcome") == "inserted")
+        batch.write("latest", latest_per_key(written, "symbol", "event_time", LATEST_TIES, LATEST_COLUMNS))
         if health:
             with work_scope(batch.spark):
                 _write_health(batch)
@@ -49,6 +58,14 @@ def ingest_batch(tables: PipelineTables, health: bool = True, stamp: Stamp | Non
     return write
 
 
+def latest_snapshot(tables: PipelineTables, spark: SparkSession) -> DataFrame:
+    """Latest price row per symbol, from the newest rows that each committed batch set aside.
+
+    Reads one row per symbol and batch instead of all history; batches committed later are seen on the next read.
+    """
+    return latest_per_key(tables.committed(spark, "latest"), "symbol", "event_time", LATEST_TIES, LATEST_COLUMNS)
+
+
 def _write_health(batch: Batch) -> None:
     carry = stored(batch.before("totals"), "carry")
     last = carry.where(F.col("raised_at").isNotNull())
