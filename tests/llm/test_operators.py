@@ -1,8 +1,9 @@
 """Small cases against plain Python: nulls, empty and long texts, ties, repeated rows, empty tables."""
 
+import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
@@ -16,7 +17,7 @@ from tickloom.llm.exact import exact_dedup, unique_rows
 from tickloom.llm.langid import predict_language, train_language
 from tickloom.llm.near import match_threshold, near_duplicates, shingle_sets
 from tickloom.llm.quality import score_quality, train_quality
-from tickloom.llm.runs import dedup_lines
+from tickloom.llm.runs import dedup_lines, maximal_runs
 from tickloom.llm.shard import byte_shards
 
 WORDS = [f"word{n}" for n in range(200)]
@@ -229,75 +230,103 @@ def test_components_of_a_chain_and_a_star(spark):
 # Line runs
 
 
-def brute_lines(pairs, chars):
-    docs = sorted(((i, t.split("\n")) for i, t in pairs if t is not None), key=lambda d: d[0])
-    runs, first, gone = [], {}, defaultdict(set)
-    for i, own in docs:
-        for s in range(len(own)):
-            for e in range(s, len(own)):
-                if sum(len(x) + 1 for x in own[s : e + 1]) >= chars:
-                    runs.append((i, s, e, tuple(own[s : e + 1])))
-    for i, s, _, key in runs:
-        first[key] = min(first.get(key, (i, s)), (i, s))
-    for i, s, e, key in runs:
-        if first[key] != (i, s):
-            gone[i].update(range(s, e + 1))
-    return {i: (len(own), len(gone[i]), "\n".join(x for n, x in enumerate(own) if n not in gone[i])) for i, own in docs}
-
-
-def test_line_runs_against_brute_force(documents):
-    a, b, c, long = "alpha line here", "beta", "gamma gamma gamma", "a line that is longer than fifty characters all by itself, really"
-    pairs = [
-        (1, "\n".join([a, b, c, "own one"])),
-        (2, "\n".join(["x", a, b, c, "y"])),
-        (3, "\n".join([long, b, "own", long])),
-        (4, "\n".join([b, b, b, c])),
-        (5, "\n".join([a, b])),
-        (6, "\n".join([a, b, c, "own one"])),
-        (7, ""),
-        (8, "\n" * 120),
-        (9, "\n".join([c, a, b, c, a, b, c, a, b, c])),
-        (10, "short"),
-        (11, "short"),
-        (12, "\n".join(f"line {n} of many" for n in range(40))),
-        (13, "\n".join(f"line {n} of many" for n in range(3, 37))),
-    ]
-    for chars in (1, 20, 50):
-        got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in dedup_lines(documents(pairs), chars=chars).collect()}
-        assert got == brute_lines(pairs, chars), chars
+def tokens(text):
+    """(line, begin, end) of the lines that are not blank, with the blank ones that go with them."""
+    own = text.split("\n")
+    filled = [n for n, x in enumerate(own) if x.strip(" \t\n\x0b\f\r")]
+    return [(own[n], 0 if not k else n, (filled[k + 1] if k + 1 < len(filled) else len(own))) for k, n in enumerate(filled)]
 
 
-def brute_whole_lines(pairs):
-    """Lines left by document when every repeated run with a line that is not blank counts."""
-    docs = [(i, t.split("\n")) for i, t in sorted(pairs)]
-    runs = [(tuple(own[s : e + 1]), i, s, e) for i, own in docs for s in range(len(own)) for e in range(s, len(own))]
-    runs = [run for run in runs if any(x.strip(" \t\r\x0b\f") for x in run[0])]
-    first, gone = {}, defaultdict(set)
+def brute_lines(pairs):
+    """Later copies of every repeated run go, of whatever length; and the longest run that stands elsewhere."""
+    docs = [(i, text, tokens(text)) for i, text in sorted(pairs)]
+    runs = [(tuple(t[0] for t in own[s : e + 1]), i, s, e) for i, _, own in docs for s in range(len(own)) for e in range(s, len(own))]
+    first, times, gone, longest = {}, Counter(run[0] for run in runs), defaultdict(set), Counter()
     for key, i, s, e in runs:
         if first.setdefault(key, (i, s)) != (i, s):
             gone[i].update(range(s, e + 1))
-    return {i: (len(gone[i]), "\n".join(x for n, x in enumerate(own) if n not in gone[i])) for i, own in docs}
-
-
-def test_line_runs_without_a_floor(documents):
-    licence = "All rights reserved."
-    pairs = [
-        (1, f"one\n{licence}\n\n\ntail"),
-        (2, f"two\n{licence}\n\nown"),
-        (3, licence),
-        (4, "short"),
-        (5, "short"),
+        if times[key] > 1:
+            longest[i] = max(longest[i], len(key))
+    out = {}
+    for i, text, own in docs:
+        lost = {n for t in gone[i] for n in range(own[t][1], own[t][2])}
+        left = [x for n, x in enumerate(text.split("\n")) if n not in lost]
+        out[i] = (text.count("\n") + 1, len(lost), longest[i], "\n".join(left))
+    return out
+
+
+def brute_maximal(pairs):
+    """(id, first line, end line, length) of the longest runs from each place, without rests of longer ones."""
+    docs = {i: tokens(text) for i, text in pairs}
+    lines = {i: [t[0] for t in own] for i, own in docs.items()}
+    places = [(i, n) for i in docs for n in range(len(docs[i]))]
+
+    def common(i, n, j, m):
+        size = 0
+        while n + size < len(lines[i]) and m + size < len(lines[j]) and lines[i][n + size] == lines[j][m + size]:
+            size += 1
+        return size
+
+    longest = {p: max((common(*p, *q) for q in places if q != p), default=0) for p in places}
+    runs = [(i, n, size) for (i, n), size in longest.items() if size and longest.get((i, n - 1), 0) <= size]
+    return sorted((i, docs[i][n][1], docs[i][n + size - 1][2], size) for i, n, size in runs)
+
+
+DRAW = random.Random(5)
+LICENCE = "All rights reserved."
+A, B, C = "alpha line here", "beta", "gamma gamma gamma"
+LINE_CASES = {
+    "runs": [
+        (1, "\n".join([A, B, C, "own one"])),
+        (2, "\n".join(["x", A, B, C, "y"])),
+        (3, "\n".join(["long", B, "own", "long"])),
+        (4, "\n".join([B, B, B, C])),
+        (5, "\n".join([A, B])),
+        (6, "\n".join([A, B, C, "own two"])),
+        (7, ""),
+        (8, "\n" * 120),
+        (9, "\n".join([C, A, B, C, A, B, C, A, B, C])),
+        (12, "\n".join(f"line {n} of many" for n in range(40))),
+        (13, "\n".join(f"line {n} of many" for n in range(3, 37))),
+        (14, "\n".join(["x", A, B, "z"])),
+    ],
+    "blank lines": [
+        (1, f"one\n{LICENCE}\n\n\ntail"),
+        (2, f"two\n{LICENCE}\n\nown"),
+        (3, LICENCE),
         (6, " \t"),
-        (7, " \t"),
         (8, "\n\n"),
-        (9, f"\n\n \n\ntail\n\n{licence}"),
+        (9, f"\n\n \n\ntail\n\n{LICENCE}"),
         (10, "\n\n \n\ntail\n\n\nx\nx\nx\n"),
         (11, "\n" * 70 + "x"),
         (12, "y" + "\n" * 70 + "x" + "\n" * 3),
-    ]
-    got = {r.doc_id: (r.n_removed, r.text) for r in dedup_lines(documents(pairs), chars=None).collect()}
-    assert got == brute_whole_lines(pairs)
-    assert got[3] == (1, "") and got[5] == (1, "") and got[7] == (0, " \t") and licence not in got[2][1]
+        (13, "\x0b\nx\n\u00a0\n"),
+    ],
+    "one line over and over": [(1, "\n".join(["x"] * 37)), (2, "\n".join(["x"] * 5 + ["y"] + ["x"] * 4))],
+    "drawn": [(n, "\n".join(DRAW.choice(["a", "b", "b", "c", "", f"own {n}"]) for _ in range(25))) for n in range(12)],
+}
+
+
+@pytest.mark.parametrize("name", LINE_CASES)
+def test_line_runs_against_brute_force(documents, name):
+    pairs = LINE_CASES[name]
+    rows = dedup_lines(documents(pairs)).collect()
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.longest_run, r.text) for r in rows} == brute_lines(pairs)
+    found = maximal_runs(documents(pairs)).collect()
+    assert sorted((r.doc_id, r.first_line, r.end_line, r.lines) for r in found) == brute_maximal(pairs)
+
+
+def test_whole_copies_of_a_text(documents):
+    pairs = [(4, "short"), (5, "short"), (6, f"{LICENCE}\n\nown"), (7, f"{LICENCE}\n\nown"), (8, LICENCE), (9, " \n "), (10, " \n ")]
+    got = {r.doc_id: (r.n_removed, r.longest_run, r.text) for r in dedup_lines(documents(pairs)).collect()}
+    assert got == {
+        4: (0, 1, "short"), 5: (1, 1, ""), 6: (0, 2, pairs[2][1]), 7: (3, 2, ""), 8: (1, 1, ""), 9: (0, 0, " \n "), 10: (0, 0, " \n "),
+    }
+
+
+def test_line_runs_with_text_ids(spark):
+    rows = spark.createDataFrame([("b", "x\ny"), ("a", "x\nz"), (None, "x")], "doc_id string, text string")
+    assert {r.doc_id: r.text for r in dedup_lines(rows).collect()} == {"a": "x\nz", "b": "y", None: ""}
 
 
 def test_line_runs_of_odd_and_empty_tables(odd, empty):
@@ -306,7 +335,8 @@ def test_line_runs_of_odd_and_empty_tables(odd, empty):
     got = {r.doc_id: r for r in rows}
     assert (got[1].n_lines, got[1].text) == (0, None) and got[2].n_lines == 1
     assert (got[4].n_removed, got[5].n_removed, got[5].text) == (0, 1, "")
-    assert (got[9].n_lines, got[9].n_removed) == (4, 2)
+    # The end of the text is a blank line, which goes with the third copy.
+    assert (got[9].n_lines, got[9].n_removed, got[9].text) == (4, 3, ODD[-1][1].split("\n")[0])
     assert dedup_lines(empty).count() == 0
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tickloom.llm.runs import MIN_CHARS
 from tickloom.llm.warc import BLOCKS, NAMED, SILENT, VERSION
 
 ORACLES: dict[str, str] = {}
@@ -186,26 +185,36 @@ SELECT page_id, host, fetched_at, CAST(coalesce(n_active, 0) AS BIGINT) AS n_act
 FROM capture LEFT JOIN active USING (page_id)
 """
 
-ORACLES["op8_line_runs"] = f"""
+ORACLES["op8_line_runs"] = """
 WITH doc AS (SELECT doc_id, string_split(text, chr(10)) AS own FROM documents),
 line AS (
-    SELECT doc_id, pos, x, sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS ends, length(x) + 1 AS chars
+    SELECT doc_id, pos, x, regexp_matches(x, '[^\\x20\\x09-\\x0D]') AS filled
     FROM (SELECT doc_id, unnest(own) AS x, unnest(range(0, len(own))) AS pos FROM doc)),
-run AS (
-    SELECT s.doc_id, s.pos AS s, min(e.pos) AS e FROM line s JOIN line e ON s.doc_id = e.doc_id
-        AND e.pos BETWEEN s.pos AND s.pos + {MIN_CHARS} AND e.ends - s.ends + s.chars >= {MIN_CHARS} GROUP BY s.doc_id, s.pos
-    UNION
-    SELECT e.doc_id, max(s.pos), e.pos FROM line s JOIN line e ON s.doc_id = e.doc_id
-        AND e.pos BETWEEN s.pos AND s.pos + {MIN_CHARS} AND e.ends - s.ends + s.chars >= {MIN_CHARS} GROUP BY e.doc_id, e.pos),
-named AS (SELECT doc_id, s, e, own[s + 1 : e + 1] AS k FROM run JOIN doc USING (doc_id)),
-ranked AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM named),
-gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS pos FROM ranked WHERE n > 1),
+token AS (
+    SELECT doc_id, pos, x, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i,
+        row_number() OVER (PARTITION BY x ORDER BY doc_id, pos) > 1 AS gone
+    FROM line WHERE filled),
+owned AS (
+    SELECT doc_id, pos, x, coalesce(max(CASE WHEN filled THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos),
+        min(CASE WHEN filled THEN pos END) OVER (PARTITION BY doc_id)) AS owner
+    FROM line),
+judged AS (
+    SELECT o.doc_id, o.pos, o.x, coalesce(t.gone, false) AS gone
+    FROM owned o LEFT JOIN token t ON t.doc_id = o.doc_id AND t.pos = o.owner),
+pair AS (
+    SELECT a.doc_id, a.i, b.doc_id AS other, a.i - b.i AS apart FROM token a JOIN token b ON a.x = b.x
+    WHERE a.doc_id <> b.doc_id OR a.i <> b.i),
+island AS (
+    SELECT doc_id, count(*) AS n
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, apart ORDER BY i) AS k FROM pair)
+    GROUP BY doc_id, other, apart, k),
+longest AS (SELECT doc_id, max(n) AS n FROM island GROUP BY doc_id),
 kept AS (
-    SELECT doc_id, string_agg(x, chr(10) ORDER BY pos) AS body FROM line ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
-lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
-SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-    sha256(coalesce(body, '')) AS text_sha256
-FROM (SELECT doc_id, string_split(text, chr(10)) AS own FROM documents) LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+    SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(x, chr(10) ORDER BY pos) FILTER (NOT gone) AS body
+    FROM judged GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(l.n, 0) AS BIGINT) AS longest_run, sha256(coalesce(body, '')) AS text_sha256
+FROM doc d LEFT JOIN kept k USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
 _FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"

@@ -153,9 +153,9 @@ def op7_url_filter(spark, sf_dir):
 
 @query("op8_line_runs")
 def op8_line_runs(spark, sf_dir):
-    """Every document without the later copies of repeated runs of lines."""
+    """Every document without the later copies of repeated runs of lines, and its longest run that stands elsewhere."""
     cleaned = dedup_lines(read(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "longest_run", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 LEAF = ("doc_id", "source", "lang", "n_chars", "text")

@@ -1,15 +1,15 @@
-"""Line dedup: repeated runs of lines, found by prefix doubling. DataFrame functions only.
-
-Lines are numbered by content; only lines that occur more than once go on. Level j ranks the runs of
-2**j lines: each position pairs its rank with that of the position 2**j lines on, equal pairs get one
-rank in sorted order, and positions whose pair occurs once drop out. Positions of one rank are an interval
-of the suffix order whose common prefix has that many lines. Two ranks, of the first and of the last
-2**j lines, tell runs of any length apart.
-
-A run that occurs earlier and has enough characters is deleted. All such runs are made of shortest ones:
-for every line the shortest run of enough characters that begins with it and the one that ends with it.
-These are looked up; the first of equal runs stays and the others go. Without a floor every run with a line
-that is not blank counts, a single line or a short text too: lines then weigh 1, blank ones 0, and 1 is enough.
+"""Line dedup by a suffix array over line numbers. DataFrame functions only.
+
+A text is the sequence of its lines that are not blank; a blank line goes with the line before it. Lines are
+numbered by content, and only places whose line stands elsewhere too go on. Prefix doubling sorts their
+suffixes: level j ranks every place by its next 2**j lines, from the ranks of level j - 1 at the place
+itself and 2**(j-1) lines on, until no rank holds two places; the order is then the suffix array. Places of one
+rank are an interval whose common prefix has 2**j lines at least. The exact common prefix of neighbours in the
+array is put together from the levels, the longest first; the longer one of a place's two is the longest run
+that begins there and stands elsewhere too. Runs that do not go on to the left either are the maximal ones.
+
+Of every interval the first place stays and the later copies go. An interval of a longer prefix lies
+inside one of a single line, so what goes is every line that stands earlier, in whatever run.
 """
 
 from __future__ import annotations
@@ -19,160 +19,238 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored_narrow
 
-# A run counts from this many characters (each line end is one), so it has at most as many lines.
-MIN_CHARS = 50
+PLACE = ["d", "pos"]
 
-DOC = ["doc", "key"]
+_BLANK = r"^[\x20\x09-\x0D]*\z"
 
-# Stands for a null id among the lines: it comes last and equals itself.
-_NO_ID = (1 << 63) - 1
+# A key with more than this share of all rows is joined apart; there are at most so many of them.
+HOT_KEYS = 1000
+
+_ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once for each row."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _chars(text: Column) -> Column:
-    """Characters with a line end after each line."""
-    return (F.char_length(text) + 1).cast("long")
+def _tokens(text: Column) -> Column:
+    """For each line that is not blank: two hashes, and the lines [begin, end) that go with it."""
+
+    def spread(own: Column) -> Column:
+        placed = F.transform(own, lambda line, at: F.struct(line.alias("line"), at.alias("at")))
+        return _let(F.filter(placed, lambda token: ~token["line"].rlike(_BLANK)), lambda found: named(own, found))
+
+    def named(own: Column, found: Column) -> Column:
+        return F.transform(
+            found,
+            lambda token, n: F.struct(
+                F.xxhash64(token["line"]).alias("a"),
+                F.xxhash64(F.lit(1), token["line"]).alias("b"),
+                F.when(n == 0, 0).otherwise(token["at"]).alias("begin"),
+                F.coalesce(F.get(found, n + 1)["at"], F.size(own)).alias("end"),
+            ),
+        )
+
+    return _let(_lines(text), spread)
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """The lines of a text that lie in none of the sorted spans [begin, end)."""
 
+    def kept(own: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), F.transform(gone, lambda span: span["end"]))
+        after = F.concat(F.transform(gone, lambda span: span["begin"]), F.array(F.size(own)))
+        gaps = F.filter(F.arrays_zip(before.alias("s"), after.alias("e")), lambda gap: gap["e"] > gap["s"])
+        return F.array_join(F.flatten(F.transform(gaps, lambda gap: F.slice(own, gap["s"] + 1, gap["e"] - gap["s"]))), "\n")
 
-def _weight(text: Column, chars: int | None) -> Column:
-    """What a line or a text adds to a run: its characters, or without a floor whether it is more than blanks."""
-    return _chars(text) if chars is not None else text.rlike(r"\S").cast("long")
+    return _let(_lines(text), kept)
 
 
-def _ranked(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Keys that occur more than once, with ranks in their order.
+def _ranked(rows: DataFrame, keys: list[str], label: str, least: int = 1) -> DataFrame:
+    """Keys of ``rows`` that occur ``least`` times, with ``n`` and ranks in their order.
 
     Counting comes first, with partial sums; so equal keys, however many, are one row when they are sorted.
     """
-    several = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
-    ordered = several.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    ordered = counts.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return stored_narrow(ordered.withColumn("rank", F.monotonically_increasing_id()), label)
 
 
-def _levels(lines: DataFrame, longest: int) -> DataFrame:
-    """(doc, key, pos, level, rank) of all runs of 2**level lines that occur more than once."""
-    named = lines.join(_ranked(lines, ["a", "b"], "runs-ranks"), ["a", "b"]).select(*DOC, "pos", "rank")
-    found = [stored_narrow(named, "runs-level")]
-    while 2 ** len(found) <= longest:
-        here, step = found[-1], 2 ** (len(found) - 1)
-        ahead = here.select(*DOC, (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
-        pairs = here.withColumnRenamed("rank", "this").join(ahead, [*DOC, "pos"])
-        pairs = stored_narrow(pairs, "runs-pairs")
-        named = pairs.join(_ranked(pairs, ["this", "next"], "runs-ranks"), ["this", "next"])
-        level = stored_narrow(named.select(*DOC, "pos", "rank"), "runs-level")
-        if level.isEmpty():
-            break
-        found.append(level)
-    out = found[0].withColumn("level", F.lit(0))
-    for n, level in enumerate(found[1:], 1):
-        out = out.unionAll(level.withColumn("level", F.lit(n)))
-    return out
-
-
-def _shortest(lines: DataFrame, chars: int) -> DataFrame:
-    """(doc, key, first, last): for every line the shortest runs of ``chars`` characters that begin or end with it."""
-    along = Window.partitionBy(*DOC).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    placed = lines.select(*DOC, "pos", "chars", F.sum("chars").over(along).alias("end"))
-    placed = placed.withColumn("start", F.col("end") - F.col("chars"))
-
-    def meet(asked: Column, given: str, order) -> DataFrame:
-        """For every line the nearest line, in ``order``, whose ``given`` is not before what is asked for."""
-        kinds = F.array(
-            F.struct(F.col(given).alias("at"), F.lit(0).alias("kind"), F.col("pos").alias("own")),
-            F.struct(asked.alias("at"), F.lit(1).alias("kind"), F.col("pos").alias("own")),
+def _with_ranks(rows: DataFrame, keys: list[str], ranks: DataFrame) -> DataFrame:
+    """``rows`` joined with the ranks of their keys; rows of very frequent keys are not gathered."""
+    total = ranks.agg(F.sum("n")).first()[0] or 0
+    # At most HOT_KEYS rows, as their counts add up to no more than all.
+    hot = F.broadcast(stored_narrow(ranks.filter(F.col("n") * HOT_KEYS > total), "runs-hot"))
+    few = rows.join(hot, keys)
+    return rows.join(hot, keys, "left_anti").join(ranks, keys).unionByName(few)
+
+
+def _levels(lines: DataFrame) -> list[DataFrame]:
+    """Per level (d, pos, rank, n) of the places whose line is repeated; the last one has no rank twice."""
+    names = _ranked(lines, ["a", "b"], "runs-ranks", least=2)
+    levels = [stored_narrow(_with_ranks(lines.select(*PLACE, "a", "b"), ["a", "b"], names).select(*PLACE, "rank", "n"), "runs-level")]
+    while not levels[-1].filter("n > 1").isEmpty():
+        here, step = levels[-1], 2 ** (len(levels) - 1)
+        ahead = here.select("d", (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
+        pairs = here.select(*PLACE, F.col("rank").alias("this")).join(ahead, PLACE, "left")
+        # A run that ends here, or goes on with a line that stands nowhere else, is like no other.
+        alone = F.col("next").isNull()
+        pairs = pairs.select(
+            *PLACE,
+            "this",
+            F.coalesce("next", F.lit(-1)).alias("next"),
+            F.when(alone, F.col("d")).otherwise(-1).alias("own_d"),
+            F.when(alone, F.col("pos")).otherwise(-1).alias("own_pos"),
         )
-        rows = placed.select(*DOC, F.inline(kinds))
-        near = F.last(F.when(F.col("kind") == 0, F.col("own")), ignorenulls=True)
-        window = Window.partitionBy(*DOC).orderBy(order, "kind", "own")
-        if given == "end":
-            window = Window.partitionBy(*DOC).orderBy(order, "kind", F.col("own").desc())
-        window = window.rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumn("other", near.over(window)).filter("kind = 1 and other is not null")
+        pairs, keys = stored_narrow(pairs, "runs-pairs"), ["this", "next", "own_d", "own_pos"]
+        named = _with_ranks(pairs, keys, _ranked(pairs, keys, "runs-ranks"))
+        levels.append(stored_narrow(named.select(*PLACE, "rank", "n"), "runs-level"))
+    return levels
+
+
+def _neighbours(order: DataFrame) -> DataFrame:
+    """(d, pos, e, qos): every place but the last with the one that follows it in the suffix array."""
+    part = F.shiftright("rank", _ROW_BITS)
+    ends = order.groupBy(part.alias("part")).agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    # One row for each partition of the sort.
+    over = ends.select("last", F.lead("first").over(Window.orderBy("part")).alias("jump")).filter("jump is not null")
+    over = stored_narrow(over, "runs-ends")
+    follower = order.select(F.col("rank").alias("at"), F.col("d").alias("e"), F.col("pos").alias("qos"))
+    inside = order.withColumn("at", F.col("rank") + 1).join(follower, "at")
+    across = order.join(over, F.col("rank") == F.col("last")).withColumn("at", F.col("jump")).join(follower, "at")
+    return stored_narrow(inside.select(*PLACE, "e", "qos").unionAll(across.select(*PLACE, "e", "qos")), "runs-pairs")
+
+
+def _common(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``pairs`` with ``lines``, the length of the common prefix of the two places."""
+    pairs = pairs.withColumn("lines", F.lit(0))
+    for level in range(len(levels) - 1, -1, -1):
+        shared = levels[level].filter("n > 1")
+        one = shared.select("d", F.col("pos").alias("x"), F.col("rank").alias("one"))
+        other = shared.select(F.col("d").alias("e"), F.col("pos").alias("y"), F.col("rank").alias("other"))
+        moved = pairs.withColumns({"x": F.col("pos") + F.col("lines"), "y": F.col("qos") + F.col("lines")})
+        met = moved.join(one, ["d", "x"], "left").join(other, ["e", "y"], "left")
+        more = F.when(F.col("one") == F.col("other"), 2**level).otherwise(0)
+        pairs = stored_narrow(met.select(*PLACE, "e", "qos", (F.col("lines") + more).alias("lines")), "runs-common")
+    return pairs
+
+
+def _longest(levels: list[DataFrame]) -> DataFrame:
+    """(d, pos, lines): the longest run from each place that stands elsewhere too."""
+    pairs = _common(_neighbours(levels[-1].select(*PLACE, "rank")), levels[:-1])
+    both = pairs.select(*PLACE, "lines").unionAll(pairs.select(F.col("e").alias("d"), F.col("qos").alias("pos"), "lines"))
+    return stored_narrow(both.groupBy(*PLACE).agg(F.max("lines").alias("lines")), "runs-longest")
+
+
+def _maximal(longest: DataFrame) -> DataFrame:
+    """Those of the longest runs that are not the rest of one that begins a line before."""
+    before = longest.select("d", (F.col("pos") + 1).alias("pos"), (F.col("lines") - 1).alias("rest"))
+    return longest.join(before, PLACE, "left").filter("rest is null or rest < lines").drop("rest")
+
+
+class _Corpus:
+    """The texts of a table as numbered documents and the places of their lines.
+
+    ``texts`` has (doc, key, mark, weight) of the rows, ``copies`` the documents whose text an earlier one has,
+    ``docs`` the others with their number ``d`` in the order of id and hash, null ids last.
+    """
 
-    ahead = meet(F.col("start") + chars, "end", F.col("at").desc())
-    back = meet(F.col("end") - chars, "start", F.col("at").asc())
-    runs = ahead.select(*DOC, F.col("own").alias("first"), F.col("other").alias("last"))
-    return runs.unionAll(back.select(*DOC, F.col("other").alias("first"), F.col("own").alias("last"))).distinct()
+    def __init__(self, rows: DataFrame, id_column: str, text_column: str):
+        text = F.col(text_column)
+        rows = rows.filter(text.isNotNull()).select(
+            F.col(id_column).alias("doc"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("mark"), text.alias("body")
+        )
+        order = F.struct(F.col("doc").isNull().alias("last"), "doc", "key")
+        firsts = rows.groupBy("key", "mark").agg(F.min(order).alias("first"), F.count("*").alias("rows"))
+        firsts = firsts.select("key", "mark", "first.last", "first.doc", "rows")
+        ordered = firsts.repartitionByRange("last", "doc", "key").sortWithinPartitions("last", "doc", "key")
+        self.docs = stored_narrow(ordered.withColumn("d", F.monotonically_increasing_id()), "runs-docs")
+        several = self.docs.filter("rows > 1").select("key", "mark", F.col("doc").alias("kept"), F.col("rows").alias("n"))
+        several = stored_narrow(several, "runs-several")
+        copied = _with_ranks(rows.select("doc", "key", "mark"), ["key", "mark"], several)
+        copied = copied.select("doc", "key", (~F.col("doc").eqNullSafe(F.col("kept"))).alias("later")).distinct()
+        copied = stored_narrow(copied, "runs-copied")
+        # Repeated rows of one document are no copies of each other.
+        later = copied.filter("later")
+        self.copied = copied.join(later.select("key").distinct(), "key", "left_semi")
+
+        split = rows.select("doc", "key", "mark", F.posexplode(_tokens(F.col("body"))).alias("pos", "token"))
+        lines = split.select("doc", "key", "mark", "pos", "token.*")
+        later = later.select(F.col("doc").alias("later_doc"), F.col("key").alias("later_key"))
+        lines = lines.join(later, F.col("doc").eqNullSafe(F.col("later_doc")) & (F.col("key") == F.col("later_key")), "left_anti")
+        lines = lines.join(self.docs.select("key", "mark", "d"), ["key", "mark"])
+        # Rows that repeat an id and text are one document.
+        repeated = self.docs.filter("rows > 1").select("d")
+        once = lines.select("d", "pos", "a", "b", "begin", "end")
+        self.lines = stored_narrow(once.join(repeated, "d", "left_anti").unionByName(once.join(repeated, "d").dropDuplicates(PLACE)), "runs-lines")
+        self.levels = _levels(self.lines)
+
+
+def maximal_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, text_key, first_line, end_line, lines): the maximal repeated runs, place by place.
+
+    ``lines`` counts lines that are not blank, ``first_line`` and ``end_line`` bound them in the text. A run is listed
+    where it cannot be made longer in either direction and still stand elsewhere too. Texts that are equal are
+    one here: theirs are the runs that other texts have part in.
+    """
+    corpus = _Corpus(docs, id_column, text_column)
+    runs = _maximal(_longest(corpus.levels))
+    first = corpus.lines.select("d", "pos", F.col("begin").alias("first_line"))
+    last = corpus.lines.select("d", F.col("pos").alias("last"), F.col("end").alias("end_line"))
+    placed = runs.withColumn("last", F.col("pos") + F.col("lines") - 1).join(first, PLACE).join(last, ["d", "last"])
+    return placed.join(corpus.docs, "d").select(
+        F.col("doc").alias(id_column), F.col("key").alias("text_key"), "first_line", "end_line", F.col("lines").cast("long").alias("lines")
+    )
 
 
-def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int | None = MIN_CHARS) -> DataFrame:
-    """(doc, key, whole, lines): lines to delete, by document; ``whole`` marks copies of an earlier text.
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: id, n_lines, n_removed, longest_run, spans removed (null for all lines) and the text without them.
 
-    A document is an id and the hash of its text (``key``). Earlier is by id (null last), then by hash,
-    then by line.
+    Of every run of lines that stands again the first copy stays and the later ones go, in whatever document;
+    earlier is by id (null last), then by hash of the text, then by line. Blank lines (ASCII white space only)
+    make no run; one goes with the line before it, or with the first line where there is none. ``longest_run`` is the
+    length of the longest run of the text that stands elsewhere too, in lines that are not blank, 0 for none.
+    Null texts have no lines and stay null; an empty text is one empty line and keeps it. Rows that
+    repeat an id and text are one document and are treated alike. No rows give no rows; ids may have any type that
+    has an order; other columns are not looked at. A very long text is split and put together within
+    its row; its lines are sorted as rows like those of all others.
     """
-    floor = 1 if chars is None else chars
-    text = F.col(text_column)
-    rows = docs.filter(text.isNotNull()).select(
-        F.col(id_column).cast("long").alias("doc"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("mark"), text.alias("body")
+    corpus = _Corpus(docs, id_column, text_column)
+    place = corpus.levels[0].select("rank", F.struct(*PLACE).alias("place"))
+    first = place.groupBy("rank").agg(F.min("place").alias("first"))
+    stays = first.select("first.*")
+    gone = corpus.levels[0].select(*PLACE).join(stays, PLACE, "left_anti").join(corpus.lines.select(*PLACE, "begin", "end"), PLACE)
+    spans = gone.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    longest = _maximal(_longest(corpus.levels)).groupBy("d").agg(F.max("lines").alias("lines"))
+    found = spans.join(longest, "d", "full").join(corpus.docs.select("d", "doc", "key"), "d").select("doc", "key", "spans", "lines")
+    found = found.withColumn("later", F.lit(None).cast("boolean"))
+    copied = corpus.copied.select("doc", "key", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"), F.lit(None).cast("int").alias("lines"), "later")
+    # A document may be the first of several equal texts and share lines with others too.
+    merged = found.unionAll(copied).groupBy("doc", "key").agg(
+        F.max("spans").alias("spans"), F.max("lines").alias("lines"), F.max("later").alias("later")
     )
-    # Of equal texts the first goes on; the others are deleted whole, without looking at their lines.
-    order = F.struct(F.col("doc").isNull().alias("last"), "doc", "key")
-    texts = rows.select("doc", "key", "mark", _weight(F.col("body"), chars).alias("chars"))
-    firsts = texts.groupBy("key", "mark").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    several = stored_narrow(firsts.filter("n > 1").select("key", "mark", F.col("first.doc").alias("kept")), "runs-copies")
-    copies = texts.join(several, ["key", "mark"]).filter(~F.col("doc").eqNullSafe(F.col("kept")))
-    copies = stored_narrow(copies.select("doc", "key", "chars").distinct(), "runs-whole")
-
-    split = rows.select("doc", "key", F.posexplode(_lines(F.col("body"))).alias("pos", "line"))
-    line = split.select(
-        "doc", "key", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), _weight(F.col("line"), chars).alias("chars")
-    )
-    same = line["doc"].eqNullSafe(copies["doc"]) & (line["key"] == copies["key"])
-    lines = line.join(copies.select("doc", "key"), same, "left_anti").dropDuplicates([*DOC, "pos"])
-    lines = stored_narrow(lines, "runs-lines")
-
-    # Documents with a line that stands elsewhere too, or again in the same one.
-    again = lines.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
-    concerned = lines.join(again, ["a", "b"]).select(*DOC).distinct()
-    same = lines["doc"].eqNullSafe(concerned["doc"]) & (lines["key"] == concerned["key"])
-    lines = stored_narrow(lines.join(concerned, same, "left_semi").withColumn("doc", F.coalesce("doc", F.lit(_NO_ID))), "runs-lines")
-
-    runs = stored_narrow(_shortest(lines, floor).withColumn("n", F.col("last") - F.col("first") + 1), "runs-shortest")
-    longest = runs.agg(F.max("n")).first()[0] or 1
-    levels = _levels(lines, longest)
-    levels = levels.withColumn("size", F.expr("shiftleft(1, level)"))
-    runs = runs.withColumn("level", F.floor(F.log2("n")).cast("int"))
-    head = levels.select(*DOC, F.col("pos").alias("first"), "level", F.col("rank").alias("x"))
-    tail = levels.select(*DOC, (F.col("pos") + F.col("size") - 1).cast("int").alias("last"), "level", F.col("rank").alias("y"))
-    known = stored_narrow(runs.join(head, [*DOC, "first", "level"]).join(tail, [*DOC, "last", "level"]), "runs-known")
-    place = F.struct("doc", "key", "first")
-    earliest = known.groupBy("n", "x", "y").agg(F.min(place).alias("place"), F.count("*").alias("times")).filter("times > 1")
-    later = known.join(earliest, ["n", "x", "y"]).filter(place != F.col("place"))
-    gone = later.select(*DOC, F.explode(F.sequence("first", "last")).alias("pos")).distinct()
-    partly = gone.groupBy(*DOC).agg(F.sort_array(F.collect_list("pos")).alias("lines"))
-    partly = partly.select(F.nullif("doc", F.lit(_NO_ID)).alias("doc"), "key", F.lit(False).alias("whole"), "lines")
-    whole = copies.filter(F.col("chars") >= floor).select("doc", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("lines"))
-    return partly.unionAll(whole)
-
-
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int | None = MIN_CHARS) -> DataFrame:
-    """Per row: id, n_lines, n_removed, lines removed (numbers from 0, null for all) and the text without them.
-
-    Of every run of lines that occurs again the first copy stays and the later ones go, in whatever
-    document, if the run has ``chars`` characters or more, or, where ``chars`` is None, any line that is not
-    blank (ASCII white space only). Null texts have no lines and stay null; an empty
-    text is one empty line. Rows that repeat an id and text are one document and are treated alike. No rows
-    give no rows; other columns are not looked at.
-    """
-    gone = stored_narrow(repeated_runs(docs, id_column, text_column, chars), "runs-gone")
-    rows = docs.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"), F.xxhash64(text_column).alias("hash")
-    )
-    joined = rows.join(gone, rows["id"].eqNullSafe(gone["doc"]) & (rows["hash"] == gone["key"]), "left")
+    merged = stored_narrow(merged, "runs-gone")
+
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("body"), F.xxhash64(text_column).alias("hash"))
+    joined = rows.join(merged, rows["id"].eqNullSafe(merged["doc"]) & (rows["hash"] == merged["key"]), "left")
     own = _lines(F.col("body"))
-    whole = F.coalesce("whole", F.lit(False))
-    kept = F.filter(own, lambda _, n: ~F.array_contains(F.col("lines"), n))
-    text = F.when(whole, F.lit("")).when(F.col("lines").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("body"))
+    words = F.size(F.filter(own, lambda line: ~line.rlike(_BLANK)))
+    whole = F.coalesce(F.col("later"), F.lit(False)) & (words > 0)
+    text = F.when(whole, F.lit("")).when(F.col("spans").isNotNull(), _without(F.col("body"), F.col("spans"))).otherwise(F.col("body"))
     n_lines = F.when(F.col("body").isNull(), 0).otherwise(F.size(own)).cast("long")
-    removed = F.when(whole, n_lines).when(F.col("lines").isNotNull(), F.size("lines")).otherwise(0).cast("long")
+    cut = F.aggregate("spans", F.lit(0), lambda total, span: total + span["end"] - span["begin"])
+    removed = F.when(whole, n_lines).when(F.col("spans").isNotNull(), cut).otherwise(0).cast("long")
+    longest_run = F.when(F.col("later").isNotNull(), words).otherwise(F.coalesce("lines", F.lit(0))).cast("long")
     return joined.select(
         F.col("id").alias(id_column),
         n_lines.alias("n_lines"),
         removed.alias("n_removed"),
-        F.when(~whole, F.coalesce("lines", F.array().cast("array<int>"))).alias("lines"),
+        longest_run.alias("longest_run"),
+        F.when(~whole, F.coalesce("spans", F.array().cast(merged.schema["spans"].dataType))).alias("spans"),
         text.alias("text"),
     )
