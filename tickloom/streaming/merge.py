@@ -125,7 +125,8 @@ def merge_batch(
             touched = stored(fresh.select(*_BUCKET).distinct(), "touched")
             held = _held(tables, spark, before=batch).join(touched, list(_BUCKET), "left_semi")
             merged = stored(merged_windows(held, fresh), "merged")
-            batch.write("windows", merged.select(*_STATE, *_BUCKET))
+            # One file for each bucket.
+            batch.write("windows", merged.select(*_STATE, *_BUCKET).repartition(*_BUCKET))
             batch.write("window_heads", touched)
             batch.write("curated", _curated(merged.where("changed")))
         marks = [m for m in (mark, counts.pop("mark")) if m is not None]
