@@ -5,11 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import pytest
 from corpus_cases import LONG, ODD, sha
 from pyspark.sql import functions as F
 
+from tickloom.llm import decontaminate
 from tickloom.llm.bpe import Encoder, PrefixTable, Recent, encode_texts, read_ranks
 from tickloom.llm.components import components
 from tickloom.llm.decontaminate import contamination
@@ -111,6 +113,40 @@ def brute_contamination(text, items, width):
     return len(words), len(hit), sorted(names)
 
 
+def test_each_block_of_a_benchmark_is_built_once(spark, documents, monkeypatch):
+    """2 MB of items in blocks of 128 KB: no block is much larger, every pass broadcasts one, and all hits are joined."""
+    items = [(n, " ".join(f"item{n}word{k}" for k in range(40))) for n in range(3000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sizes, scan = [], decontaminate._scan
+
+    def watched(docs, block, width):
+        sizes.append(sum(len(word) + 1 for _, own in block for word in own))
+        return scan(docs, block, width)
+
+    monkeypatch.setattr(decontaminate, "_scan", watched)
+    docs = [(n, f"clean {n} " + " ".join(items[k][1] for k in range(n, n + 3)) + " end") for n in range(0, 2900, 100)] + [(5000, "clean")]
+    got = contamination(documents(docs), bench, block_bytes=128 << 10).collect()
+    assert len(sizes) > 10 and sum(sizes) == sum(len(text) + 1 for _, text in items) and max(sizes) < 256 << 10
+    for row in got:
+        expected = [] if row.doc_id == 5000 else sorted(str(n) for n in range(row.doc_id, row.doc_id + 3))
+        assert row["items"] == expected and row.n_hit == 40 * len(expected)
+        assert [(s.start, s.end) for s in row.spans] == ([] if not expected else [(len(f"clean {row.doc_id} "), len(dict(docs)[row.doc_id]) - 4)])
+
+
+def test_a_worker_builds_one_automaton_for_a_block(monkeypatch):
+    built = []
+    monkeypatch.setattr(decontaminate, "Items", lambda block, width: built.append(block) or len(built))
+    monkeypatch.setattr(decontaminate, "_LAST", {})
+    block = SimpleNamespace(value=["items"])
+    assert [decontaminate._built("one", block, 10) for _ in range(5)] == [1] * 5 and len(built) == 1
+
+
+def test_contamination_by_a_benchmark_with_other_columns(spark, documents):
+    bench = spark.createDataFrame([("i", "one two three", "x", 1, "y")], "item_id string, text string, name string, id int, key string")
+    docs = documents([(1, "zero one two three four"), (2, "none"), (None, "one two three")])
+    assert {(r.doc_id, r.n_hit, r.contaminated) for r in contamination(docs, bench).collect()} == {(1, 3, True), (2, 0, False), (None, 3, True)}
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 50])
 @pytest.mark.parametrize("width", [1, 3, 10])
 def test_contamination_against_brute_force(spark, documents, width, block_bytes):
@@ -324,6 +360,15 @@ def test_whole_copies_of_a_text(documents):
     }
 
 
+def test_empty_tables_of_shards_and_copies(empty):
+    assert byte_shards(empty, 4).count() == exact_dedup(empty).count() == unique_rows(empty).count() == 0
+
+
+def test_a_very_long_text_is_a_shard_row(documents):
+    rows = byte_shards(documents([(1, LONG * 20), (2, "x"), (3, None)]), 3).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {1: (len(LONG) * 20 + 8, zlib.crc32((LONG * 20).encode())), 2: (9, zlib.crc32(b"x")), 3: (8, 0)}
+
+
 def test_line_runs_with_text_ids(spark):
     rows = spark.createDataFrame([("b", "x\ny"), ("a", "x\nz"), (None, "x")], "doc_id string, text string")
     assert {r.doc_id: r.text for r in dedup_lines(rows).collect()} == {"a": "x\nz", "b": "y", None: ""}

@@ -1,10 +1,12 @@
 """WARC derivatives and URL filters on odd rows."""
 
+import datetime as dt
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
-from tickloom.llm.urls import intervals, judge_captures
+from tickloom.llm.urls import _blocks, intervals, judge_captures
 from tickloom.llm.warc import derive_records, record_bytes
 
 PAGE = '<html><script>x</script><!-- no --><p>One &amp;lt; two</p><div>Three  four<br>five</div></html>'
@@ -78,3 +80,50 @@ def test_captures_are_judged_by_what_stood_at_the_time(spark):
     assert judge_captures(frame, lists.limit(0)).filter("blocked").count() == 0
     assert judge_captures(frame.limit(0), lists).count() == 0
     assert intervals(lists).count() == 3
+
+
+def plain_judge(entries, captures):
+    """Active (list, pattern) pairs of every capture, by looking at all entries."""
+    out = {}
+    for name, host, at in captures:
+        labels = host.split(".")
+        domains = {".".join(labels[n:]) for n in range(len(labels))}
+        active = set()
+        for key in {(e[0], e[1]) for e in entries if e[1] in domains}:
+            before = [(e[3], e[2] == "add") for e in entries if (e[0], e[1]) == key and e[3] <= at]
+            if before and max(before)[1]:
+                active.add(key)
+        blocked = sorted({key[0] for key in active if key[0] != "allow"})
+        out[name] = (len(active), blocked, any(key[0] == "allow" for key in active))
+    return out
+
+
+def test_captures_against_all_entries_with_one_hot_label(spark):
+    """A list names a top-level label, most hosts lie below it, and entries stand for hours, days or years."""
+    draw = random.Random(3)
+    start = dt.datetime(2020, 1, 1)
+    patterns = ["com", "a.com", "b.a.com", "x.org", "org", "never.net"]
+    entries = [
+        (draw.choice(["spam", "adult", "allow"]), draw.choice(patterns), draw.choice(["add", "add", "remove"]), start + dt.timedelta(hours=draw.randrange(40_000)))
+        for _ in range(150)
+    ]
+    hosts = ["a.com"] * 6 + ["b.a.com", "c.b.a.com", "x.org", "y.x.org", "com", "never.net", "else.net"]
+    captures = [(n, draw.choice(hosts), start + dt.timedelta(hours=draw.randrange(-2000, 45_000), minutes=n % 60)) for n in range(800)]
+    frame = spark.createDataFrame([(n, f"http://{host}/", at) for n, host, at in captures], "capture_id long, url string, fetched_at timestamp")
+    lists = spark.createDataFrame(entries, "list string, pattern string, action string, listed_at timestamp")
+    got = {r.capture_id: (r.n_active, r.blocked_by, r.allowed) for r in judge_captures(frame, lists).collect()}
+    assert got == plain_judge(entries, captures)
+
+
+def test_blocks_of_days_cover_an_interval_once(spark):
+    cases = [(0, 1), (3, 17), (19000, 21000), (7, 7), (9, 4), (1, 65536), (18999, 19000)]
+    rows = spark.createDataFrame(cases, "first int, end int").select("first", "end", _blocks(F.col("first"), F.col("end")).alias("b")).collect()
+    for row in rows:
+        days = sorted(d for b in row.b for d in range(b.block << b.level, (b.block + 1) << b.level))
+        assert days == list(range(row.first, row.end)) and len(row.b) <= 34
+
+
+def test_patterns_without_an_entry_go_before_the_join(spark):
+    frame = spark.createDataFrame([(1, "http://a.com/", dt.datetime(2024, 1, 1))], "capture_id long, url string, fetched_at timestamp")
+    lists = spark.createDataFrame([("spam", "b.org", "add", dt.datetime(2023, 1, 1))], "list string, pattern string, action string, listed_at timestamp")
+    assert [(r.n_active, r.blocked) for r in judge_captures(frame, lists).collect()] == [(0, False)]

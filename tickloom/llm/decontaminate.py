@@ -4,26 +4,27 @@ Normalised texts are ASCII-lowercased words joined by single spaces. The pattern
 half-window of the items (each window of consecutive item words holds one whole), or the whole of an
 item shorter than a window. One scan of the normalised text finds all of them, overlapping ones too;
 around each the words of text and item are compared as far as they agree, which gives every
-occurrence of every window. Word numbers lead back to character offsets of the original text. Items
-reach the tasks in blocks of a fixed size, an automaton per block, so a larger benchmark makes more
-automatons and not larger ones.
+occurrence of every window. Word numbers lead back to character offsets of the original text. A benchmark
+beyond ``BLOCK_BYTES`` is dealt to blocks by hash; only one block is held and broadcast at a time, each is
+an automaton of its own that a worker builds once, and what the passes find is joined by row.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import SLICE_BYTES, in_arrow, slices
+from tickloom.llm.tables import in_arrow, slices, stored_narrow
+from tickloom.session import stored
 
 WINDOW = 10
 
@@ -34,32 +35,15 @@ BLOCK_BYTES = 4 << 20
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
-_HITS = (
-    "id long, key long, n_words long, n_hit long, items array<string>, "
-    "spans array<struct<start: int, end: int>>, items_sha256 string"
-)
-_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_RUN = "struct<first: int, end: int, start: int, stop: int>"
+_FOUND = f"id long, key long, n_words long, items array<string>, runs array<{_RUN}>"
+_RUNS = pa.list_(pa.struct([(name, pa.int32()) for name in ("first", "end", "start", "stop")]))
 
 
 def words(raw: bytes) -> list[bytes]:
     return raw.translate(FOLD).split()
 
 
-def item_blocks(items: Iterable[tuple[str, bytes]], block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """(item, words) in blocks; items without words are left out."""
-    block, size = [], 0
-    for item, raw in items:
-        own = words(raw)
-        if block and size + len(raw) > block_bytes:
-            yield block
-            block, size = [], 0
-        if own:
-            block.append((item, own))
-            size += len(raw)
-    if block:
-        yield block
-
-
 def joined(own: list[bytes]) -> str:
     """Words with a space at either end and between; one character a byte."""
     return f" {b' '.join(own).decode('latin-1')} "
@@ -85,6 +69,8 @@ class Items:
 
     def occurrences(self, text: str, own: list[bytes]) -> list[tuple[int, int, str]]:
         """(first word, end word, item) of every longest run of words that an item shares with the text."""
+        if not self.items:
+            return []
         found: dict[tuple[int, int], list[tuple[int, int]]] = {}
         starts: list[int] = []
         for end, (size, places) in self.automaton.iter(text):
@@ -143,6 +129,63 @@ def original_spans(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, i
     return spans
 
 
+def _scan(docs: DataFrame, items: list[tuple[str, list[bytes]]], width: int) -> DataFrame:
+    """(id, key, n_words, items, runs) of every row against one block of items."""
+    key, block = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(items)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raws in slices(batch, "body"):
+                known = _built(key, block, width)
+                normal = [words(raw) for raw in raws]
+                hits = [known.occurrences(joined(own), own) for own in normal]
+                runs = [merged((a, b) for a, b, _ in found) for found in hits]
+                spans = [original_spans(raw, own) if own else [] for raw, own in zip(raws, runs)]
+                placed = [[(*run, *span) for run, span in zip(*pair)] for pair in zip(runs, spans)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"),
+                        part.column("key"),
+                        pa.array([len(own) for own in normal], pa.int64()),
+                        pa.array([sorted({item for _, _, item in found}) for found in hits], pa.list_(pa.string())),
+                        pa.array([[dict(zip(("first", "end", "start", "stop"), run)) for run in own] for own in placed], _RUNS),
+                    ],
+                    ["id", "key", "n_words", "items", "runs"],
+                )
+
+    return in_arrow(docs, scan, _FOUND)
+
+
+def _together(runs: Column) -> Column:
+    """Sorted runs as one where they meet."""
+
+    def add(done: Column, run: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(
+            last["first"].alias("first"),
+            F.greatest(last["end"], run["end"]).alias("end"),
+            last["start"].alias("start"),
+            F.greatest(last["stop"], run["stop"]).alias("stop"),
+        )
+        apart = (F.size(done) == 0) | (run["first"] > last["end"])
+        return F.when(apart, F.concat(done, F.array(run))).otherwise(F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer)))
+
+    return F.aggregate(F.sort_array(runs), F.array().cast(f"array<{_RUN}>"), add)
+
+
+def _joined(passes: list[DataFrame]) -> DataFrame:
+    """One row per document from those of every pass. Repeated rows have one answer."""
+    more = reduce(DataFrame.unionAll, [rows.filter(F.size("items") > 0).select("id", "key", "items", "runs") for rows in passes[1:]])
+    more = more.distinct().groupBy(F.col("id").alias("hit_id"), F.col("key").alias("hit_key")).agg(
+        F.flatten(F.collect_list("items")).alias("more_items"), F.flatten(F.collect_list("runs")).alias("more_runs")
+    )
+    first = passes[0]
+    both = first.join(stored_narrow(more, "contamination-hits"), first["id"].eqNullSafe(F.col("hit_id")) & (first["key"] == F.col("hit_key")), "left")
+    items = F.array_sort(F.array_distinct(F.concat("items", F.coalesce("more_items", F.array().cast("array<string>")))))
+    runs = _together(F.concat("runs", F.coalesce("more_runs", F.array().cast(f"array<{_RUN}>"))))
+    return both.select("id", "key", "n_words", items.alias("items"), F.when(F.col("more_runs").isNull(), F.col("runs")).otherwise(runs).alias("runs"))
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -159,51 +202,33 @@ def contamination(
     A word is hit when it lies inside an occurrence of ``width`` consecutive words of an item, or of a
     whole item that is shorter. Null and empty texts have no words; items without words have no window;
     null item ids read as the empty name. Repeated rows are judged one by one; an empty benchmark hits
-    nothing. Documents are scanned once, whole, and are not shuffled. ``key_column`` names a column for the
-    64-bit hash of the row's text (``xxhash64``), which with the id tells the row that was judged.
+    nothing; no documents give no rows. Documents are scanned whole, once for each block of about ``block_bytes``
+    of items, and are not shuffled; with several blocks what was found is written and joined. ``key_column`` names
+    a column for the 64-bit hash of the row's text (``xxhash64``), which with the id tells the row that was judged.
     """
-    context = docs.sparkSession.sparkContext
-    rows = benchmark.select(F.col(item_column).cast("string"), F.col(item_text_column)).toLocalIterator()
-    named = ((row[0] or "", (row[1] or "").encode()) for row in rows)
-    blocks = [(uuid.uuid4().hex, context.broadcast(block)) for block in item_blocks(named, block_bytes)]
-    slice_bytes = SLICE_BYTES if len(blocks) < 2 else 8 * SLICE_BYTES
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, raws in slices(batch, "body", slice_bytes):
-                normal = [words(raw) for raw in raws]
-                texts = [joined(own) for own in normal]
-                found: list[list] = [[] for _ in raws]
-                for key, block in blocks:
-                    items = _built(key, block, width)
-                    for hits, text, own in zip(found, texts, normal):
-                        hits += items.occurrences(text, own)
-                runs = [merged((a, b) for a, b, _ in hits) for hits in found]
-                names = [sorted({item for _, _, item in hits}) for hits in found]
-                spans = [original_spans(raw, own) if own else [] for raw, own in zip(raws, runs)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"),
-                        part.column("key"),
-                        pa.array([len(own) for own in normal], pa.int64()),
-                        pa.array([sum(b - a for a, b in own) for own in runs], pa.int64()),
-                        pa.array(names, pa.list_(pa.string())),
-                        pa.array([[{"start": a, "end": b} for a, b in own] for own in spans], _SPAN),
-                        pa.array([hashlib.sha256(",".join(own).encode()).hexdigest() for own in names], pa.string()),
-                    ],
-                    ["id", "key", "n_words", "n_hit", "items", "spans", "items_sha256"],
-                )
-
+    name, text = F.coalesce(F.col(item_column).cast("string"), F.lit("")), F.col(item_text_column)
+    asked = benchmark.filter(text.isNotNull()).select(name.alias("name"), text.alias("text"))
+    size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    deal = F.pmod(F.xxhash64("name", "text"), F.lit(blocks))
     body = F.col(text_column)
     narrow = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(body).alias("key"), body.alias("body"))
-    return in_arrow(narrow, scan, _HITS).select(
+    passes = []
+    for number in range(blocks):
+        block = [(row["name"], words(row["text"].encode())) for row in asked.filter(deal == number).collect()]
+        rows = _scan(narrow, [(item, own) for item, own in block if own], width)
+        passes.append(stored(rows, "contamination-pass") if blocks > 1 else rows)
+    found = passes[0] if blocks == 1 else _joined(passes)
+    hit = F.aggregate("runs", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["first"])
+    judged = found.withColumn("n_hit", hit)
+    return judged.select(
         F.col("id").alias(id_column),
         *([F.col("key").alias(key_column)] if key_column else []),
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         "items",
-        "spans",
-        "items_sha256",
+        F.transform("runs", lambda run: F.struct(run["start"].alias("start"), run["stop"].alias("end"))).alias("spans"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -157,12 +157,14 @@ def _merged(segments: DataFrame) -> DataFrame:
 
     ``segments`` has one row per such run: part, edge, size, keep_id, body. At most two a partition.
     """
+    # Two rows a partition, without their texts, are put in order by one task; the texts of neighbours meet in a join.
     place = Window.orderBy("part", "edge")
-    numbered = stored_narrow(segments.withColumn("n", F.row_number().over(place)), "exact-ends")
-    this, before = numbered.alias("a"), numbered.select((F.col("n") + 1).alias("n"), F.col("body").alias("above"))
-    goes_on = this.join(before, "n", "left").select(
-        "n", "part", "edge", "size", "keep_id", F.coalesce(F.col("body") == F.col("above"), F.lit(False)).alias("on")
-    )
+    own = segments.select("part", "edge", "size", "keep_id")
+    numbered = stored_narrow(own.withColumn("n", F.row_number().over(place)), "exact-ends")
+    texts = numbered.select("n", "part", "edge").join(segments.select("part", "edge", "body"), ["part", "edge"]).select("n", "body")
+    above = texts.select((F.col("n") + 1).alias("n"), F.col("body").alias("above"))
+    same = texts.join(above, "n").filter(F.col("body") == F.col("above")).select("n", F.lit(True).alias("on"))
+    goes_on = numbered.join(stored_narrow(same, "exact-same"), "n", "left").withColumn("on", F.coalesce("on", F.lit(False)))
     group = F.sum(F.when(F.col("on"), 0).otherwise(1)).over(Window.orderBy("n"))
     grouped = goes_on.withColumn("g", group)
     totals = grouped.groupBy("g").agg(

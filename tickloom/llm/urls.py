@@ -2,8 +2,9 @@
 
 Dated list entries (a host pattern was put on a list or taken off) become validity intervals. A capture
 is judged by the entries that were active when it was fetched: its host and all parent domains are looked
-up, and an as-of join keeps the intervals that hold the fetch time. The join goes by pattern and day, so
-neither a host with a third of the captures nor a pattern with a long history meets all of the other side.
+up, and an as-of join keeps the intervals that hold the fetch time. Patterns that no entry names go
+first. An interval is cut into blocks of 1, 2, 4, ... days, so it meets the days it covers and no others;
+and a pattern, however many captures ask for it, is dealt to ``SALTS`` parts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,12 @@ from tickloom.session import stored
 ADD, REMOVE = "add", "remove"
 ALLOW = "allow"
 
+# Parts that the captures of one pattern are dealt to.
+SALTS = 16
+
+# Blocks of days are 1 to 2 ** (LEVELS - 1) days long.
+LEVELS = 18
+
 
 def host_of(url: Column) -> Column:
     """Lower-case host without port, user and final dot; null where a URL has none."""
@@ -50,6 +57,26 @@ def intervals(entries: DataFrame) -> DataFrame:
     return moments.withColumn("to", after).filter("added").select("list", "pattern", F.col("at").alias("valid_from"), F.col("to").alias("valid_to"))
 
 
+def _blocks(first: Column, end: Column) -> Column:
+    """The least blocks of days (level, block) that make up the days [first, end)."""
+
+    def of(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), level)
+        low, high = F.ceil(first / size).cast("int"), F.floor(end / size).cast("int")
+        own = [F.when((low < high) & (low % 2 == 1), low), F.when((low < high) & (high % 2 == 1), high - 1)]
+        return F.transform(F.array_distinct(F.array_compact(F.array(*own))), lambda block: F.struct(level.alias("level"), block.alias("block")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), of))
+
+
+def _day(time: Column | str) -> Column:
+    return F.unix_date(F.to_date(time))
+
+
+def _each_salt(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.array(*[F.lit(n) for n in range(SALTS)])))
+
+
 def judge_captures(
     captures: DataFrame,
     entries: DataFrame,
@@ -72,14 +99,24 @@ def judge_captures(
     asked = rows.filter(F.col("host").isNotNull() & F.col("fetched_at").isNotNull())
     # Captures of a host at one moment get one answer.
     moments = asked.select("host", "fetched_at").distinct()
-    points = moments.withColumn("pattern", F.explode(domains(F.col("host")))).withColumn("day", F.to_date("fetched_at"))
-    # Only days on which a pattern is asked for; narrow rows, reduced before they move.
+    valid = stored(intervals(entries), "url-intervals")
+    listed = _each_salt(stored(valid.select("pattern").distinct(), "url-patterns"))
+    salted = moments.withColumn("salt", F.pmod(F.xxhash64("host", "fetched_at"), F.lit(SALTS)).cast("int"))
+    points = salted.withColumn("pattern", F.explode(domains(F.col("host")))).withColumn("day", _day("fetched_at"))
+    points = stored(points.join(listed, ["pattern", "salt"], "left_semi"), "url-points")
+    # Only days on which a listed pattern is asked for; narrow rows, reduced before they move.
     days = points.select("pattern", "day").distinct()
-    valid = intervals(entries)
-    in_day = days.join(valid, "pattern").filter(
-        (F.to_date("valid_from") <= F.col("day")) & (F.col("valid_to").isNull() | (F.to_date("valid_to") >= F.col("day")))
+    low, high = points.agg(F.min("day"), F.max("day")).first()
+    levels = F.transform(
+        F.sequence(F.lit(0), F.lit(LEVELS - 1)),
+        lambda n: F.struct(n.alias("level"), F.call_function("shiftright", F.col("day"), n).alias("block")),
     )
-    active = points.join(in_day, ["pattern", "day"]).filter(
+    first = F.greatest(_day("valid_from"), F.lit(low or 0))
+    end = F.least(F.coalesce(_day("valid_to"), F.lit(high or 0)), F.lit(high or 0)) + 1
+    covered = valid.select("list", "pattern", "valid_from", "valid_to", F.inline(_blocks(first, end)))
+    in_day = days.select("pattern", "day", F.inline(levels)).join(covered, ["pattern", "level", "block"]).drop("level", "block")
+    in_day = _each_salt(stored(in_day, "url-days"))
+    active = points.join(in_day, ["pattern", "day", "salt"]).filter(
         (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     )
     answers = active.groupBy("host", "fetched_at").agg(
