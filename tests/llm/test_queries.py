@@ -1,10 +1,16 @@
 """The registered queries: against their SQL, or against the data they learn from."""
 
+import hashlib
+import re
+
+import public_tokenizers
 import pytest
+import tiktoken
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tickloom.llm.bpe import read_ranks
 from tickloom.llm.queries import ORACLES, QUERIES
 from tickloom.llm.tables import read
 
@@ -45,16 +51,13 @@ def test_language_on_rows_never_learned_from(spark, sf_dir):
     assert known.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] >= 0.98
 
 
-def test_tokens_of_whole_documents(spark, sf_dir):
-    import hashlib
-
-    import public_tokenizers
-    import tiktoken
+def encoder():
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    from tickloom.llm.bpe import read_ranks
 
-    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def test_tokens_of_whole_documents(spark, sf_dir):
+    library = encoder()
     texts = {r.doc_id: r.text for r in read(spark, sf_dir, "documents").select("doc_id", "text").collect()}
     for row in QUERIES["op10_byte_bpe"](spark, sf_dir).collect():
         ids = library.encode_ordinary(texts[row.doc_id] or "")
@@ -63,6 +66,38 @@ def test_tokens_of_whole_documents(spark, sf_dir):
         assert row.decoded_sha256 == hashlib.sha256((texts[row.doc_id] or "").encode()).hexdigest()
 
 
+def docs_of(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def brute_near(texts):
+    """Ids that stay: the smallest of every group of texts linked by five-word shingle sets that are alike by 0.8."""
+    sets = {}
+    for i, text in texts.items():
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        own = re.findall(r"[^\x20\x09-\x0D]+", low)
+        sets[i] = {tuple(own[n : n + 5]) for n in range(max(1, len(own) - 4))} if own else set()
+    parent = {i: i for i in texts}
+
+    def top(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    ids = sorted(i for i in sets if sets[i])
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if 100 * small < 80 * large:
+                continue
+            meet = len(sets[a] & sets[b])
+            if 100 * meet >= 80 * (len(sets[a]) + len(sets[b]) - meet):
+                low, high = sorted((top(a), top(b)))
+                parent[high] = low
+    return {i for i in texts if top(i) == i}
+
+
 def test_pipeline_stages_take_effect(spark, sf_dir, con):
     docs = read(spark, sf_dir, "documents")
     kept = {}
@@ -85,6 +120,12 @@ def test_pipeline_stages_take_effect(spark, sf_dir, con):
     hit = {r[0] for r in con.execute(f"SELECT doc_id FROM ({ORACLES['op1_decontaminate']}) WHERE contaminated").fetchall()}
     assert clean == near - hit
 
+    texts = {r.doc_id: r.text for r in docs_of(spark, sf_dir).collect()}
+    assert near == brute_near({i: texts[i] for i in exact})
+
+    library = encoder()
+    for row in corpus_pipeline.run(spark, sf_dir).select("doc_id", "token_ids").collect():
+        assert row.token_ids == library.encode_ordinary(texts[row.doc_id] or "")
     last = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in last.select("doc_id").collect()} == clean
     assert last.filter(F.size("token_ids") != F.col("n_tokens")).count() == 0

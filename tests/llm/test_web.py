@@ -45,6 +45,31 @@ def test_character_references_are_resolved_once(spark):
     assert {r.refers_to: r.block for r in got.collect()} == {f"<urn:{n}>": text for n, text in enumerate(pages.values())}
 
 
+def test_tags_and_silent_elements(spark):
+    pages = {
+        '<p title="a>b">x</p>': "x",
+        "<p title='a>b' id=\"c>d\">x<b data-x='>'>y</b>": "xy",
+        "one<script>if (a < b) { c('</p>') }": "one",
+        "one<!-- two <p>three": "one",
+        "<textarea>a</textarea><textarea>b</textarea><thead><tr><td>c</td></tr></thead>d": "a\nb\nc\nd",
+        '<p title="never closed>x</p><p>y</p>': "x\ny",
+        "<SCRIPT type='>'>x</script >a<style>b</STYLE>c": "a c",
+        "<noscript><script>x</script></noscript>d 3 < 4 > 2": "d 3 < 4 > 2",
+        "<b>" * 20_000 + "deep": "deep",
+    }
+    rows = [(f"<urn:{n}>", "u", None, page, None) for n, page in enumerate(pages)]
+    got = derive_records(spark.createDataFrame(rows, PAGES)).filter("record_type = 'conversion'")
+    assert {r.refers_to: r.block for r in got.collect()} == {f"<urn:{n}>": text for n, text in enumerate(pages.values())}
+
+
+def test_header_lines_stay_apart(spark):
+    http = "HTTP/1.1 200 OK\r\nSet-Cookie: a; b\r\nX: 1; 2\r\n\r\n"
+    rows = spark.createDataFrame([("<urn:a>", "u", None, "x", http), ("<urn:b>", "u", None, "x", None)], PAGES)
+    got = derive_records(rows, http_headers_column="block").filter("record_type = 'metadata'").collect()
+    lines = {r.refers_to: [v for k, v in (x.split(": ", 1) for x in r.block.split("\r\n") if x) if k == "source-http-header"] for r in got}
+    assert lines == {"<urn:a>": http.split("\r\n")[:3], "<urn:b>": []}
+
+
 def test_captures_are_judged_by_what_stood_at_the_time(spark):
     entries = [
         ("spam", "Bad.example", "add", "2024-01-02 00:00:00"),

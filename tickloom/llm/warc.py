@@ -20,9 +20,18 @@ CRLF = "\r\n"
 # Elements without readable text, and elements that begin a new line.
 SILENT = ("script", "style", "template", "noscript")
 BLOCKS = (
-    "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|"
-    "header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
+    "address|article|aside|blockquote|br|button|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
+    "h1|h2|h3|h4|h5|h6|header|hr|legend|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|"
+    "tfoot|th|thead|title|tr|ul"
 )
+
+# The rest of a tag: what stands in quotes may hold a closing bracket.
+_REST = """[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
+_HIDDEN = rf"(?is)<({'|'.join(SILENT)})\b{_REST}.*?(?:</\1[^>]*+>|\z)|<!--.*?(?:-->|\z)"
+_BLOCK = rf"(?i)</?(?:{BLOCKS})(?:>|[\s/]{_REST})"
+_TAG = f"<[!/?a-zA-Z]{_REST}"
+# A quote that is never closed: the tag ends at the next bracket all the same.
+_BROKEN = "<[!/?a-zA-Z][^>]*+>"
 # The named characters most pages keep to, besides &amp;. A blank stands for &nbsp;.
 NAMED = (
     ("lt", "<"),
@@ -92,14 +101,14 @@ def _resolved(text: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """The text of a page: silent elements, comments and tags out, blocks on lines of their own, blanks joined."""
-    text = html
-    for name in SILENT:
-        text = F.regexp_replace(text, f"(?is)<{name}[^>]*>.*?</{name}[^>]*>", " ")
-    text = F.regexp_replace(text, "(?s)<!--.*?-->", " ")
+    """The text of a page: silent elements, comments and tags out, blocks on lines of their own, blanks joined.
+
+    A silent element or comment that is not closed goes on to the end of the page.
+    """
+    text = F.regexp_replace(html, _HIDDEN, " ")
     text = F.regexp_replace(text, r"[ \t\r\n]+", " ")
-    text = F.regexp_replace(text, f"(?i)</?({BLOCKS})(\\s[^>]*)?/?>", "\n")
-    text = F.regexp_replace(text, "<[!/?a-zA-Z][^>]*>", "")
+    text = F.regexp_replace(text, _BLOCK, "\n")
+    text = F.regexp_replace(F.regexp_replace(text, _TAG, ""), _BROKEN, "")
     # The text is bound, so that it is made once.
     text = F.get(F.transform(F.array(text), _resolved), F.lit(0))
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, " *\n *", "\n"), "\n+", "\n"), r"^[ \n]+|[ \n]+$", "")
@@ -127,7 +136,7 @@ def derive_records(
     which bytes it was made from. ``record_bytes`` of a row gives the record as it stands in a file. A null
     page has no bytes and its conversion is empty; a null target, date or header is left out of the header;
     a response without record id refers to nothing, and its derived records are named after the rest of
-    what it has. Repeated responses give repeated records; no rows give no rows; other columns do not matter.
+    what it has. A page is worked through whole within its row. Repeated responses give repeated records; no rows give no rows; other columns do not matter.
     """
     html = F.coalesce(F.col(html_column), F.lit(""))
     uri, date = F.col(uri_column).cast("string"), F.col(date_column).cast("string")
@@ -150,7 +159,8 @@ def derive_records(
         ("source-uri", F.col("target_uri")),
         ("source-payload-digest", F.col("payload_digest")),
         ("source-payload-bytes", F.col("payload_bytes").cast("string")),
-        ("source-http-headers", F.regexp_replace("http_headers", r"\r?\n", "; ")),
+        # A field for each line, so that they can be taken apart again.
+        ("source-http-header", F.regexp_replace(F.regexp_replace("http_headers", r"[\r\n]+\z", ""), r"\r?\n", f"{CRLF}source-http-header: ")),
         ("text-bytes", F.octet_length("text").cast("string")),
         ("text-digest", text_digest),
         ("conversion-record", record_id("conversion", F.col("source_name"))),
