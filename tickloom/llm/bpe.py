@@ -291,8 +291,8 @@ def encode_texts(
     """Per row: id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, token_ids.
 
     Each match of ``pattern`` is encoded by itself, without special tokens; the ids are then decoded.
-    Null texts are empty and have no tokens. Rows are independent of each other and are not shuffled;
-    other columns are not looked at. The rank file is read here and sent to the tasks (bounded by
+    Null texts are empty and have no tokens. Rows are independent of each other and are not shuffled, so repeated
+    ones agree; no rows give no rows. A text is held whole by its task; other columns are not looked at. The rank file is read here and sent to the tasks (bounded by
     ``RANKS_BYTES``).
     """
     context = docs.sparkSession.sparkContext

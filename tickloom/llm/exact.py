@@ -187,7 +187,8 @@ def exact_dedup(
 
     Of equal texts one row stays, the one with the smallest (or largest) id. Null text is the empty
     text and null ids lose against all others. Rows that repeat an id and text are copies too: one of
-    them stays. No rows give no rows. Other columns are not looked at.
+    them stays. No rows give no rows. Texts are sorted and compared whole, whatever their length; other columns are
+    not looked at.
     """
     ordered = _sorted(docs, id_column, text_column, keep, normalise)
     ready = ordered.select("id", "body", F.sha2(F.col("body").cast("binary"), 256).alias("sha"))

@@ -263,7 +263,8 @@ def near_duplicates(
     more. Words and shingles are compared by 64-bit hashes. Null texts and texts without words have no
     shingle and no link. Rows that repeat an id and text are one document; an id with several texts is judged
     text by text. A row without id belongs to the class of its text and is kept only if that has no id. No
-    rows give no rows; other columns are not looked at. ``key_column`` names a column for the 64-bit hash of
+    rows give no rows; other columns are not looked at. A text is held whole by its task, and its shingle set
+    stands in one row. ``key_column`` names a column for the 64-bit hash of
     the row's text (``xxhash64``), which with the id tells the row that was judged.
     """
     least = match_threshold(coordinates, percent / 100)

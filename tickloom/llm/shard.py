@@ -43,7 +43,8 @@ def byte_shards(docs: DataFrame, shards: int, id_column: str = "doc_id", text_co
     Sizes of shards differ by at most the largest row. Slots count from 0 in each shard without gaps,
     in id order. Null text has no bytes and the checksum of no bytes; null ids come first; rows that
     repeat an id are ordered by checksum and size. A shard without rows is possible when there are few
-    rows; no rows give no rows. Other columns are not looked at.
+    rows; no rows give no rows. A text of any length is measured by its own task; only its size and checksum
+    move. Other columns are not looked at.
     """
     if shards < 1:
         raise ValueError("at least one shard")
