@@ -109,6 +109,14 @@ CASES = {
     "time number": (tick(event_time="5"), "load_failed", "Load error: event_time is not a timestamp", {}),
     "time of day only": (tick(event_time='"10:00"'), "load_failed", "Load error: event_time is not a timestamp", {}),
     "time offset": (tick(event_time='"2026-01-01T15:30:00.5+05:30"'), "inserted", None, {"event_time": TIME}),
+    "time in digits": (tick(event_time='"20240101T100000"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 1, 10)}),
+    "time in digits to the minute": (tick(event_time='"20240101 1000"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 1, 10)}),
+    "date in digits": (tick(event_time='"20240101"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 1)}),
+    "month by name": (tick(event_time='"January 5, 2024 10:00:30"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 5, 10, 0, 30)}),
+    "month by short name": (tick(event_time='" 5 jan 2024 9:30"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 5, 9, 30)}),
+    "date with dashes": (tick(event_time='"5-Mar-2024"'), "inserted", None, {"event_time": dt.datetime(2024, 3, 5)}),
+    "date with slashes": (tick(event_time='"2024/1/5 10:00"'), "inserted", None, {"event_time": dt.datetime(2024, 1, 5, 10)}),
+    "digits that are no date": (tick(event_time='"20241301"'), "load_failed", "Load error: event_time is not a timestamp", {}),
     "time impossible": (tick(event_time='"2026-02-30T00:00:00+00:00"'), "load_failed", "Load error: event_time is not a timestamp", {}),
     "duplicate key": (tick(tail=', "price": 2.5'), "inserted", None, {"price": 2.5}),
     "duplicate key, last bad": (tick(tail=', "price": "abc"'), "invalid", NUMERIC, {}),

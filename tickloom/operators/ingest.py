@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import payload as P
-from tickloom.functions.stamps import iso_timestamp
+from tickloom.functions.stamps import iso_timestamp, loaded_timestamp
 from tickloom.schemas import SYMBOL_LENGTH, TICK_FIELDS
 
 INSERTED = "inserted"
@@ -74,7 +74,7 @@ def _values(tick: Column) -> Column:
         F.substring(symbol.text, 1, SYMBOL_LENGTH).alias("symbol"),
         F.transform(F.array(*[tick[name] for name in _PRICES]), lambda field: P.Loose(field).as_price).alias("prices"),
         P.Loose(tick["volume"]).as_volume.alias("volume"),
-        F.when(stamp.is_text, iso_timestamp(stamp.text)).alias("event_time"),
+        F.when(stamp.is_text, loaded_timestamp(stamp.text)).alias("event_time"),
     )
 
 
