@@ -12,7 +12,7 @@ from tickloom.operators.parse import parse_ticks
 from tickloom.sources.tables import PipelineTables
 from tickloom.sources.writers import BatchWriter
 from tickloom.streaming.ingest import Stamp, ingest_batch
-from tickloom.streaming.merge import merge_batch
+from tickloom.streaming.merge import PARTS, merge_batch
 from tickloom.streaming.windows import WATERMARK, WINDOW, curated_stream, to_sink
 
 # The part of a tick that curation reads; the other fields are not converted.
@@ -55,11 +55,12 @@ def merged_curation_job(
     watermark: str = WATERMARK,
     drain: bool = False,
     stamp: Stamp | None = None,
+    parts: int = PARTS,
 ) -> DataStreamWriter:
     """Messages to a maintained table of windows; late ones go to the dead letters. See ``streaming.merge``."""
     received = _received(messages).withColumn("payload", F.col("value").cast("string"))
     ticks = parse_ticks(received, ddl=CURATION_FIELDS, keep=("topic", "partition", "offset", "arrival", "payload"))
-    return to_sink(ticks, merge_batch(tables, width, watermark, stamp=stamp), checkpoint, "append", drain)
+    return to_sink(ticks, merge_batch(tables, width, watermark, parts, stamp), checkpoint, "append", drain)
 
 
 def ingest_job(
