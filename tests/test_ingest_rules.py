@@ -72,6 +72,12 @@ CASES = {
     "price NaN text": (tick(price='"NaN"'), "inserted", None, {"price": math.nan}),
     "price signed nan text": (tick(price='"-nan"'), "load_failed", "Load error: price is not numeric", {}),
     "price infinity text": (tick(price='"-inf"'), "inserted", None, {"price": -math.inf}),
+    "price Infinity text": (tick(price='" Infinity "'), "inserted", None, {"price": math.inf}),
+    "price text beyond a double": (tick(price='"1e400"'), "load_failed", "Load error: price is out of range", {}),
+    "price text beyond a double, below": (tick(low='" -1e400 "'), "load_failed", "Load error: low is out of range", {}),
+    "price text of many digits": (tick(price='"' + "9" * 400 + '"'), "load_failed", "Load error: price is out of range", {}),
+    "price text at the limit": (tick(price='"1.7e308"'), "inserted", None, {"price": 1.7e308}),
+    "price text near zero": (tick(price='"1e-400"'), "inserted", None, {"price": 0.0}),
     "volume text": (tick(volume='"10"'), "inserted", None, {"volume": 10}),
     "volume text with blanks": (tick(volume='" +10 "'), "inserted", None, {"volume": 10}),
     "volume fraction": (tick(volume="12.7"), "inserted", None, {"volume": 13}),

@@ -106,9 +106,15 @@ class Loose:
     def as_price(self) -> Column:
         """Value as stored in a price column, NULL where the column refuses it."""
         return F.when(self.is_number, F.try_variant_get(self.value, "$", "double")).when(
-            self.is_text & self.text.rlike(NUMERIC_TEXT), _trimmed(self.text).try_cast("double")
+            self.is_text & self.text.rlike(NUMERIC_TEXT) & ~self.beyond_double, _trimmed(self.text).try_cast("double")
         )
 
+    @property
+    def beyond_double(self) -> Column:
+        """A number text with digits that a double holds only as infinity, such as ``"1e400"``."""
+        endless = F.abs(_trimmed(self.text).try_cast("double")) == float("inf")
+        return self.is_text & self.text.rlike(NUMERIC_TEXT) & self.text.rlike("[0-9]") & endless
+
     @property
     def as_volume(self) -> Column:
         """Value as stored in a bigint column: fractions round half away from zero, NULL if out of range."""

@@ -11,6 +11,7 @@ from tickloom.operators.latest import latest_per_key, newest_rows
 
 RECENT_ROWS = 1000
 
+# The columns of the price frames, in the order users see them.
 PRICE_COLUMNS = (
     "symbol",
     "price",

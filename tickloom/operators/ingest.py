@@ -61,6 +61,7 @@ def _load_error(tick: Column, values: Column) -> Column:
         .when(_too_long(symbol.text), F.lit("symbol is too long"))
     )
     for place, name in enumerate(_PRICES):
+        rule = rule.when(P.Loose(tick[name]).beyond_double, F.lit(f"{name} is out of range"))
         rule = rule.when(values["prices"][place].isNull(), F.lit(f"{name} is not numeric"))
     rule = rule.when(values["volume"].isNull(), F.lit("volume is not a bigint"))
     rule = rule.when(~stamp.is_null & values["event_time"].isNull(), F.lit("event_time is not a timestamp"))

@@ -32,6 +32,7 @@ _WINDOW = (
     "total_volume BIGINT, event_count BIGINT, latest_event_time TIMESTAMP"
 )
 
+# Names and columns of the price, report, alert and curated tables that users know.
 # Columns of each table, and the partitions that its rows choose themselves.
 LOGS = {
     "ingested": (f"{_ENVELOPE}, status STRING, error_message STRING, payload STRING, {_PRICES}", "outcome STRING"),
