@@ -303,6 +303,17 @@ def test_a_merged_batch_that_runs_again_adds_nothing(spark, monkeypatch):
         assert windows_of(spark, tables) == sorted([*before, (8, "A", 103, 2)])
 
 
+@pytest.mark.parametrize("other", [{"parts": 4}, {"parts": 2, "width": "1 hour"}])
+def test_another_layout_is_refused(spark, other):
+    """Windows of another length, or in other buckets, would stand beside the ones they belong to."""
+    _, tables = new_tables(spark, "layout")
+    merge_batch(tables, parts=2)(ticks_of(spark, RUNS["a"]), 0)
+    with pytest.raises(ValueError, match="begun with"):
+        merge_batch(tables, **other)(ticks_of(spark, RUNS["b"]), 1)
+    merge_batch(tables, parts=2)(ticks_of(spark, RUNS["b"]), 1)
+    assert windows_of(spark, tables) == [(1, "A", 31, 3), (1, "None", 7, 1), (2, "A", 5, 1), (10, "A", 9, 1)]
+
+
 def test_only_touched_buckets_are_written(spark):
     _, tables = new_tables(spark, "buckets")
     write = merge_batch(tables, watermark="30 days", parts=4)

@@ -22,6 +22,7 @@ from tickloom.streaming.ingest import Stamp
 from tickloom.streaming.windows import WATERMARK, WINDOW
 
 # Buckets of a day of windows: more for tables with very many symbols, so that a batch rewrites less.
+# The first batch settles them for the table.
 PARTS = 4
 
 ON_TIME, LATE, UNTIMED = "on_time", "late", "untimed"
@@ -99,6 +100,21 @@ def current_windows(tables: PipelineTables, spark: SparkSession) -> DataFrame:
     return _curated(_held(tables, spark))
 
 
+def _layout(tables: PipelineTables, spark: SparkSession, width: str, parts: int) -> dict[str, int]:
+    """Length of a window and buckets of a day, as commits record them.
+
+    Windows merge only with those of the same length in the same bucket, so a layout
+    other than the one the table was begun with is refused.
+    """
+    begun = [F.max(F.try_element_at("counts", F.lit(name))).alias(name) for name in ("width", "parts")]
+    row = tables.commits(spark).agg(*begun).select("*", _span(width).alias("span")).first()
+    asked = {"width": row["span"], "parts": parts}
+    for name, value in asked.items():
+        if row[name] not in (None, value):
+            raise ValueError(f"the table of windows was begun with {name} {row[name]}, not {value}")
+    return asked
+
+
 def merge_batch(
     tables: PipelineTables, width: str = WINDOW, watermark: str = WATERMARK, parts: int = PARTS, stamp: Stamp | None = None
 ) -> BatchWriter:
@@ -106,11 +122,15 @@ def merge_batch(
 
     The ticks are written once, by outcome, and counted on the way; windows come from what was written. A
     batch that runs again starts from the versions before it, so nothing is added twice. ``stock_prices_curated``
-    gets the changed windows, as update mode gives them. One query at a time may write to these tables.
+    gets the changed windows, as update mode gives them. One query at a time may write to these tables, and
+    all of them with the same ``width`` and ``parts``.
     """
+    layout: dict[str, int] = {}
 
     def write(ticks: DataFrame, batch_id: int) -> None:
         spark = ticks.sparkSession
+        if not layout:
+            layout.update(_layout(tables, spark, width, parts))
         batch = tables.batch(spark, batch_id, stamp and stamp(batch_id))
         mark = batch.counts_before().get("mark")
         seen = Observation()
@@ -130,6 +150,6 @@ def merge_batch(
             batch.write("window_heads", touched)
             batch.write("curated", _curated(merged.where("changed")))
         marks = [m for m in (mark, counts.pop("mark")) if m is not None]
-        batch.commit(**counts, mark=max(marks, default=None))
+        batch.commit(**counts, **layout, mark=max(marks, default=None))
 
     return write
