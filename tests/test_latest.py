@@ -1,6 +1,9 @@
 import datetime as dt
+import random
 
-from tickloom.operators import dashboard
+import pytest
+
+from tickloom.operators import dashboard, latest
 from tickloom.operators.latest import newest_rows
 from tickloom.plans import views
 
@@ -42,12 +45,54 @@ def test_latest_view(spark):
     assert rows[0].asDict().keys() == dict.fromkeys(dashboard.PRICE_COLUMNS).keys()
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_latest_view_ships_one_row_per_key_and_task(spark):
-    plan = views.latest_view(prices(spark, ROWS), ("event_id",))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(views.latest_view(prices(spark, ROWS), ("event_id",)))
     assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning(symbol")
     assert "Window" not in plan
 
 
+def test_latest_view_sorts_no_history(spark, tmp_path):
+    prices(spark, ROWS).write.parquet(f"{tmp_path}/prices")
+    plan = plan_of(views.latest_view(spark.read.parquet(f"{tmp_path}/prices"), ("event_id",)))
+    main, bounds = plan.split("Subquery", 1)[0], plan[plan.index("HashAggregate(keys=[symbol") :]
+    # What is sorted has passed the bounds; those come from a hash aggregate that reads two columns.
+    assert main.index("SortAggregate") < main.index("Filter (isnull(event_time")
+    assert "SortAggregate" not in bounds.split("FileScan")[0] and "Join" not in main
+    assert "ReadSchema: struct<symbol:string,event_time:timestamp>" in bounds
+
+
+@pytest.mark.parametrize("slots", [1, 3, latest.BOUNDS])
+def test_latest_in_history_whatever_keys_share_a_bound(spark, monkeypatch, slots):
+    monkeypatch.setattr(latest, "BOUNDS", slots)
+    draw = random.Random(slots)
+    symbols = [None, "", *"ABCDEFGH"]
+    rows = [
+        (draw.choice(symbols), float(n), n, None if draw.random() < 0.02 else draw.randrange(60), n) for n in range(400)
+    ] + [("OLD", 1.0, 1, -900, 1), ("NEVER", 1.0, 1, None, 1), ("NEVER", 2.0, 2, None, 2)]
+    args = "symbol", "event_time", ("event_id",), ["symbol", "event_time", "event_id", "price"]
+    table = prices(spark, rows)
+    got, plain = latest.latest_in_history(table, *args).collect(), latest.latest_per_key(table, *args).collect()
+    assert sorted(got, key=str) == sorted(plain, key=str) and len(got) == 12
+    assert latest.latest_in_history(table.limit(0), *args).collect() == []
+
+
+def test_latest_view_sees_rows_written_later(spark, tmp_path):
+    spark.sql(f"CREATE TABLE later_prices ({DDL}) USING parquet LOCATION '{tmp_path}/later'")
+    try:
+        prices(spark, [("A", 1.0, 1, 5, 5)]).write.insertInto("later_prices")
+        view = views.latest_view(spark.table("later_prices"), ("event_id",))
+        assert [r.price for r in view.collect()] == [1.0]
+        prices(spark, [("A", 2.0, 1, 6, 6), ("B", 3.0, 1, 1, 1)]).write.insertInto("later_prices")
+        view = views.latest_view(spark.table("later_prices"), ("event_id",))
+        assert sorted(r.price for r in view.collect()) == [2.0, 3.0]
+    finally:
+        spark.sql("DROP TABLE later_prices")
+
+
 def test_dashboard_frames(spark):
     ties = ("event_id",)
     recent = dashboard.recent_prices(prices(spark, ROWS), ties, 7)  # from inserted second 8 on

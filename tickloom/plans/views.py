@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.stamps import seconds_between
 from tickloom.operators.dashboard import PRICE_COLUMNS
-from tickloom.operators.latest import latest_per_key
+from tickloom.operators.latest import latest_in_history
 
 
 def latest_view(prices: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
-    """Latest price row per symbol over all history; NULL times win, NULL symbols are one group."""
-    return latest_per_key(prices, "symbol", "event_time", ties, PRICE_COLUMNS)
+    """Latest price row per symbol over a whole table; NULL times win, NULL symbols are one group."""
+    return latest_in_history(prices, "symbol", "event_time", ties, PRICE_COLUMNS)
 
 
 def curated_view(curated: DataFrame, ordered: bool = True) -> DataFrame:
