@@ -55,9 +55,9 @@ def test_latest_view_ships_one_row_per_key_and_task(spark):
     assert "Window" not in plan
 
 
-def test_latest_view_sorts_no_history(spark, tmp_path):
+def test_view_of_long_history_sorts_none_of_it(spark, tmp_path):
     prices(spark, ROWS).write.parquet(f"{tmp_path}/prices")
-    plan = plan_of(views.latest_view(spark.read.parquet(f"{tmp_path}/prices"), ("event_id",)))
+    plan = plan_of(views.latest_view(spark.read.parquet(f"{tmp_path}/prices"), ("event_id",), long=True))
     main, bounds = plan.split("Subquery", 1)[0], plan[plan.index("HashAggregate(keys=[symbol") :]
     # What is sorted has passed the bounds; those come from a hash aggregate that reads two columns.
     assert main.index("SortAggregate") < main.index("Filter (isnull(event_time")
@@ -84,10 +84,10 @@ def test_latest_view_sees_rows_written_later(spark, tmp_path):
     spark.sql(f"CREATE TABLE later_prices ({DDL}) USING parquet LOCATION '{tmp_path}/later'")
     try:
         prices(spark, [("A", 1.0, 1, 5, 5)]).write.insertInto("later_prices")
-        view = views.latest_view(spark.table("later_prices"), ("event_id",))
+        view = views.latest_view(spark.table("later_prices"), ("event_id",), long=True)
         assert [r.price for r in view.collect()] == [1.0]
         prices(spark, [("A", 2.0, 1, 6, 6), ("B", 3.0, 1, 1, 1)]).write.insertInto("later_prices")
-        view = views.latest_view(spark.table("later_prices"), ("event_id",))
+        view = views.latest_view(spark.table("later_prices"), ("event_id",), long=True)
         assert sorted(r.price for r in view.collect()) == [2.0, 3.0]
     finally:
         spark.sql("DROP TABLE later_prices")

@@ -258,6 +258,7 @@ def _build() -> dict[str, str]:
     sql["view_latest"] = f"""WITH {_TICKS}
         SELECT DISTINCT ON (symbol) {_PRICE_COLUMNS}, inserted_at FROM ticks
         ORDER BY symbol, event_time DESC NULLS FIRST, event_id DESC"""
+    sql["view_latest_long"] = sql["view_latest"]
     sql["view_latest_nulls"] = f"""WITH {_judged()}
         SELECT DISTINCT ON (symbol) {_PRICE_COLUMNS}, arrival AS inserted_at FROM classified WHERE status = 'inserted'
         ORDER BY symbol, event_time DESC NULLS FIRST, arrival DESC, partition DESC, "offset" DESC"""

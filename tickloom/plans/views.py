@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.stamps import seconds_between
 from tickloom.operators.dashboard import PRICE_COLUMNS
-from tickloom.operators.latest import latest_in_history
+from tickloom.operators.latest import latest_in_history, latest_per_key
 
 
-def latest_view(prices: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
-    """Latest price row per symbol over a whole table; NULL times win, NULL symbols are one group."""
-    return latest_in_history(prices, "symbol", "event_time", ties, PRICE_COLUMNS)
+def latest_view(prices: DataFrame, ties: Sequence[str] = (), long: bool = False) -> DataFrame:
+    """Latest price row per symbol over all history; NULL times win, NULL symbols are one group.
+
+    ``long`` says that ``prices`` is a table of long history: it is read twice instead of sorted.
+    """
+    latest = latest_in_history if long else latest_per_key
+    return latest(prices, "symbol", "event_time", ties, PRICE_COLUMNS)
 
 
 def curated_view(curated: DataFrame, ordered: bool = True) -> DataFrame:
