@@ -190,7 +190,7 @@ def _signed(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: class, shingle set, its size and its sketch."""
+    """Per row whose text is of the ``class`` it came with: id, shingle set, its size and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,10 +199,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 sizes = np.array([len(own) for own in sets])
                 lists = _lists(np.concatenate(sets), sizes)
                 bits = _lists(sketches(sets).ravel(), np.full(len(sets), SKETCH_BITS // 64))
-                columns = [pa.array(_classes(sets), pa.binary()), lists, pa.array(sizes, pa.int64()), bits]
-                yield pa.RecordBatch.from_arrays(columns, ["class", "set", "n", "sketch"])
+                columns = [part.column("id"), lists, pa.array(sizes, pa.int64()), bits]
+                out = pa.RecordBatch.from_arrays(columns, ["id", "set", "n", "sketch"])
+                meant = part.column("class").to_pylist()
+                yield out.filter(pa.array([a == b for a, b in zip(meant, _classes(sets))], pa.bool_()))
 
-    return in_arrow(docs, run, "class binary, set array<long>, n long, sketch array<long>")
+    return in_arrow(docs, run, "id long, set array<long>, n long, sketch array<long>")
 
 
 def _may_link(left: list[Column], right: list[Column], n: Column, m: Column, percent: int) -> Column:
@@ -273,7 +275,8 @@ def near_duplicates(
     signed = stored(_signed(rows, words, coordinates).withColumn("row", F.monotonically_increasing_id()), "near-signed")
     worded = signed.filter(F.col("class").isNotNull())
 
-    # One row per class goes on, one with the smallest id. From here to the groups "id" is the class, as a number.
+    # One row per class goes on, one with the smallest id. From here to the groups "id" is the number of that
+    # row in the table just written, so no two classes share one.
     classes = stored_narrow(
         worded.groupBy("class")
         .agg(F.min("id").alias("rep"), F.min_by("row", "id").alias("first"), F.count("*").alias("n"))
@@ -285,18 +288,18 @@ def near_duplicates(
         worded.filter("id is not null").select("class", "row").join(more, "class").filter("row != first").select("row"),
         "near-copies",
     )
-    number = F.xxhash64("class")
-    singles = worded.filter("id is not null").join(copies, "row", "left_anti").select(number.alias("id"), "signature")
+    singles = worded.filter("id is not null").join(copies, "row", "left_anti").select(F.col("row").alias("id"), "signature")
 
     posts = singles.select("id", F.explode("signature").alias("post"))
     first = stored_narrow(_shared(posts, least), "near-shared")
     # Without the classes that fell out, fewer values are shared.
     shared = _shared(first.select("id", F.explode("posts").alias("post")), least)
-    shared = stored_narrow(shared.join(classes.select(number.alias("id"), "rep"), "id"), "near-shared")
-    # Other texts of these ids come along; their classes meet nothing below.
-    bodies = rows.join(shared.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = stored(_sets(bodies, words).select(number.alias("id"), "set", "n", "sketch"), "near-sets")
-    known = stored_narrow(shared.join(sets.select("id", "n", "sketch"), "id"), "near-known")
+    shared = stored_narrow(shared.join(classes.select(F.col("first").alias("id"), "rep", "class"), "id"), "near-shared")
+    # Other texts of these ids come along and are told apart by the class.
+    wanted = shared.select("rep", "class", F.col("id").alias("first"))
+    bodies = rows.join(wanted, rows["id"] == wanted["rep"]).select(F.col("first").alias("id"), "class", "body")
+    sets = stored(_sets(bodies, words), "near-sets")
+    known = stored_narrow(shared.drop("class").join(sets.select("id", "n", "sketch"), "id"), "near-known")
     prefix = F.slice("posts", F.lit(1), F.size("posts") - least + 1)
     postings = shared.select("id", "rep", F.explode(prefix).alias("post"))
 
@@ -328,8 +331,8 @@ def near_duplicates(
     more_links = _confirmed(across, known, sets, least, percent)
     reached = components(links.unionAll(more_links))
 
-    named = classes.join(reached, number == reached["node"], "left").select("class", "rep", "n", "label")
-    named = named.filter("n > 1 or label is not null").withColumn("label", F.coalesce("label", number))
+    named = classes.join(reached, classes["first"] == reached["node"], "left").select("class", "rep", "first", "n", "label")
+    named = named.filter("n > 1 or label is not null").withColumn("label", F.coalesce("label", "first"))
     named = stored_narrow(named, "near-named")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     groups = stored_narrow(named.join(smallest, "label").select("class", "component_id"), "near-groups")
