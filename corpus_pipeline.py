@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and gives documents again, the last one token ids. ``run`` writes
 what a stage keeps and reads it again for the next.
+
+Each row is judged by itself, also where ids repeat or are null; no rows give no rows. Other columns of
+the documents pass through, whatever their names. A text is held whole by the task that judges it.
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from tickloom.llm.quality import score_quality, train_quality
 from tickloom.llm.tables import read
 from tickloom.session import stored
 
-SCORE = "quality_score"
 KEY = "text_key"
 
 
@@ -33,29 +35,37 @@ def _without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ranking places above its cut."""
-    scored = score_quality(docs, train_quality(docs, read(spark, sf_dir, "labels")), score_column=SCORE)
-    return scored.filter(F.col(SCORE) >= 0.5).drop(SCORE)
+    """Documents that the ranking places at its cut or above; equal texts fare alike, null is scored as empty.
+
+    Without labels of both kinds nothing is known and nothing goes.
+    """
+    score = "_".join(["score", *docs.columns])  # a name that no column has
+    scored = score_quality(docs, train_quality(docs, read(spark, sf_dir, "labels")), score_column=score)
+    return scored.filter(F.col(f"`{score}`") >= 0.5).select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id."""
+    """Of equal texts the row with the smallest id (a null id comes last); null counts as empty."""
     return unique_rows(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates (five-word shingles, similarity 0.8) the row with the smallest id."""
+    """Of near-duplicates (five-word shingles, similarity 0.8) the row with the smallest id.
+
+    Rows without a word, null texts among them, are like no other and stay. Rows without id go if their
+    class has an id.
+    """
     return _without(docs, near_duplicates(docs, key_column=KEY).filter(~F.col("kept")), "pipeline-near")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of ten words of a benchmark item."""
+    """Documents without a window of ten words of a benchmark item; null and empty texts stay."""
     found = contamination(docs, read(spark, sf_dir, "benchmark"), key_column=KEY)
     return _without(docs, found.filter("contaminated"), "pipeline-contaminated")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents, with digests of the ids and of what they decode to."""
+    """Token ids of the documents, with digests of the ids and of what they decode to; null and empty texts have none."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_texts(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
 
