@@ -11,7 +11,7 @@ import pytest
 from corpus_cases import LONG, ODD, sha
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate
+from tickloom.llm import decontaminate, near
 from tickloom.llm.bpe import Encoder, PrefixTable, Recent, encode_texts, read_ranks
 from tickloom.llm.components import components
 from tickloom.llm.decontaminate import contamination
@@ -220,6 +220,19 @@ def test_near_duplicates_against_brute_force(documents):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+@pytest.mark.parametrize("members", [1, 3, 1024])
+def test_long_postings_in_blocks_lose_no_link(documents, monkeypatch, members):
+    """Families that share two thirds of their words, so that members of several meet in the same postings."""
+    monkeypatch.setattr(near, "MEMBERS", members)
+    common, pairs = [f"shared{k}" for k in range(80)], []
+    for family in range(9):
+        for copy in range(5):
+            pairs.append((len(pairs) * 7 % 45, " ".join([*common, *(f"f{family}w{k}" for k in range(38)), f"c{copy}", f"d{copy}"])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(pairs), words=4).collect()}
+    assert got == brute_components(pairs, 4, 80)
+    assert len({component for _, component in got.values()}) == 9
+
+
 def test_near_duplicates_judge_each_text_of_an_id(documents):
     one, two = text(0, 60), text(100, 80)
     rows = [(5, one), (6, one), (6, two), (7, two + " more"), (8, one), (None, two), (6, two)]

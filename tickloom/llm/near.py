@@ -9,7 +9,7 @@ least T of K coordinates but for a negligible chance, so
   values, so only those are joined (prefix filter), and what many texts have in common stays out;
 * first every posting is joined to its smallest member only; then postings whose members are already
   connected are skipped, and in the others only members of different components meet, those of the
-  largest one not among themselves.
+  largest one not among themselves. A long posting is met block by block of its members, in as many tasks.
 
 Where two members meet, parity sketches of their sets bound their similarity from above, so pairs that
 cannot be links are turned down inside the join. What is left and agrees in at least T values is
@@ -40,6 +40,9 @@ MISS = 1e-9
 # Bits of a sketch: each is the parity of the shingles that fall on it.
 SKETCH_BITS = 2048
 
+# Members of a posting that are compared with all the others in one place; a longer one is split in blocks.
+MEMBERS = 1024
+
 # A task hashes this many bytes of text at once.
 HASH_BYTES = 1 << 20
 
@@ -316,17 +319,25 @@ def near_duplicates(
     )
     labelled = stored_narrow(labelled, "near-labelled")
     sizes = labelled.groupBy("post", "label").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("post").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
-    mixed = mixed.filter("labels > 1").select("post", F.col("most.label").alias("largest"))
+    mixed = sizes.groupBy("post").agg(
+        F.max(F.struct("n", "label")).alias("most"),
+        F.count("*").alias("labels"),
+        F.ceil(F.sum("n") / MEMBERS).alias("blocks"),
+    )
+    mixed = mixed.filter("labels > 1").select("post", F.col("most.label").alias("largest"), "blocks")
     apart = stored_narrow(labelled.join(mixed, "post").join(known.select("id", "n", *_folded()), "id"), "near-apart")
     left, right = ([F.col(f"{side}.{name}") for name in apart.columns if name[0] == "w"] for side in "xy")
     meet = (
         (F.col("x.post") == F.col("y.post"))
+        & (F.col("x.block") == F.col("y.block"))
         & (F.col("x.label") != F.col("y.label"))
         & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
         & _may_link(left, right, F.col("x.n"), F.col("y.n"), percent)
     )
-    across = apart.filter("label != largest").alias("x").join(apart.alias("y"), meet)
+    # One side has a member in its own block, the other in every block, so a pair meets once.
+    every = apart.filter("label != largest").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    once = apart.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    across = every.alias("x").join(once.alias("y"), meet)
     across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     more_links = _confirmed(across, known, sets, least, percent)
     reached = components(links.unionAll(more_links))
