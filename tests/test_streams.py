@@ -339,6 +339,24 @@ def test_maintained_table_equals_a_full_pass(spark, sf_dir):
     assert held.exceptAll(full).count() == 0 and full.exceptAll(held).count() == 0
 
 
+def test_part_of_a_topic_is_many_files_and_one_batch(spark):
+    """A large part is written and read by many tasks; one with fewer rows than lanes is a batch of its own all the same."""
+    folder = work_folder(spark, "lanes")
+    sizes = {0: 2000, 1: 1, 4: 3}
+    rows = [("t", 0, n, T, bytearray(b"{}"), part) for part, size in sizes.items() for n in range(size)]
+    topic_ddl = DDL.replace("arrival", "timestamp")
+    assert A.write_topic(spark.createDataFrame(rows, f"{topic_ddl}, part int"), f"{folder}/topic") == [0, 1, 4]
+    filled = spark.read.parquet(f"{folder}/topic/part=0").groupBy(F.input_file_name()).count().collect()
+    assert len(filled) == A.LANES and max(r["count"] for r in filled) < 2 * 2000 / A.LANES
+    seen = {}
+
+    def write(batch, batch_id):
+        seen[batch_id] = batch.count()
+
+    run_to_end(to_sink(A.topic_stream(spark, f"{folder}/topic", topic_ddl), write, f"{folder}/cp", "append", drain=True))
+    assert seen == {0: 2000, 1: 1, 2: 3}
+
+
 @pytest.mark.parametrize("rows", [0, 3])
 def test_empty_batch_is_skipped(spark, rows):
     folder = work_folder(spark, "skip")

@@ -15,6 +15,11 @@ CENTS = "decimal(18,2)"
 # Deciding the payload shape of an event: the remainder of its id by this number.
 PAYLOAD_CLASSES = 101
 
+# Files of each part of a topic, so that a micro-batch is written and parsed by many tasks, and the bytes of
+# their row groups, which are what a task reads at least.
+LANES = 32
+ROW_GROUP_BYTES = 32 << 20
+
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -161,19 +166,39 @@ def in_parts(rows: DataFrame, clock: str, parts: int) -> DataFrame:
 
 
 def write_topic(rows: DataFrame, folder: str) -> list[int]:
-    """Write rows with a whole-number ``part`` as one file each, aged in that order.
+    """Write rows with a whole-number ``part`` as ``LANES`` files each, aged in that order.
 
-    A stream that takes one file at a time sees every part as a batch of its own, in order, as it would on a
-    live topic. The table is written in one pass. Gives the parts.
+    A stream that takes ``LANES`` files at a time sees every part as a batch of its own, in order, as it would
+    on a live topic. Rows go to a lane by their hash; lanes without a row get a file without rows. The table is
+    written in one pass. Gives the parts.
     """
-    rows.repartition("part").write.partitionBy("part").option("maxRecordsPerFile", 0).parquet(folder)
+    lane = F.pmod(F.xxhash64(*rows.columns), F.lit(LANES)).cast("int")
+    laned = rows.withColumn("lane", lane).repartition("part", "lane")
+    writer = laned.write.partitionBy("part", "lane").option("maxRecordsPerFile", 0)
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
     spark = rows.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/part=*/*.parquet")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [(int(s.getPath().getParent().getName().removeprefix("part=")), s.getPath()) for s in files.globStatus(path) or []]
-    for part, file in found:
-        files.setTimes(file, 1_600_000_000_000 + 1000 * part, -1)
-    return sorted(part for part, _ in found)
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    files = hadoop.Path(folder).getFileSystem(conf)
+
+    def found(pattern: str) -> list:
+        return [status.getPath() for status in files.globStatus(hadoop.Path(pattern)) or []]
+
+    def number(path) -> int:
+        return int(path.getName().partition("=")[2])
+
+    parts = sorted(number(path) for path in found(f"{folder}/part=*"))
+    lanes = {(part, lane) for part in parts for lane in range(LANES)}
+    lanes -= {(number(path.getParent()), number(path)) for path in found(f"{folder}/part=*/lane=*")}
+    if lanes:
+        blank = f"{folder}-blank"
+        spark.createDataFrame([], rows.drop("part").schema).coalesce(1).write.parquet(blank)
+        (without_rows,) = found(f"{blank}/*.parquet")
+        for part, lane in sorted(lanes):
+            place = hadoop.Path(f"{folder}/part={part}/lane={lane}/blank.parquet")
+            hadoop.FileUtil.copy(files, without_rows, files, place, False, conf)
+    for path in found(f"{folder}/part=*/lane=*/*.parquet"):
+        files.setTimes(path, 1_600_000_000_000 + 1000 * number(path.getParent().getParent()), -1)
+    return parts
 
 
 def arrive(spark: SparkSession, staged: str, parts: list[int], folder: str, run: Callable[[], None]) -> None:
@@ -188,5 +213,5 @@ def arrive(spark: SparkSession, staged: str, parts: list[int], folder: str, run:
 
 def topic_stream(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
     """The parts of ``write_topic`` as a stream, one in each micro-batch."""
-    reader = spark.readStream.schema(f"{ddl}, part int").option("maxFilesPerTrigger", 1)
-    return reader.parquet(folder).drop("part")
+    reader = spark.readStream.schema(f"{ddl}, part int, lane int").option("maxFilesPerTrigger", LANES)
+    return reader.parquet(folder).drop("part", "lane")
