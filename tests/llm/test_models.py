@@ -1,12 +1,13 @@
 """The two fitted models against plain versions of what they are said to solve."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 
 from tickloom.llm.langid import Grams, fit_kernel
-from tickloom.llm.quality import fit_ranking
+from tickloom.llm.quality import features, fit_ranking, train_quality
 
 WORDS = {"a": "the and of that with from this".split(), "b": "der und die nicht mit von das".split(), "c": "les des une dans pour avec".split()}
 
@@ -101,3 +102,26 @@ def test_quality_weights_are_a_maximum():
     assert np.isfinite(model.weights).all() and (rows @ model.weights)[labels == 1].mean() > (rows @ model.weights)[labels == 0].mean()
     one_kind = fit_ranking(rows, np.ones(22))
     assert (one_kind.scores(rows) == 0.5).all()
+
+
+def test_quality_weights_are_those_of_all_pairs_exactly():
+    draw = np.random.default_rng(6)
+    labels = (np.arange(500) % 3 > 0).astype(int)
+    rows = draw.normal(size=(500, 4)) * [1, 5, 0.2, 1] + labels[:, None] * [0.8, 2.0, 0.05, 0.0]
+    model, plain = fit_ranking(rows, labels), plain_ranking(rows, labels)
+    assert np.abs((model.weights - plain) * rows.std(axis=0)).max() < 1e-3
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """More rows than any sample held: weights and cut are those of all of them; odd labels and copies add nothing."""
+    draw = random.Random(8)
+    marks = ["", "!", "!!", ".", " 12", "\n"]
+    labelled = [(n, int(draw.random() < 0.6)) for n in range(9000)]
+    docs = [(n, " ".join(draw.choice(WORDS["a"]) + draw.choice(marks[label:]) for _ in range(draw.randint(3, 12)))) for n, label in labelled]
+    learned = [(label, features(text.encode())) for (n, label), (_, text) in zip(labelled, docs) if zlib.crc32(b"%d" % n) % 3 != 1]
+    assert len(learned) > 5500
+    plain = fit_ranking(np.array([vector for _, vector in learned]), np.array([label for label, _ in learned]))
+    labels = spark.createDataFrame([*labelled, *labelled[:50], (9001, 1), (9001, 0), (9002, 5), (None, 1)], "doc_id long, quality int")
+    texts = spark.createDataFrame([*docs, *docs[:50], (9001, "x"), (9002, "y"), (None, "z"), (9003, None)], "doc_id long, text string")
+    model = train_quality(texts.repartition(5), labels)
+    assert model.weights == pytest.approx(plain.weights, rel=1e-6) and model.cut == pytest.approx(plain.cut, rel=1e-6)
